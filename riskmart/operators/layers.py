@@ -139,6 +139,12 @@ def present(wanted: list[str], columns: list[str]) -> list[str]:
     return [c for c in wanted if c in columns]
 
 
+def rows_per_layer(tables: dict[str, DataFrame]) -> DataFrame:
+    """(layer, snapshot_month, rows): only the partition column of each table is read."""
+    tagged = [t.select(F.lit(name).alias("layer"), "snapshot_month") for name, t in tables.items()]
+    return stack_rows(tagged).groupBy("layer", "snapshot_month").agg(F.count(F.lit(1)).alias("rows"))
+
+
 def stack_rows(frames: list[DataFrame]) -> DataFrame:
     """Union by name; a column that one frame lacks is NULL there."""
     out = frames[0]

@@ -73,7 +73,8 @@ def evaluate(
     positive = F.col("score") > threshold
     grouped = totals.groupBy(*keys).agg(
         F.sum(pos * (below + neg / 2.0)).alias("rank_sum"),
-        F.sum(F.try_divide(pos, all_pos) * precision).alias("pr_auc"),
+        # No positives at all: every recall step is empty and the sum is 0.
+        F.coalesce(F.sum(F.try_divide(pos, all_pos) * precision), F.lit(0.0)).alias("pr_auc"),
         F.sum("pos").alias("pos"),
         F.sum("neg").alias("neg"),
         F.sum(F.when(positive, F.col("pos")).otherwise(0)).alias("tp"),

@@ -18,6 +18,7 @@ from pyspark.sql import types as T
 
 from .. import fixed_values as fv
 from ..config import TrainingConfig
+from ..sources.scratch import materialize
 from .metrics import balanced_score, confusion
 from .splitting import class_counts, stratified_folds
 
@@ -324,7 +325,7 @@ def out_of_fold(
     settings: dict[str, dict] | None = None,
 ) -> DataFrame:
     """Probabilities of each base model on rows it was not fitted on."""
-    folded = stratified_folds(train, LABEL, KEY, folds, seed).persist()
+    folded = materialize(stratified_folds(train, LABEL, KEY, folds, seed), "folds")
     parts = None
     for i in range(folds):
         held = folded.where(F.col(FOLD) == i)
@@ -332,7 +333,7 @@ def out_of_fold(
             model = fit(algorithm, folded.where(F.col(FOLD) != i), features, seed, **(settings or {}).get(algorithm, {}))
             held = probability(model, held, features, f"p_{algorithm}")
         parts = held if parts is None else parts.unionByName(held)
-    return parts
+    return materialize(parts, "out-of-fold")
 
 
 @dataclass

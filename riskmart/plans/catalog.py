@@ -77,6 +77,10 @@ class Tables:
     def split_scores(self) -> DataFrame:
         return with_split(self.scored, SPLITS)
 
+    @cached_property
+    def wide_scores(self) -> DataFrame:
+        return with_split(encounters.wide_predictions(self.spark, self.sf_dir), SPLITS)
+
     @cached_property
     def model_rows(self) -> DataFrame:
         return with_split(layers.model_rows(self.labels, self.features), SPLITS)

@@ -155,6 +155,12 @@ _BLOCKS: dict[str, tuple[tuple[str, ...], str]] = {
         "JOIN labels USING (encounter_id, snapshot_date)",
     ),
     "split_scores": (("scored",), f"SELECT *, {SPLIT} AS split FROM scored"),
+    "wide_scores": (
+        (),
+        f"SELECT *, {SPLIT} AS split FROM (SELECT o_orderkey AS encounter_id, {en.SNAPSHOT_EXPRESSION} AS snapshot_date, "
+        + ", ".join(f"{en.score_expression(a)} AS p_{a}" for a in en.SCORE_SHAPES)
+        + " FROM orders)",
+    ),
     "diagnoses": (
         ("silver",),
         "SELECT encounter_id, diag_1, diag_2, diag_3, "
@@ -210,7 +216,7 @@ def auc_sql(source: str, keys: str, score: str = "model_predictions", label: str
 def average_precision_sql(source: str, keys: str, score: str = "model_predictions", label: str = "label") -> str:
     """SELECT keys, pr_auc."""
     return (
-        f"SELECT {keys}, sum(CAST(p AS DOUBLE) / total * (tp / CAST(tp + fp AS DOUBLE))) AS pr_auc FROM ("
+        f"SELECT {keys}, coalesce(sum(CAST(p AS DOUBLE) / nullif(total, 0) * (tp / CAST(tp + fp AS DOUBLE))), 0) AS pr_auc FROM ("
         f"SELECT *, sum(p) OVER (PARTITION BY {keys}) AS total, sum(p) OVER w AS tp, sum(n) OVER w AS fp FROM ("
         f"SELECT {keys}, {score} AS s, sum({label}) AS p, sum(1 - {label}) AS n FROM {source} "
         f"GROUP BY {keys}, {score}) d WINDOW w AS (PARTITION BY {keys} ORDER BY s DESC "
@@ -327,11 +333,11 @@ def lerp(sorted_list: str, n: str, p: str) -> str:
     return f"CASE WHEN {t} < 0.5 THEN {a} + ({b} - {a}) * {t} ELSE {b} - ({b} - {a}) * (1 - {t}) END"
 
 
-def drift_blocks(features: list[str]) -> dict[str, str]:
+def drift_blocks(features: list[str], source: str = "model_rows") -> dict[str, str]:
     """Blocks ending in ``drifts``: feature, ks_stat, p_value, psi of train against oot."""
     edges = ", ".join(lerp("vals", "n", f"{i * 10.0 / 100.0!r}") for i in range(11))
     series = (
-        "list_sum(list_transform(range(1, 101), k -> (CASE WHEN k % 2 = 1 THEN CAST(2 AS DOUBLE) ELSE CAST(-2 AS DOUBLE) END) "
+        "list_sum(list_transform(range(1, 101), lambda k: (CASE WHEN k % 2 = 1 THEN CAST(2 AS DOUBLE) ELSE CAST(-2 AS DOUBLE) END) "
         "* exp(CAST(-2 AS DOUBLE) * k * k * lam * lam)))"
     )
     counts = ", ".join(
@@ -345,7 +351,7 @@ def drift_blocks(features: list[str]) -> dict[str, str]:
         for i in range(10)
     )
     return {
-        "long": feature_long(features, "model_rows", "split"),
+        "long": feature_long(features, source, "split"),
         "vals": "SELECT feature, value, count(*) FILTER (WHERE split = 'train') AS e, "
         "count(*) FILTER (WHERE split = 'oot') AS a FROM long WHERE split IN ('train', 'oot') GROUP BY feature, value",
         "cums": "SELECT *, sum(e) OVER w AS ec, sum(a) OVER w AS ac, sum(e) OVER (PARTITION BY feature) AS ne, "
@@ -360,7 +366,7 @@ def drift_blocks(features: list[str]) -> dict[str, str]:
         "GROUP BY feature",
         "edges": f"SELECT feature, [{edges}] AS edges FROM lists",
         "bins": "SELECT c.*, CASE WHEN value < edges[1] OR value > edges[11] THEN NULL "
-        "ELSE least(len(list_filter(edges, x -> x <= value)) - 1, 9) END AS bin FROM cums c JOIN edges USING (feature)",
+        "ELSE least(len(list_filter(edges, lambda x: x <= value)) - 1, 9) END AS bin FROM cums c JOIN edges USING (feature)",
         "hists": f"SELECT feature, max(ne) AS ne, max(na) AS na, {counts} FROM bins GROUP BY feature",
         "qpsi": f"SELECT feature, {total} AS psi FROM hists",
         "drifts": "SELECT feature, ks_stat, p_value, psi, (p_value < 0.05 OR psi > 0.1) AS drift_detected "

@@ -9,7 +9,7 @@ from __future__ import annotations
 from dataclasses import dataclass
 from datetime import date
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .. import fixed_values as fv
@@ -78,24 +78,21 @@ def load(
     first: date | None = None,
     last: date | None = None,
     bronze_format: str = "parquet",
-) -> dict[str, int]:
-    """Raw rows to bronze, silver and both gold stores. Returns the rows written per table,
-    observed on the writes themselves."""
-    counts = {}
-
-    def write(rows: DataFrame, path: str, name: str, file_format: str = "parquet") -> None:
-        seen = Observation(name)
-        writers.write_months(rows, path, file_format, observation=seen)
-        counts[name] = seen.get["rows"]
-
-    write(layers.bronze(raw, first, last), mart.bronze, "bronze", bronze_format)
+) -> DataFrame:
+    """Raw rows to bronze, silver and both gold stores, one write each. Returns the row counts
+    of the loaded months (lazy)."""
+    writers.write_months(layers.bronze(raw, first, last), mart.bronze, bronze_format)
     read = readers.read_csv_table if bronze_format == "csv" else readers.read_table
     bronze = _window(read(spark, mart.bronze, schemas.RAW_ENCOUNTER), first, last)
-    write(layers.silver(bronze), mart.silver, "silver")
+    writers.write_months(layers.silver(bronze), mart.silver)
     silver = _window(readers.read_table(spark, mart.silver, schemas.ENCOUNTER), first, last)
-    write(layers.label_store(silver), mart.labels, "label_store")
-    write(layers.feature_store(silver), mart.features, "feature_store")
-    return counts
+    writers.write_months(layers.label_store(silver), mart.labels)
+    writers.write_months(layers.feature_store(silver), mart.features)
+    labels = _window(readers.read_table(spark, mart.labels, schemas.LABEL_STORE), first, last)
+    features = _window(readers.read_table(spark, mart.features, schemas.FEATURE_STORE), first, last)
+    return layers.rows_per_layer(
+        {"bronze": bronze, "silver": silver, "label_store": labels, "feature_store": features}
+    )
 
 
 def _window(rows: DataFrame, first: date | None, last: date | None) -> DataFrame:

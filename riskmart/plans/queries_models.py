@@ -10,6 +10,7 @@ from ..config import TrainingConfig
 from ..functions import dates, stability
 from ..operators import drift, governance, layers, monitoring, quality, registry, scaling, splitting, training
 from ..operators import metrics as m
+from ..sources.scratch import materialize
 from . import check_sql as c
 from . import jobs
 from .catalog import CONFIG, SPLITS, Tables, query, r6, r6_sql
@@ -22,6 +23,8 @@ from .queries_tables import (
     METRIC_PAIRS,
     MONITORED,
     MONITORED_COLUMNS,
+    SCORE_DRIFTS,
+    SCORE_FEATURES,
     STATS,
     WIDE_SQL,
     _evaluation,
@@ -49,8 +52,7 @@ SCORE, LABEL = "model_predictions", "label"
 )
 def _(t: Tables):
     named = [("bronze", t.bronze), ("silver", t.silver), ("label_store", t.month(t.labels)), ("feature_store", t.month(t.features))]
-    rows = layers.stack_rows([f.select(F.lit(n).alias("layer"), "snapshot_month") for n, f in named])
-    return rows.groupBy("layer", "snapshot_month").agg(F.count(F.lit(1)).alias("rows"))
+    return layers.rows_per_layer(dict(named))
 
 
 @query("a2_label_by_split", c.with_blocks("SELECT split, label, count(*) AS rows FROM model_rows GROUP BY split, label", "model_rows"))
@@ -447,12 +449,12 @@ def _(t: Tables):
     c.with_blocks(
         "SELECT feature, round(ks_stat, 6) AS ks_stat, round(psi, 6) AS psi FROM drifts WHERE drift_detected "
         "ORDER BY psi DESC, feature LIMIT 15",
-        "model_rows",
-        extra=DRIFTS,
+        "wide_scores",
+        extra=SCORE_DRIFTS,
     ),
 )
 def _(t: Tables):
-    table = drift.drift_table(t.model_rows, DRIFT_FEATURES)
+    table = drift.drift_table(t.wide_scores, SCORE_FEATURES)
     return drift.top_drifted(table).select("feature", r6("ks_stat"), r6("psi"))
 
 
@@ -539,7 +541,7 @@ def _(t: Tables):
     return psi.select(*MODEL_MONTH, "row_count", r6("psi"))
 
 
-CSI_TERM = c.term("coalesce(e.share, 1e-6)", "coalesce(a.share, 1e-6)")
+CSI_TERM = c.term("es", "ac")
 
 
 @query(
@@ -567,15 +569,16 @@ CSI_FEATURES = ["race", "age", "diag_1"]
 @query(
     "d2_csi_train_oot",
     c.with_blocks(
-        f"SELECT feature, round(sum({CSI_TERM}), 6) AS csi FROM (SELECT * FROM shares WHERE split = 'train') e FULL JOIN "
-        "(SELECT * FROM shares WHERE split = 'oot') a USING (feature, category) GROUP BY feature",
+        f"SELECT feature, round(sum({CSI_TERM}), 6) AS csi FROM (SELECT feature, category, coalesce(e.share, 1e-6) AS es, "
+        "coalesce(a.share, 1e-6) AS ac FROM (SELECT * FROM shares WHERE split = 'train') e FULL JOIN "
+        "(SELECT * FROM shares WHERE split = 'oot') a USING (feature, category)) GROUP BY feature",
         "silver",
         extra={
             "long": " UNION ALL ".join(
                 f"SELECT '{f}' AS feature, {c.SPLIT} AS split, {f} AS category FROM silver WHERE {f} IS NOT NULL" for f in CSI_FEATURES
             ),
             "shares": "SELECT feature, split, category, CAST(count(*) AS DOUBLE) / sum(count(*)) OVER (PARTITION BY feature, split) AS share "
-            "FROM long WHERE split IS NOT NULL GROUP BY ALL",
+            "FROM long WHERE split IS NOT NULL GROUP BY feature, split, category",
         },
     ),
 )
@@ -623,12 +626,12 @@ def _(t: Tables):
     c.with_blocks(
         "SELECT count(*) AS features, count(*) FILTER (WHERE drift_detected) AS drifted, "
         "round(avg(CASE WHEN drift_detected THEN CAST(100 AS DOUBLE) ELSE 0 END), 6) AS drifted_pct FROM drifts",
-        "model_rows",
-        extra=DRIFTS,
+        "wide_scores",
+        extra=SCORE_DRIFTS,
     ),
 )
 def _(t: Tables):
-    summary = drift.drift_summary(drift.drift_table(t.model_rows, DRIFT_FEATURES))
+    summary = drift.drift_summary(drift.drift_table(t.wide_scores, SCORE_FEATURES))
     return summary.select("features", "drifted", r6("drifted_pct"))
 
 
@@ -965,12 +968,17 @@ BOOSTED = {"rounds": 10, "max_depth": 3, "learning_rate": 0.1}
 
 
 def _scaled(t: Tables):
+    """The preprocessed splits as a stored table, which is what training reads."""
     scaled, _scaler = scaling.preprocess(t.model_rows)
-    return scaled.select(*training.KEY, *fv.MODEL_FEATURES, "label", "split")
+    return materialize(scaled.select(*training.KEY, *fv.MODEL_FEATURES, "label", "split"), "splits")
 
 
 def _training_rows(t: Tables):
-    return _scaled(t).where(F.col("split") == "train").drop("split")
+    return _train_of(_scaled(t))
+
+
+def _train_of(splits):
+    return splits.where(F.col("split") == "train").drop("split")
 
 
 def _fitted_importance(t: Tables, algorithm: str, **params):
@@ -1001,8 +1009,10 @@ def _(t: Tables):
 @query("m5_random_search")
 def _(t: Tables):
     config = TrainingConfig(search_draws=4, cv_folds=3)
-    found = training.random_search("logistic_regression", _training_rows(t), fv.MODEL_FEATURES, config)
-    scored = training.probability(found.model, _scaled(t).where(F.col("split") != "train"), fv.MODEL_FEATURES, "p")
+    space = training.SEARCH_SPACES["logistic_regression"] | {"max_iter": [50]}
+    splits = _scaled(t)
+    found = training.random_search("logistic_regression", _train_of(splits), fv.MODEL_FEATURES, config, space)
+    scored = training.probability(found.model, splits.where(F.col("split") != "train"), fv.MODEL_FEATURES, "p")
     return scored.groupBy("split").agg(F.count(F.lit(1)).alias("rows"), F.round(F.avg("p"), 6).alias("avg_probability"))
 
 
@@ -1057,8 +1067,9 @@ def _(t: Tables):
 
 @query("m11_score_snapshot")
 def _(t: Tables):
-    model = training.fit("random_forest", _training_rows(t), fv.MODEL_FEATURES, **TREES)
-    predictions = training.score(model, _scaled(t).drop("split", "label"), fv.MODEL_FEATURES, "random_forest")
+    splits = _scaled(t)
+    model = training.fit("random_forest", _train_of(splits), fv.MODEL_FEATURES, **TREES)
+    predictions = training.score(model, splits.drop("split", "label"), fv.MODEL_FEATURES, "random_forest")
     inside = F.col("model_predictions").between(0, 1)
     return predictions.groupBy("snapshot_date", "model_algorithm").agg(
         F.count(F.lit(1)).alias("rows"), F.bool_and(inside).alias("in_range")
@@ -1082,15 +1093,16 @@ STACK_SETTINGS = {"logistic_regression": {"max_iter": 50}, "random_forest": {"tr
 
 @query("m13_stacking")
 def _(t: Tables):
-    model = training.stack(fv.ALGORITHMS, _training_rows(t), fv.MODEL_FEATURES, folds=3, settings=STACK_SETTINGS)
-    scored = model.score(_scaled(t).where(F.col("split") != "train"))
+    splits = _scaled(t)
+    model = training.stack(fv.ALGORITHMS, _train_of(splits), fv.MODEL_FEATURES, folds=3, settings=STACK_SETTINGS)
+    scored = model.score(splits.where(F.col("split") != "train"))
     inside = F.col("model_predictions").between(0, 1)
     return scored.groupBy("split").agg(F.count(F.lit(1)).alias("rows"), F.bool_and(inside).alias("in_range"))
 
 
 @query("m14_forest_importance")
 def _(t: Tables):
-    rows = t.model_rows.select(*training.KEY, *fv.MODEL_FEATURES, "label")
+    rows = materialize(t.model_rows.select(*training.KEY, *fv.MODEL_FEATURES, "label"), "model-rows")
     model = training.fit("random_forest", rows, fv.MODEL_FEATURES, seed=42, trees=100, max_depth=10)
     importance = training.feature_importance(t.spark, model, "random_forest")
     return training.top_features(importance).select("feature", r6("importance"))
@@ -1099,9 +1111,10 @@ def _(t: Tables):
 @query("m15_saved_model")
 def _(t: Tables):
     mart = t.mart()
-    model = training.fit("logistic_regression", _training_rows(t), fv.MODEL_FEATURES, max_iter=50)
+    splits = _scaled(t)
+    model = training.fit("logistic_regression", _train_of(splits), fv.MODEL_FEATURES, max_iter=50)
     path = training.save_model(model, mart.registry, "logistic_regression", "20010801")
-    rows = _scaled(t).where(F.col("split") == "oot")
+    rows = splits.where(F.col("split") == "oot")
     before = training.probability(model, rows, fv.MODEL_FEATURES, "before")
     both = training.probability(training.load_model(path), before, fv.MODEL_FEATURES, "after")
     return both.groupBy("snapshot_date").agg(

@@ -16,7 +16,8 @@ from .catalog import CONFIG, MONTH, SPLITS, Tables, query, r6, r6_sql
 
 MONTH_SQL = "DATE '1998-07-01'"
 RAW_SAMPLE = ["encounter_id", "race", "age", "diag_1", "max_glu_serum", "A1Cresult", "glyburide-metformin", "readmitted", "snapshot_date"]
-RAW_SQL = ", ".join(c.quote(n) for n in RAW_SAMPLE)
+# An empty text and a missing one are the same in a CSV file.
+RAW_SQL = ", ".join(f"nullif({c.quote(n)}, '') AS {c.quote(n)}" for n in RAW_SAMPLE)
 LABELS_SQL = "SELECT encounter_id, label, snapshot_date FROM labels"
 
 
@@ -179,7 +180,7 @@ def _scaled_sql(column: str) -> str:
     value = f"ln(1 + CAST({column} AS DOUBLE))" if column in c.LOGGED else f"CAST({column} AS DOUBLE)"
     return (
         f"({value} - (SELECT avg({value}) FROM model_rows WHERE split = 'train')) / "
-        f"(SELECT stddev_pop({value}) FROM model_rows WHERE split = 'train')"
+        f"(SELECT CASE WHEN stddev_pop({value}) = 0 THEN 1 ELSE stddev_pop({value}) END FROM model_rows WHERE split = 'train')"
     )
 
 
@@ -419,19 +420,21 @@ def _(t: Tables):
 
 DRIFT_FEATURES = ["age_midpoint", "severity_x_visits", "medication_density", "insulin_ord"]
 DRIFTS = c.drift_blocks(DRIFT_FEATURES)
+SCORE_FEATURES = [f"p_{a}" for a in fv.ALGORITHMS]
+SCORE_DRIFTS = c.drift_blocks(SCORE_FEATURES, "wide_scores")
 
 
 @query(
     "k10_drift_report_csv",
     c.with_blocks(
         "SELECT feature, printf('%.6f', ks_stat) AS ks_stat, printf('%.6f', psi) AS psi, drift_detected FROM drifts",
-        "model_rows",
-        extra=DRIFTS,
+        "wide_scores",
+        extra=SCORE_DRIFTS,
     ),
 )
 def _(t: Tables):
     path = t.path("drift-csv")
-    table = drift.drift_table(t.model_rows, DRIFT_FEATURES).drop("p_value")
+    table = drift.drift_table(t.wide_scores, SCORE_FEATURES).drop("p_value")
     writers.write_csv(table, path, decimals={"ks_stat": 6, "psi": 6})
     schema = "feature string, ks_stat string, psi string, drift_detected boolean"
     return t.spark.read.schema(schema).option("header", True).csv(path)
@@ -532,7 +535,7 @@ def _(t: Tables):
 
 @query(
     "p10_label",
-    c.with_blocks("SELECT encounter_id, readmitted, CASE WHEN readmitted = '<30' THEN 1 ELSE 0 END AS label FROM raw", "raw"),
+    c.with_blocks("SELECT encounter_id, readmitted, CASE WHEN readmitted = '<30' THEN 1 ELSE 0 END AS label FROM silver", "silver"),
 )
 def _(t: Tables):
     return t.silver.select("encounter_id", "readmitted", encounter.readmission_label(F.col("readmitted")).alias("label"))

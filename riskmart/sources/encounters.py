@@ -66,7 +66,7 @@ RAW_EXPRESSIONS: dict[str, str] = {
     "max_glu_serum": _pick(f"{KEY} % 7", ["None", "Norm", ">200", ">300", "?", None, ""]),
     "A1Cresult": _pick(f"{CUST} % 8", ["None", "Norm", ">7", ">8", ">9", "?", None, ""]),
     **{
-        drug: _pick(f"({KEY} * {j + 1} + {j}) % 6", ["No", "Steady", "Up", "Down", None, "No"])
+        drug: _pick(f"({KEY} // {j + 1} + {j}) % 6", ["No", "Steady", "Up", "Down", None, "No"])
         for j, drug in enumerate(DRUGS)
     },
     "change": _pick(f"{KEY} % 3", ["Ch", "No", "ch"]),
@@ -152,6 +152,15 @@ def predictions(spark: SparkSession, sf_dir: str, algorithms: list[str] | None =
     )
 
 
+def wide_predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One row per encounter with the score of each stand-in model in a column of its own."""
+    return table(spark, sf_dir, "orders").select(
+        F.col(KEY).alias("encounter_id"),
+        F.expr(SNAPSHOT_EXPRESSION).alias("snapshot_date"),
+        *[F.expr(score_expression(a)).alias(f"p_{a}") for a in SCORE_SHAPES],
+    )
+
+
 def volume_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A scored table ten times as long, one row per line item, for volume tests."""
     return table(spark, sf_dir, "lineitem").select(

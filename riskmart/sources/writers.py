@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Observation
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.dates import snapshot_month
 from .readers import MONTH
 
+# The CSV writer would otherwise strip blanks around values.
+CSV_OPTIONS = {"header": "true", "ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false"}
+
 
 def with_month(df: DataFrame) -> DataFrame:
     return df if MONTH in df.columns else df.withColumn(MONTH, snapshot_month(F.col("snapshot_date")))
@@ -18,27 +21,22 @@ def write_months(
     path: str,
     file_format: str = "parquet",
     keys: tuple[str, ...] = (MONTH,),
-    observation: Observation | None = None,
 ) -> None:
     """Write a table partitioned by ``keys``, replacing only the partitions ``df`` holds.
 
     The rebalance hint groups a month's rows into few files, and splits a month that is far
     larger than the others over many tasks; a plain ``repartition(month)`` would not.
-    ``observation`` receives the row count of the write without a second pass.
     """
-    rows = with_month(df)
-    if observation is not None:
-        rows = rows.observe(observation, F.count(F.lit(1)).alias("rows"))
-    writer = rows.hint("rebalance", *keys).write.partitionBy(*keys).mode("overwrite")
+    writer = with_month(df).hint("rebalance", *keys).write.partitionBy(*keys).mode("overwrite")
     writer = writer.option("partitionOverwriteMode", "dynamic")
     if file_format == "csv":
-        writer = writer.option("header", True)
+        writer = writer.options(**CSV_OPTIONS)
     writer.format(file_format).save(path)
 
 
-def write_predictions(predictions: DataFrame, path: str, observation: Observation | None = None) -> None:
+def write_predictions(predictions: DataFrame, path: str) -> None:
     """Scores by algorithm and month. "Latest" is a query on the month, not a second copy."""
-    write_months(predictions, path, keys=("model_algorithm", MONTH), observation=observation)
+    write_months(predictions, path, keys=("model_algorithm", MONTH))
 
 
 def write_splits(splits: DataFrame, scaler: DataFrame, metadata: DataFrame, root: str, run: str) -> str:
@@ -63,7 +61,7 @@ def write_csv(df: DataFrame, path: str, decimals: dict[str, int] | None = None)
             F.format_string(f"%.{fixed[c]}f", F.col(f"`{c}`")).alias(c) if c in fixed else F.col(f"`{c}`")
             for c in df.columns
         ]
-    ).write.mode("overwrite").option("header", True).csv(path)
+    ).write.mode("overwrite").options(**CSV_OPTIONS).csv(path)
 
 
 def write_parquet(df: DataFrame, path: str) -> None:
