@@ -53,7 +53,9 @@ def admission_type_desc(code: Column) -> Column:
 
 
 def admission_severity_score(code: Column) -> Column:
-    return lookup_groups(admission_type_desc(code), fv.ADMISSION_SEVERITY)
+    """Score of the admission type, looked up by code (the two tables are composed here)."""
+    score_of = {name: score for score, names in fv.ADMISSION_SEVERITY.items() for name in names}
+    return lookup(code, {c: score_of[name] for c, name in fv.ADMISSION_TYPE.items()})
 
 
 def discharge_severity_score(code: Column) -> Column:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .. import fixed_values as fv
@@ -13,20 +13,31 @@ _NUMBER = r"^[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?$"
 _WHITESPACE = " \t\n\r\f\v"
 
 
-def icd9_category(code: Column) -> Column:
-    """One of twelve categories; NULL and ``?`` are ``unknown``."""
+def code_number(code: Column) -> Column:
+    """The code as a number; NULL unless it is a plain decimal."""
     text = F.trim(code, F.lit(_WHITESPACE))
-    number = F.when(text.rlike(_NUMBER), text.try_cast("double"))
+    return F.when(text.rlike(_NUMBER), text.try_cast("double"))
+
+
+def category_of(code: Column, number: Column) -> Column:
+    """One of twelve categories, from a code and its number; NULL and ``?`` are ``unknown``."""
     out = F.when(code.isNull() | (code == "?"), "unknown")
     for category, (low, high) in fv.ICD9_RANGES.items():
         out = out.when((number >= low) & (number < high), category)
+    text = F.trim(code, F.lit(_WHITESPACE))
     out = out.when(number.isNull() & text.startswith("V"), "supplementary_v")
     out = out.when(number.isNull() & text.startswith("E"), "supplementary_e")
     return out.otherwise("other")
 
 
-def diagnosis_categories() -> list[Column]:
-    return [icd9_category(F.col(f"diag_{i}")).alias(f"diag_{i}_category") for i in (1, 2, 3)]
+def with_diagnosis_categories(rows: DataFrame) -> DataFrame:
+    """Add ``diag_<i>_category``. The numbers get a projection of their own, so that each code is
+    parsed once and not once per range."""
+    parsed = rows.select("*", *[code_number(F.col(f"diag_{i}")).alias(f"_number_{i}") for i in (1, 2, 3)])
+    categories = [
+        category_of(F.col(f"diag_{i}"), F.col(f"_number_{i}")).alias(f"diag_{i}_category") for i in (1, 2, 3)
+    ]
+    return parsed.select(*[F.col(f"`{c}`") for c in rows.columns], *categories)
 
 
 def _categories() -> Column:

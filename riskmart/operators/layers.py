@@ -100,8 +100,7 @@ def feature_store(silver_rows: DataFrame, columns: list[str] = fv.FEATURE_STORE_
 
 def diagnosis_features(rows: DataFrame) -> DataFrame:
     """Add the diagnosis groups and what is counted over them."""
-    grouped = rows.select("*", *icd9.diagnosis_categories())
-    return grouped.select(
+    return icd9.with_diagnosis_categories(rows).select(
         "*",
         icd9.high_risk_diag_count().alias("high_risk_diag_count"),
         *icd9.primary_category_dummies(),

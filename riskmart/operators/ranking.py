@@ -141,8 +141,13 @@ def percentiles(
         ]
     )
     start = F.col(f"{measure}_to") - F.col(measure)
-    hits = F.filter(targets, lambda t: (t["rank"] >= start) & (t["rank"] < F.col(f"{measure}_to")))
-    found = totals.where(F.col(measure) > 0).select(*keys, F.col(value).alias("_v"), F.inline(hits))
+    end = F.col(f"{measure}_to")
+    # Few values carry a wanted rank: a plain condition drops the others before any array is built.
+    carries_rank = reduce(lambda a, b: a | b, [(r >= start) & (r < end) for _, r, _, _ in wanted])
+    hits = F.filter(targets, lambda t: (t["rank"] >= start) & (t["rank"] < end))
+    found = totals.where((F.col(measure) > 0) & carries_rank).select(
+        *keys, F.col(value).alias("_v"), F.inline(hits)
+    )
     ends = found.groupBy(*keys, "position").agg(
         F.max(F.when(F.col("is_low"), F.col("_v"))).alias("a"),
         F.max(F.when(~F.col("is_low"), F.col("_v"))).alias("b"),

@@ -968,9 +968,10 @@ BOOSTED = {"rounds": 10, "max_depth": 3, "learning_rate": 0.1}
 
 
 def _scaled(t: Tables):
-    """The preprocessed splits as a stored table, which is what training reads."""
-    scaled, _scaler = scaling.preprocess(t.model_rows)
-    return materialize(scaled.select(*training.KEY, *fv.MODEL_FEATURES, "label", "split"), "splits")
+    """Preprocessed splits over a stored table, which is what fitting reads again and again."""
+    stored = materialize(t.model_rows.select(*training.KEY, *fv.MODEL_FEATURES, "label", "split"), "model-rows")
+    scaled, _scaler = scaling.preprocess(stored)
+    return scaled
 
 
 def _training_rows(t: Tables):

@@ -10,6 +10,9 @@ SETTINGS = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
+    # The JVM does not compile methods above 8,000 bytes of bytecode. Wide feature projections
+    # exceed that as one generated method; below the limit Spark splits them into small ones.
+    "spark.sql.codegen.hugeMethodLimit": "8000",
 }
 
 
