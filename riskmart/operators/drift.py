@@ -66,13 +66,23 @@ def against_first(counted: DataFrame, keys: list[str], order: str) -> DataFrame:
 
 
 # --- categories ---------------------------------------------------------------------------
-def category_shares(rows: DataFrame, keys: list[str], category: str) -> DataFrame:
-    """Share of each category among the non-null values of its group."""
+def category_counts(rows: DataFrame, keys: list[str], category: str) -> DataFrame:
+    """Non-null values per category, with the total of their group.
+
+    The totals have one row per group, so the join on the group key is either broadcast by the
+    adaptive planner or, if the groups are many, split where one of them is hot.
+    """
     counts = rows.where(F.col(category).isNotNull()).groupBy(*keys, category).agg(
         F.count(F.lit(1)).alias("n")
     )
-    whole = counts.join(counts.groupBy(*keys).agg(F.sum("n").alias("total")), keys)
-    return whole.select(*keys, category, "n", (F.col("n") / F.col("total")).alias("share"))
+    return counts.join(counts.groupBy(*keys).agg(F.sum("n").alias("total")), keys)
+
+
+def category_shares(rows: DataFrame, keys: list[str], category: str) -> DataFrame:
+    """Share of each category among the non-null values of its group."""
+    return category_counts(rows, keys, category).select(
+        *keys, category, "n", (F.col("n") / F.col("total")).alias("share")
+    )
 
 
 def aligned_shares(expected: DataFrame, actual: DataFrame, on: list[str]) -> DataFrame:
@@ -105,16 +115,19 @@ def characteristic_stability_by_period(rows: DataFrame, period: str, features: l
     reference once, and taking it back where the period does have the category, needs one
     equi-join and no pairing of periods with categories.
     """
-    long = unpivot_categories(rows, [period], features)
-    shares = category_shares(long, ["feature", period], "category")
-    first = shares.groupBy("feature").agg(F.min(period).alias("first_period"))
-    dated = shares.join(first, "feature")
+    counts = unpivot_categories(rows, [period], features).groupBy("feature", period, "category").agg(
+        F.count(F.lit(1)).alias("n")
+    )
+    # One row per (feature, period): the window below sees no categories.
+    totals = counts.groupBy("feature", period).agg(F.sum("n").alias("total"))
+    dated_totals = totals.withColumn("first_period", F.min(period).over(Window.partitionBy("feature")))
+    shares = counts.join(dated_totals, ["feature", period]).withColumn("share", F.col("n") / F.col("total"))
     absent = st.index_term(F.col("e"), F.lit(fv.SHARE_FLOOR))
-    reference = dated.where(F.col(period) == F.col("first_period")).select(
+    reference = shares.where(F.col(period) == F.col("first_period")).select(
         "feature", "category", F.col("share").alias("e")
     )
     all_absent = reference.groupBy("feature").agg(F.sum(absent).alias("all_absent"))
-    matched = dated.select("feature", period, "category", "share").join(
+    matched = shares.select("feature", period, "category", "share").join(
         reference, ["feature", "category"], "left"
     )
     term = st.index_term(F.coalesce("e", F.lit(fv.SHARE_FLOOR)), F.col("share"))
@@ -163,9 +176,13 @@ def quantile_bin(value: Column, edges: Column, bins: int = 10) -> Column:
 
 
 def quantile_psi(totals: DataFrame, bins: int = 10) -> DataFrame:
-    """PSI on the expected sample's quantile bins, per feature. One small array of edges per
-    feature is joined to the collapsed values; raw rows are not read again."""
-    binned = totals.join(quantile_edges(totals, bins=bins), "feature").withColumn(
+    """PSI on the expected sample's quantile bins, per feature.
+
+    The edges are one array of ``bins + 1`` numbers per feature column, whatever the data, so
+    they are broadcast to the collapsed values; raw rows are not read again.
+    """
+    edges = F.broadcast(quantile_edges(totals, bins=bins))
+    binned = totals.join(edges, "feature").withColumn(
         "bin", quantile_bin(F.col("value"), F.col("edges"), bins)
     )
     counted = binned.groupBy("feature").agg(
@@ -223,13 +240,20 @@ def exact_percentiles(
 
 def baseline_statistics(rows: DataFrame, features: list[str]) -> DataFrame:
     """Mean, sample standard deviation, extremes and quartiles per feature."""
-    long = unpivot_features(rows, [], features)
-    moments = long.groupBy("feature").agg(
-        F.avg("value").alias("mean"),
-        F.stddev_samp("value").alias("std"),
-        F.min("value").alias("min"),
-        F.max("value").alias("max"),
-    )
+    def moments_of(feature: str) -> Column:
+        raw = F.col(f"`{feature}`").cast("double")
+        value = F.when(usable(raw), raw)
+        return F.struct(
+            F.lit(feature).alias("feature"),
+            F.avg(value).alias("mean"),
+            F.stddev_samp(value).alias("std"),
+            F.min(value).alias("min"),
+            F.max(value).alias("max"),
+        )
+
+    # One wide aggregate: the rows are not multiplied by the number of features.
+    wide_moments = rows.agg(*[moments_of(f).alias(f"m{i}") for i, f in enumerate(features)])
+    moments = wide_moments.select(F.inline(F.array(*[F.col(f"m{i}") for i in range(len(features))])))
     quartiles = exact_percentiles(rows, features, QUARTILES)
     wide = quartiles.groupBy("feature").agg(
         *[

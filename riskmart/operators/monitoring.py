@@ -102,11 +102,12 @@ def date_coverage(predictions: DataFrame, labels: DataFrame, day: str = "snapsho
 
 
 def common_dates(left: DataFrame, right: DataFrame, day: str = "snapshot_date") -> DataFrame:
-    return left.select(day).intersect(right.select(day))
+    """Distinct first: a plain intersect would join the raw rows of both sides."""
+    return left.select(day).distinct().intersect(right.select(day).distinct())
 
 
 def dates_only_in(left: DataFrame, right: DataFrame, day: str = "snapshot_date") -> DataFrame:
-    return left.select(day).subtract(right.select(day))
+    return left.select(day).distinct().subtract(right.select(day).distinct())
 
 
 def score_summary(scored: DataFrame, keys: list[str], score: str = "model_predictions") -> DataFrame:

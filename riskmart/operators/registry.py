@@ -31,7 +31,7 @@ def enabled_only(models: DataFrame, settings: DataFrame, model: str = "model") -
     """Models switched on in ``settings`` (algorithm, enabled); all when none is."""
     chosen = settings.where("enabled").select(F.col("algorithm").alias(model))
     some = settings.agg(F.coalesce(F.bool_or("enabled"), F.lit(False)).alias("some")).first()["some"]
-    return models.join(F.broadcast(chosen), model, "left_semi") if some else models
+    return models.join(chosen, model, "left_semi") if some else models
 
 
 def performance_documents(

@@ -251,6 +251,31 @@ def _(t: Tables):
     )
 
 
+@query(
+    "k2_incremental_load",
+    c.with_blocks(
+        "SELECT strftime(snapshot_date, '%Y-%m') AS snapshot_month, count(*) AS rows, sum(label)::BIGINT AS positives, "
+        "sum(is_female)::BIGINT AS women FROM labels JOIN features USING (encounter_id, snapshot_date) GROUP BY 1",
+        "labels",
+        "features",
+    ),
+)
+def _(t: Tables):
+    from ..streaming.incremental import load_new_files
+
+    mart, landing, checkpoints = t.mart(), t.path("landing"), t.path("stream-checkpoints")
+    early = F.col("snapshot_date") < "1999-01-01"
+    writers.write_csv(t.raw.where(early), f"{landing}/first")
+    load_new_files(t.spark, f"{landing}/*", mart, checkpoints)
+    writers.write_csv(t.raw.where(~early), f"{landing}/second")
+    load_new_files(t.spark, f"{landing}/*", mart, checkpoints)  # only the new files are read
+    labels = readers.read_table(t.spark, mart.labels, schemas.LABEL_STORE)
+    features = readers.read_table(t.spark, mart.features, schemas.FEATURE_STORE).drop("snapshot_month")
+    return layers.model_rows(labels, features).groupBy("snapshot_month").agg(
+        F.count(F.lit(1)).alias("rows"), F.sum("label").alias("positives"), F.sum("is_female").alias("women")
+    )
+
+
 @query(
     "k3_preprocessing_run",
     c.with_blocks(
