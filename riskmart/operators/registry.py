@@ -48,13 +48,13 @@ def performance_documents(
             *[F.max_by(metric_struct, F.when(F.col("split") == s, 1)).alias(s) for s in SPLITS]
         ).alias("metrics")
     )
-    sizes = samples.agg(
-        *[
-            F.sum(F.when(F.col("split") == s, F.col("rows"))).alias(name)
-            for s, name in [("train", "training_samples"), ("test", "test_samples"), ("oot", "oot_samples")]
-        ]
-    ).select(F.lit(1).alias("_one"), F.struct("*", F.lit(len(fv.MODEL_FEATURES)).cast("long").alias("feature_count")).alias("data_info"))
-    documents = metrics.withColumn("_one", F.lit(1)).join(sizes, "_one").drop("_one")
+    counts = [
+        F.sum(F.when(F.col("split") == s, F.col("rows"))).alias(name)
+        for s, name in [("train", "training_samples"), ("test", "test_samples"), ("oot", "oot_samples")]
+    ]
+    features = F.lit(len(fv.MODEL_FEATURES)).cast("long").alias("feature_count")
+    sizes = samples.agg(*counts).select(F.struct("*", features).alias("data_info"))
+    documents = metrics.withColumn("data_info", sizes.scalar())
     if importance is None:
         empty = F.lit(None).cast(
             "struct<method:string,importance:array<struct<feature:string,importance:double,abs_importance:double>>,"

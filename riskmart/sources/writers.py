@@ -68,12 +68,8 @@ def write_parquet(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").parquet(path)
 
 
-def write_bucketed(df: DataFrame, table: str, key: str, buckets: int) -> None:
-    """A catalogue table bucketed by ``key``: two of them join on the key without a shuffle."""
-    (
-        df.repartition(buckets, key)
-        .write.bucketBy(buckets, key)
-        .sortBy(key)
-        .mode("overwrite")
-        .saveAsTable(table)
-    )
+def write_bucketed(df: DataFrame, table: str, keys: list[str], buckets: int, path: str) -> None:
+    """A catalogue table at ``path``, bucketed by ``keys``: two such tables join on exactly these
+    keys without a shuffle. The keys must be spread evenly, as the encounter key is."""
+    writer = df.repartition(buckets, *keys).write.bucketBy(buckets, *keys).sortBy(*keys)
+    writer.mode("overwrite").option("path", path).saveAsTable(table)
