@@ -15,20 +15,28 @@ def race_cleaned(race: Column) -> Column:
     return F.when(race.isin("?", "Unknown"), "Unknown").otherwise(race)
 
 
-def race_flags(race: Column, strict: bool = False) -> list[Column]:
-    """Race indicators. By default an unknown race counts as Asian, which the stored
-    features rely on; ``strict`` gives it (and NULL) a flag of its own."""
+# flag -> the cleaned races it marks
+RACE_FLAGS = {
+    "race_AfricanAmerican": ["AfricanAmerican"],
+    "race_Caucasian": ["Caucasian"],
+    "race_Asian": ["Asian", "Unknown"],
+    "race_Hispanic": ["Hispanic"],
+    "race_Unknown": ["Unknown"],
+}
+
+
+def race_flag(race: Column, name: str, strict: bool = False) -> Column:
+    """One race indicator. By default an unknown race counts as Asian, which the stored features
+    rely on; ``strict`` gives it (and NULL) the flag ``race_Unknown`` alone."""
     cleaned = race_cleaned(race)
-    asian = ["Asian"] if strict else ["Asian", "Unknown"]
-    flags = [
-        flag(cleaned == "AfricanAmerican").alias("race_AfricanAmerican"),
-        flag(cleaned == "Caucasian").alias("race_Caucasian"),
-        flag(cleaned.isin(*asian)).alias("race_Asian"),
-        flag(cleaned == "Hispanic").alias("race_Hispanic"),
-    ]
-    if strict:
-        flags.append(flag(cleaned.isNull() | (cleaned == "Unknown")).alias("race_Unknown"))
-    return flags
+    if name == "race_Unknown":
+        return flag(cleaned.isNull() | (cleaned == "Unknown"))
+    return flag(cleaned.isin(*[r for r in RACE_FLAGS[name] if not strict or r != "Unknown"]))
+
+
+def race_flags(race: Column, strict: bool = False) -> list[Column]:
+    names = [n for n in RACE_FLAGS if strict or n != "race_Unknown"]
+    return [race_flag(race, n, strict).alias(n) for n in names]
 
 
 def is_female(gender: Column) -> Column:
@@ -138,12 +146,16 @@ def readmission_label(readmitted: Column) -> Column:
 
 
 # --- optional columns, off by default ----------------------------------------------------
-def weight_columns(weight: Column) -> list[Column]:
-    return [
-        lookup(weight, fv.WEIGHT_MIDPOINT).cast("int").alias("weight_midpoint"),
-        F.coalesce(lookup_groups(weight, fv.WEIGHT_LABELS), F.lit("Unknown")).alias("weight_group_label"),
-        flag(weight.isin(*fv.WEIGHT_LABELS["Obese"])).alias("is_obese"),
-    ]
+def weight_midpoint(weight: Column) -> Column:
+    return lookup(weight, fv.WEIGHT_MIDPOINT).cast("int")
+
+
+def weight_group_label(weight: Column) -> Column:
+    return F.coalesce(lookup_groups(weight, fv.WEIGHT_LABELS), F.lit("Unknown"))
+
+
+def is_obese(weight: Column) -> Column:
+    return flag(weight.isin(*fv.WEIGHT_LABELS["Obese"]))
 
 
 def payer_risk_score(payer: Column) -> Column:

@@ -20,7 +20,7 @@ def lookup_groups(key: Column, groups: Mapping) -> Column:
     """The entry of ``groups`` (value -> codes) whose codes hold ``key``, else NULL."""
     out = None
     for value, codes in groups.items():
-        hit = key.isin(*codes)
+        hit = key == codes[0] if len(codes) == 1 else key.isin(*codes)
         out = F.when(hit, F.lit(value)) if out is None else out.when(hit, F.lit(value))
     return out
 

@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from datetime import date
+from functools import partial
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -54,47 +56,47 @@ def label_store(silver_rows: DataFrame) -> DataFrame:
     return silver_rows.select("encounter_id", label, "snapshot_date")
 
 
-def feature_columns(strict_race: bool = False, optional: bool = False) -> dict:
-    """Every derived feature by name, stored or not."""
+def feature_rules(strict_race: bool = False) -> dict[str, Callable[[], Column]]:
+    """The rule of every derived feature, stored or optional, by name. A rule is built when it is
+    called, so that a caller builds only the columns it selects."""
     c = F.col
-    flags = ["race_AfricanAmerican", "race_Caucasian", "race_Asian", "race_Hispanic"]
-    if strict_race:
-        flags.append("race_Unknown")
-    derived = {
-        "race_cleaned": enc.race_cleaned(c("race")),
-        **dict(zip(flags, enc.race_flags(c("race"), strict=strict_race), strict=True)),
-        "is_female": enc.is_female(c("gender")),
-        "age_midpoint": enc.age_midpoint(c("age")),
-        "age_group_index": enc.age_group_index(c("age")),
-        "age_group_label": enc.age_group_label(c("age")),
-        "admission_type_desc": enc.admission_type_desc(c("admission_type_id")),
-        "admission_severity_score": enc.admission_severity_score(c("admission_type_id")),
-        "discharge_severity_score": enc.discharge_severity_score(c("discharge_disposition_id")),
-        "admission_source_risk_score": enc.admission_source_risk_score(c("admission_source_id")),
-        "medication_intensity": enc.medication_intensity(),
-        "diagnosis_density": enc.diagnosis_density(),
-        "max_glu_serum_ord": enc.max_glu_serum_ord(c("max_glu_serum")),
-        "A1Cresult_ord": enc.a1c_result_ord(c("A1Cresult")),
-        **{f"{d}_ord": enc.drug_ord(d) for d in fv.DRUGS},
-        "change": enc.change_flag(c("change")),
-        "diabetesMed": enc.diabetes_med_flag(c("diabetesMed")),
-        "total_visits": enc.total_visits(),
-        "poor_glucose_control": enc.poor_glucose_control(),
-        "severity_x_visits": enc.severity_x_visits(),
-        "medication_density": enc.medication_density(),
+    rules = {
+        "race_cleaned": lambda: enc.race_cleaned(c("race")),
+        **{n: partial(enc.race_flag, c("race"), n, strict_race) for n in enc.RACE_FLAGS},
+        "is_female": lambda: enc.is_female(c("gender")),
+        "age_midpoint": lambda: enc.age_midpoint(c("age")),
+        "age_group_index": lambda: enc.age_group_index(c("age")),
+        "age_group_label": lambda: enc.age_group_label(c("age")),
+        "admission_type_desc": lambda: enc.admission_type_desc(c("admission_type_id")),
+        "admission_severity_score": lambda: enc.admission_severity_score(c("admission_type_id")),
+        "discharge_severity_score": lambda: enc.discharge_severity_score(c("discharge_disposition_id")),
+        "admission_source_risk_score": lambda: enc.admission_source_risk_score(c("admission_source_id")),
+        "medication_intensity": enc.medication_intensity,
+        "diagnosis_density": enc.diagnosis_density,
+        "max_glu_serum_ord": lambda: enc.max_glu_serum_ord(c("max_glu_serum")),
+        "A1Cresult_ord": lambda: enc.a1c_result_ord(c("A1Cresult")),
+        **{f"{d}_ord": partial(enc.drug_ord, d) for d in fv.DRUGS},
+        "change": lambda: enc.change_flag(c("change")),
+        "diabetesMed": lambda: enc.diabetes_med_flag(c("diabetesMed")),
+        "total_visits": enc.total_visits,
+        "poor_glucose_control": enc.poor_glucose_control,
+        "severity_x_visits": enc.severity_x_visits,
+        "medication_density": enc.medication_density,
+        "weight_midpoint": lambda: enc.weight_midpoint(c("weight")),
+        "weight_group_label": lambda: enc.weight_group_label(c("weight")),
+        "is_obese": lambda: enc.is_obese(c("weight")),
+        "payer_risk_score": lambda: enc.payer_risk_score(c("payer_code")),
     }
-    if optional:
-        names = ["weight_midpoint", "weight_group_label", "is_obese"]
-        derived.update(zip(names, enc.weight_columns(c("weight")), strict=True))
-        derived["payer_risk_score"] = enc.payer_risk_score(c("payer_code"))
-    return derived
+    return rules
 
 
-def feature_store(silver_rows: DataFrame, columns: list[str] = fv.FEATURE_STORE_COLUMNS) -> DataFrame:
-    """The stored feature columns, in one projection."""
-    derived = feature_columns(optional=True)
+def feature_store(
+    silver_rows: DataFrame, columns: list[str] = fv.FEATURE_STORE_COLUMNS, strict_race: bool = False
+) -> DataFrame:
+    """The named feature columns (by default the stored ones), in one projection."""
+    rules = feature_rules(strict_race)
     return silver_rows.select(
-        *[derived[name].alias(name) if name in derived else F.col(f"`{name}`") for name in columns]
+        *[rules[name]().alias(name) if name in rules else F.col(f"`{name}`") for name in columns]
     )
 
 

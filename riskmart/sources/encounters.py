@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..fixed_values import DRUGS, PAYER_RISK, WEIGHT_BANDS
+from .readers import spread
 
 KEY, CUST = "o_orderkey", "o_custkey"
 
@@ -103,6 +104,10 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def _orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spread(table(spark, sf_dir, "orders"), KEY)
+
+
 def raw_encounters(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One text row per order. Line items are summed per order before the join, so the large
     table is shuffled once, pre-aggregated, on the key the orders are joined on."""
@@ -111,7 +116,7 @@ def raw_encounters(spark: SparkSession, sf_dir: str) -> DataFrame:
         .groupBy("l_orderkey")
         .agg(F.count(F.lit(1)).alias("lines"), F.sum("l_linenumber").alias("lines_sum"))
     )
-    orders = table(spark, sf_dir, "orders")
+    orders = _orders(spark, sf_dir)
     customers = table(spark, sf_dir, "customer").select("c_custkey", "c_mktsegment")
     joined = orders.join(lines, orders["o_orderkey"] == lines["l_orderkey"], "left").join(
         customers, orders["o_custkey"] == customers["c_custkey"], "left"
@@ -142,13 +147,10 @@ def predictions(spark: SparkSession, sf_dir: str, algorithms: list[str] | None =
             for a in algorithms or list(SCORE_SHAPES)
         ]
     )
-    return (
-        table(spark, sf_dir, "orders")
-        .select(
-            F.col(KEY).alias("encounter_id"),
-            F.expr(SNAPSHOT_EXPRESSION).alias("snapshot_date"),
-            F.inline(scores),
-        )
+    return _orders(spark, sf_dir).select(
+        F.col(KEY).alias("encounter_id"),
+        F.expr(SNAPSHOT_EXPRESSION).alias("snapshot_date"),
+        F.inline(scores),
     )
 
 
