@@ -149,17 +149,25 @@ def value_totals(rows: DataFrame, sample: str, expected: str, actual: str, featu
     return running_totals(counts, ["feature"], "value", ["expected", "actual"])
 
 
-def ks_statistic(totals: DataFrame) -> DataFrame:
-    """Largest distance of the two empirical distributions, and its asymptotic p-value."""
+def _widest_gap() -> Column:
+    """Aggregate: largest distance of the two empirical distributions."""
     f1 = F.try_divide(F.col("expected_to").cast("double"), F.col("expected_all").cast("double"))
     f2 = F.try_divide(F.col("actual_to").cast("double"), F.col("actual_all").cast("double"))
-    widest = totals.groupBy("feature").agg(
-        F.max(F.abs(f1 - f2)).alias("ks_stat"),
-        F.max("expected_all").alias("n_expected"),
-        F.max("actual_all").alias("n_actual"),
-    )
-    p = st.kolmogorov_p_value(F.col("ks_stat"), F.col("n_expected"), F.col("n_actual"))
-    return widest.withColumn("p_value", p)
+    return F.max(F.abs(f1 - f2)).alias("ks_stat")
+
+
+def _sample_sizes() -> list[Column]:
+    return [F.max("expected_all").alias("n_expected"), F.max("actual_all").alias("n_actual")]
+
+
+def _p_value() -> Column:
+    return st.kolmogorov_p_value(F.col("ks_stat"), F.col("n_expected"), F.col("n_actual"))
+
+
+def ks_statistic(totals: DataFrame) -> DataFrame:
+    """Largest distance of the two empirical distributions, and its asymptotic p-value."""
+    widest = totals.groupBy("feature").agg(_widest_gap(), *_sample_sizes())
+    return widest.withColumn("p_value", _p_value())
 
 
 def quantile_edges(totals: DataFrame, measure: str = "expected", bins: int = 10) -> DataFrame:
@@ -175,26 +183,34 @@ def quantile_bin(value: Column, edges: Column, bins: int = 10) -> Column:
     return F.when(inside, F.least(reached, F.lit(bins - 1)))
 
 
-def quantile_psi(totals: DataFrame, bins: int = 10) -> DataFrame:
-    """PSI on the expected sample's quantile bins, per feature.
-
-    The edges are one array of ``bins + 1`` numbers per feature column, whatever the data, so
-    they are broadcast to the collapsed values; raw rows are not read again.
-    """
+def _with_quantile_bins(totals: DataFrame, bins: int) -> DataFrame:
+    """The edges are one array of ``bins + 1`` numbers per feature column, whatever the data, so
+    they are broadcast to the collapsed values; raw rows are not read again."""
     edges = F.broadcast(quantile_edges(totals, bins=bins))
-    binned = totals.join(edges, "feature").withColumn(
+    return totals.join(edges, "feature").withColumn(
         "bin", quantile_bin(F.col("value"), F.col("edges"), bins)
     )
-    counted = binned.groupBy("feature").agg(
+
+
+def _quantile_counts(bins: int) -> list[Column]:
+    return [
         st.histogram_counts(F.col("bin"), F.col("expected"), bins).alias("e"),
         st.histogram_counts(F.col("bin"), F.col("actual"), bins).alias("a"),
-        F.max("expected_all").alias("n_e"),
-        F.max("actual_all").alias("n_a"),
+    ]
+
+
+def _quantile_index() -> Column:
+    return st.stability_index(
+        F.col("e"), F.col("n_expected"), F.col("a"), F.col("n_actual"), floor=fv.QUANTILE_SHARE_FLOOR
     )
-    psi = st.stability_index(
-        F.col("e"), F.col("n_e"), F.col("a"), F.col("n_a"), floor=fv.QUANTILE_SHARE_FLOOR
+
+
+def quantile_psi(totals: DataFrame, bins: int = 10) -> DataFrame:
+    """PSI on the expected sample's quantile bins, per feature."""
+    counted = _with_quantile_bins(totals, bins).groupBy("feature").agg(
+        *_quantile_counts(bins), *_sample_sizes()
     )
-    return counted.select("feature", psi.alias("psi"))
+    return counted.select("feature", _quantile_index().alias("psi"))
 
 
 def drift_table(
@@ -205,14 +221,18 @@ def drift_table(
     actual: str = "oot",
     max_p: float = 0.05,
     max_psi: float = 0.1,
+    bins: int = 10,
 ) -> DataFrame:
-    """KS, p-value, quantile PSI and drift flag for every feature, in one job."""
+    """KS, p-value, quantile PSI and drift flag for every feature, in one aggregate."""
     totals = value_totals(rows, sample, expected, actual, features)
-    both = ks_statistic(totals).join(quantile_psi(totals), "feature")
+    counted = _with_quantile_bins(totals, bins).groupBy("feature").agg(
+        _widest_gap(), *_quantile_counts(bins), *_sample_sizes()
+    )
+    both = counted.select("feature", "ks_stat", _p_value().alias("p_value"), _quantile_index().alias("psi"))
     flagged = F.coalesce(F.col("p_value") < max_p, F.lit(False)) | F.coalesce(
         F.col("psi") > max_psi, F.lit(False)
     )
-    return both.select("feature", "ks_stat", "p_value", "psi", flagged.alias("drift_detected"))
+    return both.withColumn("drift_detected", flagged)
 
 
 def top_drifted(drift: DataFrame, limit: int = 15) -> DataFrame:
