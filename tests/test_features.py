@@ -2,8 +2,8 @@
 
 from datetime import date
 
-import pytest
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegerType, StructField, StructType
 
 from riskmart import fixed_values as fv
 from riskmart.functions import dates, encounter, icd9
@@ -38,12 +38,19 @@ BASE = {c: None for c in ENCOUNTER_COLUMNS} | {
 
 
 def silver(spark, *changes):
-    rows = [tuple((BASE | c)[n] for n in ENCOUNTER_COLUMNS) for c in changes or ({},)]
-    return layers.silver(layers.bronze(spark.createDataFrame(rows, RAW_ENCOUNTER)))
+    rows = [(i, *((BASE | c)[n] for n in ENCOUNTER_COLUMNS)) for i, c in enumerate(changes or ({},))]
+    schema = StructType([StructField("i", IntegerType()), *RAW_ENCOUNTER.fields])
+    return layers.silver(layers.bronze(spark.createDataFrame(rows, schema)))
 
 
-def one(spark, column, **changes):
-    return layers.feature_store(silver(spark, changes), [column]).first()[0]
+def values(spark, column, name, inputs):
+    """The derived column for each input value of the raw column ``name``, in one job."""
+    rows = layers.feature_store(silver(spark, *[{name: v} for v in inputs]), ["i", column])
+    return [r[1] for r in rows.orderBy("i").collect()]
+
+
+def derived(spark, *columns, **changes):
+    return tuple(layers.feature_store(silver(spark, changes), list(columns)).first())
 
 
 def test_stored_columns_and_types(spark):
@@ -55,22 +62,21 @@ def test_stored_columns_and_types(spark):
     assert types["severity_x_visits"] == "int"
 
 
-@pytest.mark.parametrize(
-    ("race", "flags"),
-    [
-        ("AfricanAmerican", (1, 0, 0, 0)),
-        ("Caucasian", (0, 1, 0, 0)),
-        ("Asian", (0, 0, 1, 0)),
-        ("Unknown", (0, 0, 1, 0)),
-        ("?", (0, 0, 1, 0)),
-        ("Hispanic", (0, 0, 0, 1)),
-        ("Other", (0, 0, 0, 0)),
-        (None, (0, 0, 0, 0)),
-    ],
-)
-def test_race_flags(spark, race, flags):
-    row = silver(spark, {"race": race}).select(*encounter.race_flags(F.col("race"))).first()
-    assert tuple(row) == flags
+RACES = {
+    "AfricanAmerican": (1, 0, 0, 0),
+    "Caucasian": (0, 1, 0, 0),
+    "Asian": (0, 0, 1, 0),
+    "Unknown": (0, 0, 1, 0),
+    "?": (0, 0, 1, 0),
+    "Hispanic": (0, 0, 0, 1),
+    "Other": (0, 0, 0, 0),
+    None: (0, 0, 0, 0),
+}
+
+
+def test_race_flags(spark):
+    rows = silver(spark, *[{"race": r} for r in RACES]).orderBy("i").select(*encounter.race_flags(F.col("race")))
+    assert [tuple(r) for r in rows.collect()] == list(RACES.values())
 
 
 def test_strict_race_has_its_own_unknown_flag(spark):
@@ -80,60 +86,57 @@ def test_strict_race_has_its_own_unknown_flag(spark):
 
 
 def test_age(spark):
-    for i, band in enumerate(fv.AGE_BANDS):
-        assert one(spark, "age_midpoint", age=band) == 10 * i + 5
-        assert one(spark, "age_group_index", age=band) == i + 1
-    assert one(spark, "age_midpoint", age="[100-110)") is None
-    assert one(spark, "age_midpoint", age=None) is None
-    labels = [one(spark, "age_group_label", age=a) for a in ("[20-30)", "[30-40)", "[60-70)", "[70-80)", "x", None)]
-    assert labels == ["Young", "Adult", "Adult", "Senior", "Unknown", "Unknown"]
+    bands = [*fv.AGE_BANDS, "[100-110)", None]
+    assert values(spark, "age_midpoint", "age", bands) == [*range(5, 100, 10), None, None]
+    assert values(spark, "age_group_index", "age", bands) == [*range(1, 11), None, None]
+    labels = ["Young"] * 3 + ["Adult"] * 4 + ["Senior"] * 3 + ["Unknown"] * 2
+    assert values(spark, "age_group_label", "age", bands) == labels
 
 
-@pytest.mark.parametrize(("code", "score"), [("1", 3), ("7", 3), ("2", 2), ("3", 1), ("4", 1), ("8", 0), ("9", None), ("?", None)])
-def test_admission_severity(spark, code, score):
-    assert one(spark, "admission_severity_score", admission_type_id=code) == score
+def test_admission_severity(spark):
+    codes = ["1", "2", "3", "4", "5", "6", "7", "8", "9", "?", None]
+    expected = [3, 2, 1, 1, 0, 0, 3, 0, None, None, None]
+    assert values(spark, "admission_severity_score", "admission_type_id", codes) == expected
 
 
 def test_severity_maps_cover_their_codes(spark):
     codes = [c for group in fv.DISCHARGE_SEVERITY.values() for c in group]
     assert sorted(codes) == list(range(1, 31))
-    assert one(spark, "discharge_severity_score", discharge_disposition_id="99") is None
-    assert one(spark, "admission_source_risk_score", admission_source_id="16") is None
-    assert one(spark, "admission_source_risk_score", admission_source_id="19") == 4
+    found = values(spark, "discharge_severity_score", "discharge_disposition_id", ["7", "18", "21", "99"])
+    assert found == [4, 0, 5, None]
+    found = values(spark, "admission_source_risk_score", "admission_source_id", ["16", "19", "20", "26", None])
+    assert found == [None, 4, 0, 3, None]
 
 
 def test_ratios_and_guards(spark):
     import numpy as np
 
     intensity, density = np.float32(3 / 12), np.float32(42 / 6)
-    assert one(spark, "medication_density") == float(intensity) / float(np.float32(density + np.float32(1)))
-    assert one(spark, "medication_intensity", num_medications="0") is None
-    assert one(spark, "diagnosis_density", number_diagnoses="0") is None
-    assert one(spark, "total_visits", number_diagnoses="0") is None
-    assert one(spark, "medication_density", num_medications="0") is None
-    assert one(spark, "severity_x_visits") == 5 * 6
-    assert one(spark, "severity_x_visits", discharge_disposition_id="99") is None
+    expected = float(intensity) / float(np.float32(density + np.float32(1)))
+    assert derived(spark, "medication_density", "severity_x_visits", "total_visits") == (expected, 30, 6)
+    columns = ["medication_intensity", "diagnosis_density", "total_visits", "medication_density"]
+    no_drugs, no_diagnoses = derived(spark, *columns, num_medications="0"), derived(spark, *columns, number_diagnoses="0")
+    assert no_drugs == (None, 7.0, 6, None) and no_diagnoses == (0.25, None, None, None)
+    assert derived(spark, "severity_x_visits", discharge_disposition_id="99") == (None,)
 
 
 def test_laboratory(spark):
-    for missing in (None, "", "?"):
-        assert one(spark, "max_glu_serum", max_glu_serum=missing) == "None"
-        assert one(spark, "A1Cresult_ord", A1Cresult=missing) == 0
-    assert one(spark, "A1Cresult_ord", A1Cresult=">9") is None
-    assert one(spark, "poor_glucose_control", A1Cresult=">9") == 1
-    assert one(spark, "poor_glucose_control", max_glu_serum=">300") == 1
-    assert one(spark, "poor_glucose_control", max_glu_serum="Norm", A1Cresult="Norm") == 0
+    missing = [None, "", "?"]
+    assert values(spark, "max_glu_serum", "max_glu_serum", missing) == ["None"] * 3
+    assert values(spark, "A1Cresult_ord", "A1Cresult", [*missing, "Norm", ">7", ">8", ">9"]) == [0, 0, 0, 1, 2, 3, None]
+    assert values(spark, "poor_glucose_control", "A1Cresult", [">9", ">7", "Norm", None]) == [1, 1, 0, 0]
+    assert values(spark, "poor_glucose_control", "max_glu_serum", [">300", ">200", "Norm"]) == [1, 1, 0]
 
 
 def test_drugs_and_flags(spark):
     drug = "glyburide-metformin"
-    for text, value in {"No": 0, "Steady": 1, "Down": -1, "Up": 2, None: None, "x": None}.items():
-        assert one(spark, f"{drug}_ord", **{drug: text}) == value
-    row = silver(spark).select(
+    codes = {"No": 0, "Steady": 1, "Down": -1, "Up": 2, None: None, "x": None}
+    assert values(spark, f"{drug}_ord", drug, codes) == list(codes.values())
+    exact = silver(spark).select(
         encounter.change_flag(F.col("change")), encounter.change_flag(F.col("change"), exact_case=True)
-    ).first()
-    assert tuple(row) == (1, 0)
-    assert one(spark, "diabetesMed", diabetesMed="No") == 0
+    )
+    assert tuple(exact.first()) == (1, 0)
+    assert values(spark, "diabetesMed", "diabetesMed", ["Yes", "No", None]) == [1, 0, 0]
 
 
 def test_malformed_integers_become_null(spark):
