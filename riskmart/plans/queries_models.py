@@ -352,7 +352,7 @@ def _(t: Tables):
     "w4_newest_versions",
     c.with_blocks(
         "SELECT * FROM (SELECT model_algorithm, snapshot_month, row_count, "
-        "row_number() OVER (PARTITION BY model_algorithm ORDER BY snapshot_month DESC) AS recency FROM "
+        "CAST(row_number() OVER (PARTITION BY model_algorithm ORDER BY snapshot_month DESC) AS INTEGER) AS recency FROM "
         "(SELECT model_algorithm, snapshot_month, count(*) AS row_count FROM scored GROUP BY ALL)) WHERE recency <= 10",
         "scored",
     ),
@@ -432,7 +432,7 @@ def _(t: Tables):
     "t5_versions_newest_first",
     c.with_blocks(
         "SELECT * FROM (SELECT model_algorithm AS algorithm, snapshot_month AS version, "
-        "row_number() OVER (PARTITION BY model_algorithm ORDER BY snapshot_month DESC) AS recency, round(auc, 6) AS auc FROM aucs) "
+        "CAST(row_number() OVER (PARTITION BY model_algorithm ORDER BY snapshot_month DESC) AS INTEGER) AS recency, round(auc, 6) AS auc FROM aucs) "
         "WHERE recency <= 10",
         "scored",
         extra={"aucs": c.auc_sql("scored", "model_algorithm, snapshot_month")},
@@ -893,8 +893,8 @@ def _(t: Tables):
 @query(
     "r8_registry_retention",
     c.with_blocks(
-        "SELECT algorithm, version, recency FROM (SELECT algorithm, version, row_number() OVER (PARTITION BY algorithm ORDER BY version DESC) "
-        "AS recency FROM version_rows) WHERE recency <= 10",
+        "SELECT algorithm, version, recency FROM (SELECT algorithm, version, CAST(row_number() OVER (PARTITION BY algorithm ORDER BY version DESC) "
+        "AS INTEGER) AS recency FROM version_rows) WHERE recency <= 10",
         "split_scores",
         extra=INDEX,
     ),

@@ -1009,7 +1009,7 @@ def _(t: Tables):
     "f35_vector_assembly",
     c.with_blocks(
         "SELECT encounter_id, 14 AS size, round(coalesce(age_midpoint, 0) + coalesce(severity_x_visits, 0) + "
-        "coalesce(admission_severity_score, 0) + coalesce(insulin_ord, 0), 6) AS part_sum FROM model_rows",
+        "coalesce(admission_severity_score, 0) + coalesce(insulin_ord, 0) + CAST(0 AS DOUBLE), 6) AS part_sum FROM model_rows",
         "model_rows",
     ),
 )
