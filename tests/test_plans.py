@@ -85,6 +85,23 @@ def test_hot_month_is_spread_over_tasks(spark, tables):
     assert "REBALANCE_PARTITIONS_BY_COL" in plan(rows)
 
 
+def test_hot_group_is_cut_into_even_pieces(spark):
+    """One group holds nearly all rows, and its scores lie close together."""
+    from riskmart.operators import ranking
+
+    score = F.lit(0.11) + F.col("id") * 1e-9
+    rows = spark.range(0, 40000, numPartitions=4).select(
+        F.when(F.col("id") % 100 == 0, "small").otherwise("hot").alias("g"), score.alias("score"), F.lit(1).alias("label")
+    )
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        pieces = ranking.in_pieces(ranking.tied_counts(rows, ["g"], "score", "label"), ["g"], "score")
+        sizes = [r["count"] for r in pieces.groupBy(ranking.PIECE).count().collect()]
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    assert len(sizes) == 4 and sum(sizes) == 40000 and max(sizes) < 15000
+
+
 def test_results_do_not_depend_on_shuffle_partitions(spark, tables):
     def report():
         return {
