@@ -53,6 +53,8 @@ LABELLED = (
     (2, 0.0, 3, 1.0, 40, 0.0, 0, 1, 1, 1), (120, 0.05, 2, 0.0, 3, 0.0, 0, 1, 0, 1), (3, 0.0, 8, 0.0, 1, 0.0, 0, 1, 0, 1),
     (15, 0.6, 40, 0.0, 35, 0.0, 0, 1, 0, 1), (6, 0.0, 5, 0.0, 0, 0.0, 0, 1, 0, 1), (70, 0.0, 0, 0.0, 0, 0.0, 0, 1, 0, 1),
     (1, 0.0, 1, 0.0, 1, 0.0, 0, 1, 0, 1), (9, 0.0, 9, 0.0, 4, 0.0, 0, 1, 1, 1), (25, 0.3, 25, 0.1, 3, 0.0, 0, 1, 0, 1),
+    (6, 0.0, 40, 0.0, 1, 1.0, 0, 1, 0, 1), (2, 0.0, 1, 1.0, 2, 1.0, 0, 1, 0, 1), (3, 0.0, 1, 1.0, 1, 1.0, 0, 1, 1, 1),
+    (12, 0.0, 30, 0.0, 4, 1.0, 0, 1, 0, 1), (1, 0.0, 4, 1.0, 9, 0.5, 0, 1, 0, 1), (5, 0.0, 20, 0.0, 2, 0.0, 0, 1, 0, 1),
     (4, 1.0, 60, 0.0, 4, 1.0, 0, 1, 0, 0), (3, 1.0, 3, 1.0, 3, 1.0, 0, 1, 0, 0), (5, 1.0, 4, 1.0, 30, 0.0, 0, 1, 0, 0),
     (1, 1.0, 0, 0.0, 1, 1.0, 1, 0, 0, 0), (1, 1.0, 1, 1.0, 1, 1.0, 1, 0, 0, 0), (2, 1.0, 1, 1.0, 12, 0.0, 1, 0, 0, 0),
     (12, 0.0, 1, 1.0, 8, 0.0, 1, 0, 0, 0), (30, 0.0, 5, 1.0, 30, 0.0, 1, 0, 0, 0), (60, 0.0, 40, 0.0, 70, 0.0, 1, 0, 0, 0),

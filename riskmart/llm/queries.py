@@ -4,11 +4,33 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import exact_dedup, language, simhash
+from . import bpe, embedding, exact_dedup, html_text, language, language_model, packing, pii, quality, simhash
 from .common import table
 
+RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
+WORD_TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
+
+
+def op1_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return pii.digests(pii.find(docs, pii.learn(docs)))
+
+
+def op2_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return quality.score(docs, quality.learn(docs, table(spark, sf_dir, "labels")))
+
+
+def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack_documents(table(spark, sf_dir, "documents"), WORD_TOKENIZER)
+
+
+def op4_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bpe.digests(table(spark, sf_dir, "documents"), RANKS, public_tokenizers.PATTERN)
+
 
 def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language.languages(table(spark, sf_dir, "documents"))
@@ -18,13 +40,29 @@ def op6_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op7_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_text.extract(table(spark, sf_dir, "pages"))
+
+
+def op8_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embedding.near_duplicates(table(spark, sf_dir, "embeddings"))
+
+
+def op9_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language_model.scores(table(spark, sf_dir, "documents"))
+
+
 def op10_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op5_language_id, op6_exact_dedup, op10_simhash_near_dedup)
-}
+    f.__name__: f
+    for f in (
+        op1_pii, op2_quality, op3_packing, op4_bpe, op5_language_id, op6_exact_dedup, op7_html_text,
+        op8_embedding_near_dedup, op9_lm_score, op10_simhash_near_dedup,
+    )
+}
 
 ORACLE_SQL = {
     "op6_exact_dedup": """
