@@ -54,17 +54,19 @@ def components(links: DataFrame) -> DataFrame:
 
     Alternates large-star and small-star steps: each node's larger neighbours, then its smaller ones, are
     hung on its smallest neighbour, until every component is a star. Each step is a map-side combined
-    minimum and a join, so that a hub is neither collected nor scanned by one task. Steps are written to
-    the shared folder, which cuts the lineage.
+    minimum and a join, so that a hub is neither collected nor scanned by one task: the minima are written
+    first, so that the join has shuffles of its own, which the adaptive planner can split at a hub. Steps are
+    written to the shared folder, which also cuts the lineage.
     """
     edges = links.where("a != b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
     edges, before = materialize(edges, "edges"), None
     while True:
         both = edges.union(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
         least = both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m"))
+        least = materialize(least, "least")
         large = both.where("b > a").join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b"))
         large = materialize(large.where("a != b").distinct(), "large-star")
-        least = large.groupBy("a").agg(F.min("b").alias("m"))
+        least = materialize(large.groupBy("a").agg(F.min("b").alias("m")), "least")
         hung = large.join(least, "a").select(F.explode(F.array("a", "b")).alias("a"), F.col("m").alias("b"))
         edges = materialize(hung.where("a != b").distinct(), "small-star")
         now = edges.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()

@@ -101,6 +101,7 @@ def exact_duplicates(docs: DataFrame, block_chars: int = BLOCK_CHARS) -> DataFra
     rows = materialize(identities(docs, block_chars), "identities")
     order = F.struct("doc_id", "row_id")  # null ids sort first, so that they never win
     groups = rows.groupBy("n_blocks", "identity").agg(F.max(order).alias("best"), F.count("*").alias("group_size"))
+    groups = materialize(groups, "groups")  # so that the join can be split at a hot group
     return rows.join(groups, ["n_blocks", "identity"]).select(
         "doc_id",
         F.col("best.doc_id").alias("keep_id"),
