@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from ..sources.scratch import materialize
 
 #: Bytes of text that a task holds decoded at a time. A longer single text is a slice of its own.
-SLICE_BYTES = 4 << 20
+SLICE_BYTES = 1 << 20
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

@@ -4,7 +4,8 @@ Counts of words and word pairs over the whole training corpus are quantised on a
 count of level q the filter holds the pairs (n-gram, 1) to (n-gram, q), so a count is read back by probing for
 rising levels until one is missing: errors can only raise a count, and rarely by more than a level. The filter
 is made of segments; each n-gram lies in one, so Spark tasks build the segments independently. It is then
-broadcast, its size bounded by ``MAX_BITS``.
+broadcast. Its size is bounded by ``MAX_BITS``: from the histogram of all counts follows the least level whose
+n-grams fit at ``BITS_PER_ITEM``, and rarer ones count as unseen.
 
     p1(w)     = (c(w) + 0.1) / (N + 0.1 (V + 1))
     p(w | u)  = L c(u w) / c(u) + (1 - L) p1(w)          all c read from the filter
@@ -38,6 +39,7 @@ MIN_PAIR_COUNT = 2
 #: L, the share of the pair estimate; all of it goes to p1 after a word never seen.
 PAIR_SHARE = 0.15
 BITS_PER_ITEM, PROBES = 12, 3
+MOST_LEVELS = 110  # of a 64-bit count
 SEGMENT_BITS = 1 << 18
 MAX_BITS = 1 << 29
 #: Words in the broadcast table of exact counts.
@@ -141,7 +143,7 @@ class Filter:
         found = np.zeros(len(keys), np.int64)
         alive = np.arange(len(keys))
         at = 0
-        while len(alive):
+        while len(alive) and at < MOST_LEVELS:
             at += 1
             places = self.places(keys[alive], np.full(len(alive), at))
             rows, present = segment[alive], np.ones(len(alive), bool)
@@ -230,10 +232,16 @@ def learn(training: DataFrame, counts: DataFrame, n_docs: int) -> Model:
     singles = counts.mapInArrow(hash_words, "key long, c long")
     end = training.sparkSession.createDataFrame([(int(END_HASH.view(np.int64)), n_docs)], "key long, c long")
     grams = pairs.unionByName(singles).unionByName(end.where("c > 0"))
-    # every n-gram takes as many places as its level; the filter is sized by their sum
-    levels = 1 + F.floor(F.log(F.col("c").cast("double")) / math.log(BASE))
-    items = (pairs.agg(F.sum(levels)).first()[0] or 0) + (counts.agg(F.sum(levels)).first()[0] or 0)
-    segments = min(max(1, math.ceil(items * BITS_PER_ITEM / SEGMENT_BITS)), MAX_BITS // SEGMENT_BITS)
+    grams = grams.withColumn("level", (1 + F.floor(F.log("c") / math.log(BASE) + 1e-9)).cast("int"))
+    histogram = grams.groupBy("level").count().orderBy(F.desc("level")).collect()  # a row for each level
+    least, items = 1, 0
+    for row in histogram:
+        if (items + row["level"] * row["count"]) * BITS_PER_ITEM > MAX_BITS:
+            least = row["level"] + 1
+            break
+        items += row["level"] * row["count"]
+    grams = grams.where(F.col("level") >= least).select("key", "c")
+    segments = max(1, math.ceil(items * BITS_PER_ITEM / SEGMENT_BITS))
 
     def pack_segments(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
