@@ -16,58 +16,45 @@ from riskmart.llm.common import materialize, table
 from riskmart.llm.queries import WORD_TOKENIZER
 
 
-def _with_row_id(docs: DataFrame) -> tuple[DataFrame, str]:
-    """``docs`` with a number for each row, stable because written, under a name that no column has."""
-    name = "row_number"
-    while name in docs.columns:
-        name += "_"
-    return materialize(docs.withColumn(name, F.monotonically_increasing_id()), "documents"), name
+#: Names of the key columns that stages add and take away again.
+KEYS = ["_text_key", "_id_key"]
 
 
-def _keep(docs: DataFrame, row: str, kept: DataFrame) -> DataFrame:
-    """Rows of ``docs`` whose number is among ``kept(doc_id)``, with the columns of the documents."""
-    return docs.join(kept.select(F.col("doc_id").alias(row)), row, "left_semi").drop(row)
+def _keyed(docs: DataFrame) -> DataFrame:
+    """``docs`` with a key of doc_id and text: rows with equal keys are copies of one row. Null ids have a key too."""
+    return docs.withColumns(
+        {KEYS[0]: F.xxhash64("doc_id", F.coalesce("text", F.lit(""))), KEYS[1]: F.coalesce("doc_id", F.lit(-1))}
+    )
 
 
-def _numbered(docs: DataFrame, row: str) -> DataFrame:
-    """What operators read, with row numbers as ids: repeated and null ids are rows like any other."""
-    return docs.select(F.col(row).alias("doc_id"), "text")
+def _keep(docs: DataFrame, keys: DataFrame) -> DataFrame:
+    """One row of ``docs`` for each of the keys. Joined and made distinct in one shuffle by key."""
+    return _keyed(docs).join(keys, KEYS, "left_semi").dropDuplicates(KEYS).drop(*KEYS)
 
 
 def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality ranking does not reject."""
-    docs, row = _with_row_id(docs)
-    ranking = quality.learn(docs, table(spark, sf_dir, "labels"))
-    return _keep(docs, row, quality.score(_numbered(docs, row), ranking).where("predicted = 1"))
+    return quality.keep(docs, quality.learn(docs, table(spark, sf_dir, "labels")))
 
 
 def drop_exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of equal texts: the one with the largest doc_id."""
-    docs, row = _with_row_id(docs)
-    ordered = docs.select(F.struct(F.col("doc_id"), F.col(row).alias("row")).alias("doc_id"), "text")
-    kept = exact_dedup.exact_duplicates(ordered).where("kept")
-    return _keep(docs, row, kept.select(F.col("doc_id.row").alias("doc_id")))
+    """One document of each group of equal texts: the one with the largest doc_id, null being the smallest."""
+    rows = _keyed(docs).select(F.struct("doc_id", *KEYS).alias("doc_id"), "text")
+    kept = exact_dedup.exact_duplicates(rows).where("kept")
+    return _keep(docs, kept.select(*(f"doc_id.{k}" for k in KEYS)))
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each SimHash component."""
-    docs, row = _with_row_id(docs)
-    found = simhash.near_duplicates(_numbered(docs, row))
-    return _keep(docs, row, found.where("doc_id = component_id"))
+    """One document of each SimHash component: the one with the smallest doc_id, null being the largest."""
+    by_id = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", *KEYS)
+    found = simhash.near_duplicates(_keyed(docs).select(by_id.alias("doc_id"), "text"))
+    kept = found.where(F.col("doc_id").eqNullSafe(F.col("component_id")))
+    return _keep(docs, kept.select(*(f"doc_id.{k}" for k in KEYS)))
 
 
 def mask_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, with personal data in their texts replaced by its kind; n_chars follows the text."""
-    docs, row = _with_row_id(docs)
-    field = pii.learn(docs)
-    changed = pii.find(_numbered(docs, row), field).where("spans != ''")
-    masked = changed.select(F.col("doc_id").alias(row), "masked")
-    new = {
-        "text": F.coalesce("masked", docs["text"]),
-        "n_chars": F.coalesce(F.length("masked").cast("long"), docs["n_chars"] if "n_chars" in docs.columns else F.lit(None)),
-    }
-    columns = [new[c].alias(c) if c in new else docs[c] for c in docs.columns if c != row]
-    return docs.join(masked, row, "left").select(*columns)
+    return pii.mask(docs, pii.learn(docs))
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -52,8 +52,9 @@ def identities(docs: DataFrame, block_chars: int = BLOCK_CHARS, hashed=F.xxhash6
     clashes = materialize(shared_hashes(blocks), "clashing-blocks")
 
     placed = (
-        cut.select(
-            F.monotonically_increasing_id().alias("row_id"),
+        cut.withColumn("row_id", F.monotonically_increasing_id())  # before the blocks are exploded: one for each text
+        .select(
+            "row_id",
             "doc_id",
             F.sha2(F.col("text").cast("binary"), 256).alias("sha"),
             F.size("blocks").alias("n_blocks"),

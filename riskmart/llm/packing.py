@@ -14,6 +14,7 @@ import re
 import zlib
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import chain
 
 import numpy as np
 import pandas as pd
@@ -26,6 +27,7 @@ from .common import materialize, text_slices
 
 CAPACITY = 4096
 END_ID = 1
+ID_BYTES = 4
 GROUP_ITEMS = 20_000
 ISLANDS = 2
 EPOCHS = 2
@@ -55,7 +57,7 @@ class WordTokenizer:
         self.latin = re.compile(f"'s|'t|'re|'ve|'m|'ll|'d|[{letters}]+|[{numbers}]|[^{spaces}{letters}{numbers}]+").findall
         self.any = regex.compile(self.WORDS).findall
         self.beyond_latin = re.compile(f"[^\\0-{chr(LATIN_END - 1)}]").search
-        self.cache: dict[str, list[int]] = {}
+        self.cache: dict[str, bytes] = {}  # little-endian 32-bit ids
 
     def words(self, text: str) -> list[str]:
         if not self.beyond_latin(text):  # composed already, and lower-cased character by character
@@ -63,15 +65,16 @@ class WordTokenizer:
             return self.any(lowered) if self.beyond_latin(lowered) else self.latin(lowered)
         return self.any(self.tokenizer.normalizer.normalize_str(text))
 
-    def encode(self, texts: list[str]) -> list[list[int]]:
+    def encode(self, texts: list[str]) -> list[bytes]:
+        """The ids of each text as little-endian 32-bit integers."""
         cut = [self.words(text) for text in texts]
         if len(self.cache) >= CACHE_WORDS:
             self.cache.clear()
-        cache = self.cache
-        new = list({word for words in cut for word in words if word not in cache})
+        new = list(set(chain.from_iterable(cut)).difference(self.cache))
         for word, found in zip(new, self.tokenizer.encode_batch_fast(new, add_special_tokens=False)):
-            cache[word] = found.ids
-        return [[i for word in words for i in cache[word]] for words in cut]
+            self.cache[word] = np.array(found.ids, "<u4").tobytes()
+        known = self.cache.__getitem__
+        return [b"".join(map(known, words)) for words in cut]
 
 
 @lru_cache(maxsize=1)
@@ -91,10 +94,10 @@ def pieces(docs: DataFrame, path: str, capacity: int = CAPACITY) -> DataFrame:
         for batch in text_slices(batches):
             rows: list[list] = [[], [], [], [], []]
             for doc_id, ids in zip(batch.column("doc_id").to_pylist(), tokenizer.encode(batch.column("text").to_pylist())):
-                ids = np.array([*ids, END_ID], "<u4")
-                for nth, start in enumerate(range(0, len(ids), capacity)):
-                    part = ids[start : start + capacity]
-                    for column, value in zip(rows, (doc_id, nth, start, len(part), zlib.crc32(part.tobytes()))):
+                ids += END_ID.to_bytes(ID_BYTES, "little")
+                for nth, start in enumerate(range(0, len(ids) // ID_BYTES, capacity)):
+                    part = ids[start * ID_BYTES : (start + capacity) * ID_BYTES]
+                    for column, value in zip(rows, (doc_id, nth, start, len(part) // ID_BYTES, zlib.crc32(part))):
                         column.append(value)
             kinds = (pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64())
             arrays = [pa.array(column, kind) for column, kind in zip(rows, kinds)]

@@ -21,7 +21,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import text_slices
+from .common import rows_with_texts, text_slices
 
 KINDS = ("email", "ip", "card", "phone")
 OUTSIDE = len(KINDS)
@@ -340,6 +340,29 @@ def find(docs: DataFrame, field: Field) -> DataFrame:
     return rows.mapInArrow(run, f"doc_id long, {counts}, base string, spans string, masked string")
 
 
+def mask(docs: DataFrame, field: Field) -> DataFrame:
+    """The rows of ``docs``, with all their columns, personal data in the text replaced by its kind. A column
+    n_chars follows the text; a null text stays null."""
+    shared = docs.sparkSession.sparkContext.broadcast(field)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch, column in rows_with_texts(batches):
+            texts = column.to_pylist()
+            _, spans = all_spans(shared.value, texts)
+            at = batch.schema.get_field_index("text")
+            was = batch.column(at).to_pylist()
+            clean = [masked(t, s) if s else old for t, s, old in zip(texts, spans, was)]
+            batch = batch.set_column(at, "text", pa.array(clean, batch.schema.field(at).type))
+            sizes = batch.schema.get_field_index("n_chars")
+            if sizes >= 0:
+                old_sizes = batch.column(sizes).to_pylist()
+                new = [len(c) if s else old for c, s, old in zip(clean, spans, old_sizes)]
+                batch = batch.set_column(sizes, "n_chars", pa.array(new, batch.schema.field(sizes).type))
+            yield batch
+
+    return docs.mapInArrow(run, docs.schema)
+
+
 def digests(found: DataFrame) -> DataFrame:
     """The rows of ``find`` with the base spans hashed and without texts."""
     counts = [f"n_{k}" for k in KINDS]

@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import crc_mod, text_slices
+from .common import crc_mod, rows_with_texts, text_slices
 
 #: Labelled documents that weights are fitted on, at most: those with the smallest hashes of their ids.
 FIT_ROWS = 20_000
@@ -149,3 +149,15 @@ def score(docs: DataFrame, ranking: Ranking) -> DataFrame:
 
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), held_out(F.col("doc_id")).alias("held_out"), "text")
     return rows.mapInArrow(run, "doc_id long, held_out boolean, score double, predicted int")
+
+
+def keep(docs: DataFrame, ranking: Ranking) -> DataFrame:
+    """The rows of ``docs``, with all their columns, that ``score`` predicts to be good."""
+    shared = docs.sparkSession.sparkContext.broadcast(ranking)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch, texts in rows_with_texts(batches):
+            stats = np.array([statistics(t) for t in texts.to_pylist()])
+            yield batch.filter(pa.array(shared.value.score(stats) >= CUT_SCORE))
+
+    return docs.mapInArrow(run, docs.schema)

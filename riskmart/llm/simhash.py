@@ -17,6 +17,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .common import components, materialize, text_slices
 
@@ -52,9 +53,10 @@ def _fingerprints(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
 
 
 def fingerprints(docs: DataFrame) -> DataFrame:
-    """(doc_id, fp) of each row of ``docs(doc_id, text)``; a null text is empty and has fingerprint zero."""
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    return rows.mapInArrow(_fingerprints, "doc_id long, fp long")
+    """(doc_id, fp) of each row of ``docs(doc_id, text)``; a null text is empty and has fingerprint zero. Ids
+    may be of any type that has an order."""
+    rows = docs.select("doc_id", F.col("text").cast("string").alias("text"))
+    return rows.mapInArrow(_fingerprints, T.StructType([rows.schema["doc_id"], T.StructField("fp", T.LongType())]))
 
 
 def _segment(fp: Column, i: int) -> Column:
