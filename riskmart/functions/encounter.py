@@ -61,17 +61,16 @@ def admission_type_desc(code: Column) -> Column:
 
 
 def admission_severity_score(code: Column) -> Column:
-    """Score of the admission type, looked up by code (the two tables are composed here)."""
-    score_of = {name: score for score, names in fv.ADMISSION_SEVERITY.items() for name in names}
-    return lookup(code, {c: score_of[name] for c, name in fv.ADMISSION_TYPE.items()})
+    """Score of the admission type that the code stands for."""
+    return lookup(code, {c: fv.ADMISSION_SEVERITY[name] for c, name in fv.ADMISSION_TYPE.items()})
 
 
 def discharge_severity_score(code: Column) -> Column:
-    return lookup_groups(code, fv.DISCHARGE_SEVERITY)
+    return lookup(code, fv.DISCHARGE_SEVERITY)
 
 
 def admission_source_risk_score(code: Column) -> Column:
-    return lookup_groups(code, fv.ADMISSION_SOURCE_RISK)
+    return lookup(code, fv.ADMISSION_SOURCE_RISK)
 
 
 # --- intensity ---------------------------------------------------------------------
@@ -159,4 +158,4 @@ def is_obese(weight: Column) -> Column:
 
 
 def payer_risk_score(payer: Column) -> Column:
-    return lookup_groups(payer, fv.PAYER_RISK)
+    return lookup(payer, fv.PAYER_RISK)

@@ -79,15 +79,15 @@ def load(
     last: date | None = None,
     bronze_format: str = "parquet",
 ) -> DataFrame:
-    """Raw rows to bronze, silver and both gold stores, one write each. Returns the row counts
-    of the loaded months (lazy)."""
+    """Raw rows to bronze, silver and both gold stores, one write each; only bronze is shuffled, as
+    its files hold one month each. Returns the row counts of the loaded months (lazy)."""
     writers.write_months(layers.bronze(raw, first, last), mart.bronze, bronze_format)
     read = readers.read_csv_table if bronze_format == "csv" else readers.read_table
     bronze = _window(read(spark, mart.bronze, schemas.RAW_ENCOUNTER), first, last)
-    writers.write_months(layers.silver(bronze), mart.silver)
+    writers.write_months(layers.silver(bronze), mart.silver, grouped=True)
     silver = _window(readers.read_table(spark, mart.silver, schemas.ENCOUNTER), first, last)
-    writers.write_months(layers.label_store(silver), mart.labels)
-    writers.write_months(layers.feature_store(silver), mart.features)
+    writers.write_months(layers.label_store(silver), mart.labels, grouped=True)
+    writers.write_months(layers.feature_store(silver), mart.features, grouped=True)
     labels = _window(readers.read_table(spark, mart.labels, schemas.LABEL_STORE), first, last)
     features = _window(readers.read_table(spark, mart.features, schemas.FEATURE_STORE), first, last)
     return layers.rows_per_layer(

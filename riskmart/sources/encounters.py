@@ -11,7 +11,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..fixed_values import DRUGS, PAYER_RISK, WEIGHT_BANDS
-from .readers import spread
 
 KEY, CUST = "o_orderkey", "o_custkey"
 
@@ -35,7 +34,7 @@ def _text(expression: str) -> str:
     return f"CAST({expression} AS STRING)"
 
 
-PAYERS = sorted(code for codes in PAYER_RISK.values() for code in codes)
+PAYERS = sorted(PAYER_RISK)
 
 # raw column -> expression; every raw column is text, as in a CSV file
 RAW_EXPRESSIONS: dict[str, str] = {
@@ -105,7 +104,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def _orders(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spread(table(spark, sf_dir, "orders"), KEY)
+    return table(spark, sf_dir, "orders")
 
 
 def raw_encounters(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -91,16 +91,6 @@ def read_json_lines(spark: SparkSession, path: str, schema: T.StructType) -> Dat
     return spark.read.schema(schema).json(path)
 
 
-def spread(scan: DataFrame, key: str) -> DataFrame:
-    """Spread a scan of fewer tasks than cores over all of them, by ``key``.
-
-    For small tables in one file, whose rows are expensive to compute with. A scan with enough
-    tasks, as any large table has, comes back as it is: no shuffle is added.
-    """
-    cores = scan.sparkSession.sparkContext.defaultParallelism
-    return scan if scan.rdd.getNumPartitions() >= cores else scan.repartition(cores, key)
-
-
 def latest_run(runs: DataFrame, version: str = "version", keys: list[str] | None = None) -> DataFrame:
     """The greatest version (per key), with the other columns of its row."""
     rest = [c for c in runs.columns if c != version and c not in (keys or [])]

@@ -7,7 +7,6 @@ writes it as a Parquet table under the folder the cluster names in
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -16,15 +15,11 @@ _SETTING = "spark.checkpoint.dir"
 
 
 def scratch_root(spark: SparkSession) -> str:
-    """The shared folder of the session; a local one only in local mode, where none is set."""
+    """The shared folder that the session names."""
     root = spark.conf.get(_SETTING, None)
-    if root:
-        return root.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
-        raise ValueError(f"set {_SETTING} to a folder that all executors share")
-    root = tempfile.mkdtemp(prefix="riskmart-")
-    spark.conf.set(_SETTING, root)
-    return root
+    if not root:
+        raise ValueError(f"set {_SETTING} to a folder that all executors share, when the session is built")
+    return root.rstrip("/")
 
 
 def _application_folder(spark: SparkSession) -> str:

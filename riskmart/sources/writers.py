@@ -21,13 +21,16 @@ def write_months(
     path: str,
     file_format: str = "parquet",
     keys: tuple[str, ...] = (MONTH,),
+    grouped: bool = False,
 ) -> None:
     """Write a table partitioned by ``keys``, replacing only the partitions ``df`` holds.
 
     The rebalance hint groups a month's rows into few files, and splits a month that is far
-    larger than the others over many tasks; a plain ``repartition(month)`` would not.
+    larger than the others over many tasks; a plain ``repartition(month)`` would not. Rows that
+    come ``grouped`` already, row by row from a table written so, are written in scan order.
     """
-    writer = with_month(df).hint("rebalance", *keys).write.partitionBy(*keys).mode("overwrite")
+    rows = with_month(df)
+    writer = (rows if grouped else rows.hint("rebalance", *keys)).write.partitionBy(*keys).mode("overwrite")
     writer = writer.option("partitionOverwriteMode", "dynamic")
     if file_format == "csv":
         writer = writer.options(**CSV_OPTIONS)

@@ -129,7 +129,7 @@ def test_every_operator_of_the_inventory_is_registered():
 def test_check_sql_belongs_to_queries():
     names, checks = set(entry.queries()), set(entry.oracle_sql())
     assert checks <= names
-    rows_only = {n for n in names - checks}
+    rows_only = set(catalog.QUERIES) - checks  # the corpus operators have brute-force tests of their own
     assert all(n.startswith(("m", "t3")) for n in rows_only), rows_only
 
 
