@@ -65,6 +65,7 @@ LABELLED = (
     (18, 0.0, 45, 0.0, 40, 0.0, 0, 0, 0, 1), (12, 0.0, 50, 0.0, 30, 0.0, 0, 0, 0, 1), (5, 0.0, 60, 0.0, 50, 0.0, 0, 0, 0, 1),
     (2, 0.0, 40, 0.0, 30, 0.0, 0, 0, 0, 1), (7, 0.0, 2, 1.0, 45, 0.0, 0, 0, 1, 1), (4, 0.0, 30, 0.0, 30, 0.0, 0, 0, 1, 1),
     (10, 0.0, 1, 1.0, 60, 0.0, 0, 0, 1, 1), (30, 0.2, 60, 0.0, 1, 1.0, 0, 0, 0, 1), (16, 0.0, 20, 0.0, 3, 0.0, 0, 0, 0, 1),
+    (15, 0.0, 16, 0.0, 2, 1.0, 0, 0, 0, 1), (13, 0.0, 40, 0.0, 3, 1.0, 0, 0, 0, 1), (14, 0.0, 3, 1.0, 9, 1.0, 0, 0, 0, 1),
     (1, 1.0, 1, 1.0, 1, 1.0, 0, 0, 0, 0), (3, 1.0, 2, 1.0, 40, 0.0, 0, 0, 0, 0), (5, 0.8, 60, 0.0, 4, 1.0, 0, 0, 0, 0),
     (2, 0.0, 1, 1.0, 2, 1.0, 0, 0, 0, 0), (4, 0.0, 3, 0.9, 5, 0.5, 0, 0, 0, 0), (20, 0.9, 3, 1.0, 6, 1.0, 0, 0, 0, 0),
     (3, 0.0, 2, 0.0, 2, 0.0, 0, 0, 0, 0), (6, 0.0, 4, 0.0, 0, 0.0, 0, 0, 0, 0), (5, 0.0, 0, 0.0, 3, 1.0, 0, 0, 1, 0),
