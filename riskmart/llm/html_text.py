@@ -169,9 +169,10 @@ class _Page:
         if self.parts:
             text = _SPACE.sub(" ", "".join(self.parts)).strip()
             if text:
-                linked = len("".join(self.linked).split())
-                self.blocks.append([text, text.count(" ") + 1, linked, self.chrome > 0, self.article > 0, self.heading])
-            self.parts, self.linked = [], []
+                words = text.count(" ") + 1
+                linked = min(words, len("".join(self.linked).split()))
+                self.blocks.append([text, words, linked, self.chrome > 0, self.article > 0, self.heading])
+        self.parts, self.linked = [], []
 
     def _start(self, name: str, attributes: str) -> None:
         if name == "br":
@@ -182,6 +183,7 @@ class _Page:
             self.heading = len(name) == 2 and name[0] == "h" and name[1].isdigit()
         if name == "a":
             self.link = True
+            self.linked.append(" ")
         if name in _VOID or attributes.endswith("/") and name not in _BLOCK:
             return
         if name in ("p", "li", "td", "th", "tr", "dd", "dt", "option") and self.open and self.open[-1][0] == name:
@@ -210,6 +212,7 @@ class _Page:
     def _close(self, name: str) -> None:
         if name == "a":
             self.link = False
+            self.linked.append(" ")
         if name in _BLOCK:
             self._end_block()
             self.link = self.heading = False
