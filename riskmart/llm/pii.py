@@ -318,26 +318,27 @@ def masked(text: str, spans: list[Span]) -> str:
 
 
 def find(docs: DataFrame, field: Field) -> DataFrame:
-    """One row per row of ``docs``: doc_id, n_email, n_ip, n_card, n_phone, base, spans, masked.
+    """One row per row of ``docs``: doc_id, n_email, n_ip, n_card, n_phone, n_added, base, spans, masked.
 
-    ``base`` and ``spans`` list kind:start:end in code points, end exclusive, joined by commas. A null text is
-    empty and has no spans. Other columns are ignored; an empty table gives an empty result.
+    ``base`` and ``spans`` list kind:start:end in code points, end exclusive, joined by commas; the first four
+    counts are of base spans, n_added is of those that the field adds. A null text is empty and has no spans. Other columns are ignored; an empty table gives an empty result.
     """
     shared = docs.sparkSession.sparkContext.broadcast(field)
-    names = ["doc_id", *(f"n_{k}" for k in KINDS), "base", "spans", "masked"]
+    names = ["doc_id", *(f"n_{k}" for k in KINDS), "n_added", "base", "spans", "masked"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in text_slices(batches):
             texts = batch.column("text").to_pylist()
             bases, spans = all_spans(shared.value, texts)
-            counts = [pa.array([sum(s[2] == k for s in row) for row in spans], pa.int64()) for k in range(len(KINDS))]
+            counts = [pa.array([sum(s[2] == k for s in row) for row in bases], pa.int64()) for k in range(len(KINDS))]
+            counts.append(pa.array([len(row) - len(base) for row, base in zip(spans, bases)], pa.int64()))
             written = [pa.array(map(_written, rows), pa.string()) for rows in (bases, spans)]
             clean = pa.array([masked(t, s) if s else t for t, s in zip(texts, spans)], pa.string())
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), *counts, *written, clean], names)
 
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     counts = ", ".join(f"n_{k} long" for k in KINDS)
-    return rows.mapInArrow(run, f"doc_id long, {counts}, base string, spans string, masked string")
+    return rows.mapInArrow(run, f"doc_id long, {counts}, n_added long, base string, spans string, masked string")
 
 
 def mask(docs: DataFrame, field: Field) -> DataFrame:
@@ -366,4 +367,4 @@ def mask(docs: DataFrame, field: Field) -> DataFrame:
 def digests(found: DataFrame) -> DataFrame:
     """The rows of ``find`` with the base spans hashed and without texts."""
     counts = [f"n_{k}" for k in KINDS]
-    return found.select("doc_id", *counts, F.sha2("base", 256).alias("base_sha256"), "spans")
+    return found.select("doc_id", *counts, F.sha2("base", 256).alias("base_sha256"), "spans", "n_added")
