@@ -89,23 +89,32 @@ def words_of(texts: pa.Array) -> Words:
     return Words(index, owner, np.bincount(owner, minlength=len(texts)), encoded.dictionary)
 
 
-def _hashes(distinct: pa.Array) -> np.ndarray:
-    return np.fromiter((xxhash.xxh64_intdigest(w) for w in distinct.cast(pa.large_binary()).to_pylist()), np.uint64, len(distinct))
+def _hashes(words: list[bytes]) -> np.ndarray:
+    return np.fromiter(map(xxhash.xxh64_intdigest, words), np.uint64, len(words))
 
 
-def token_hashes(words: Words) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def _listed(words: pa.Array) -> list[bytes]:
+    return words.cast(pa.large_binary()).to_pylist()
+
+
+def token_hashes(words: Words, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Hash of every token (words, then one end per text), hash of the one before it (the end before a
-    first word), and its text."""
+    first word), and its text; ``hashes`` are those of the distinct words."""
     n = len(words.lengths)
-    starts = np.cumsum(words.lengths) - words.lengths + np.arange(n)  # with one end per text before it
-    tokens = np.full(len(words.index) + n, END_HASH, np.uint64)
-    is_word = np.ones(len(tokens), bool)
-    is_word[starts + words.lengths] = False
-    tokens[is_word] = _hashes(words.distinct)[words.index]
+    tokens = with_ends(words, hashes, END_HASH)
     before = np.concatenate([[END_HASH], tokens[:-1]]) if len(tokens) else tokens
     return tokens, before, np.repeat(np.arange(n), words.lengths + 1)
 
 
+def with_ends(words: Words, of_distinct: np.ndarray, of_end) -> np.ndarray:
+    """A value for every token, from those of the distinct words and that of an end."""
+    values = np.full(len(words.index) + len(words.lengths), of_end, of_distinct.dtype)
+    is_word = np.ones(len(values), bool)
+    is_word[np.cumsum(words.lengths + 1) - 1] = False
+    values[is_word] = of_distinct[words.index]
+    return values
+
+
 def pair_hashes(before: np.ndarray, tokens: np.ndarray) -> np.ndarray:
     return mix(before * _PAIR + tokens)
 
@@ -138,19 +147,19 @@ class Filter:
         return np.packbits(bits, bitorder="little")
 
     def levels(self, keys: np.ndarray) -> np.ndarray:
-        """The highest level up to which each key is present."""
-        segment = self.segment_of(keys, len(self.segments))
+        """The highest level up to which each key is present. A key leaves at its first missing bit."""
+        flat = self.segments.ravel()
+        start = self.segment_of(keys, len(self.segments)) * SEGMENT_BITS
         found = np.zeros(len(keys), np.int64)
-        alive = np.arange(len(keys))
-        at = 0
-        while len(alive) and at < MOST_LEVELS:
-            at += 1
-            places = self.places(keys[alive], np.full(len(alive), at))
-            rows, present = segment[alive], np.ones(len(alive), bool)
-            for place in places:
-                byte = self.segments[rows, (place >> np.uint64(3)).astype(np.int64)]
-                present &= (byte >> (place & np.uint64(7)).astype(np.uint8)) & 1 == 1
-            alive = alive[present]
+        alive, mask = np.arange(len(keys)), np.uint64(SEGMENT_BITS - 1)
+        for at in range(1, MOST_LEVELS + 1):
+            h = mix(keys + np.array([at], np.uint64) * _PAIR)
+            for i in range(PROBES):
+                place = start + ((h >> np.uint64(20 * i)) & mask).astype(np.int64)
+                present = np.flatnonzero((flat[place >> 3] >> (place & 7).astype(np.uint8)) & 1)
+                alive, keys, start, h = alive[present], keys[present], start[present], h[present]
+            if not len(alive):
+                break
             found[alive] = at
         return found
 
@@ -161,13 +170,37 @@ class Model(NamedTuple):
     distinct: int  # V
 
 
-def score_texts(model: Model, words: Words) -> np.ndarray:
-    """log10 probability of each text with its end."""
-    tokens, before, owner = token_hashes(words)
-    unique, at = np.unique(tokens, return_inverse=True)
-    single = count_of_level(model.filter.levels(unique))
-    p1 = ((single + ADD) / (model.tokens + ADD * (model.distinct + 1)))[at]
-    c_before = np.concatenate([count_of_level(model.filter.levels(np.array([END_HASH], np.uint64))), single[at][:-1]])
+class Frequent(NamedTuple):
+    """The most frequent words with exact count, hash and level in the filter; the last place stands for all others."""
+
+    place: dict[bytes, int]
+    counts: np.ndarray
+    hashes: np.ndarray
+    levels: np.ndarray
+
+    @staticmethod
+    def of(model: Model, words: list[bytes], counts: np.ndarray) -> Frequent:
+        hashes = _hashes(words)
+        arrays = (counts.astype(np.int64), hashes, model.filter.levels(hashes))
+        return Frequent({w: i for i, w in enumerate(words)}, *(np.append(a, np.zeros(1, a.dtype)) for a in arrays))
+
+    def look_up(self, model: Model, distinct: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Count (0 if not frequent), hash and level of each word; words that are not frequent are probed."""
+        place = np.fromiter((self.place.get(w, -1) for w in distinct), np.int64, len(distinct))
+        hashes, levels = self.hashes[place], self.levels[place]
+        rare = np.flatnonzero(place < 0)
+        hashes[rare] = _hashes([distinct[i] for i in rare])
+        levels[rare] = model.filter.levels(hashes[rare])
+        return self.counts[place], hashes, levels
+
+
+def score_texts(model: Model, words: Words, hashes: np.ndarray, levels: np.ndarray) -> np.ndarray:
+    """log10 probability of each text with its end, from hashes and levels of the distinct words."""
+    tokens, before, owner = token_hashes(words, hashes)
+    c_end = count_of_level(model.filter.levels(np.array([END_HASH], np.uint64)))
+    single = with_ends(words, count_of_level(levels), c_end[0])
+    p1 = (single + ADD) / (model.tokens + ADD * (model.distinct + 1))
+    c_before = np.concatenate([c_end, single[:-1]])
     pair = count_of_level(model.filter.levels(pair_hashes(before, tokens)))
     c_before = np.maximum(c_before[: len(tokens)], pair)  # a quantised history may fall below its pair
     share = np.where(c_before > 0, PAIR_SHARE, 0.0)
@@ -189,7 +222,8 @@ def _word_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def _pair_parts(parts: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Distinct pairs of a slice with counts, packed by part."""
     for batch in text_slices(batches):
-        tokens, before, _ = token_hashes(words_of(batch.column("text")))
+        words = words_of(batch.column("text"))
+        tokens, before, _ = token_hashes(words, _hashes(_listed(words.distinct)))
         keys, counts = np.unique(pair_hashes(before, tokens), return_counts=True)
         part = (mix(keys) % np.uint64(parts)).astype(np.int64)
         order = np.argsort(part, kind="stable")
@@ -226,7 +260,7 @@ def learn(training: DataFrame, counts: DataFrame, n_docs: int) -> Model:
 
     def hash_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            keys = pa.array(_hashes(batch.column("token")).view(np.int64))
+            keys = pa.array(_hashes(_listed(batch.column("token"))).view(np.int64))
             yield pa.RecordBatch.from_arrays([keys, batch.column("c")], ["key", "c"])
 
     singles = counts.mapInArrow(hash_words, "key long, c long")
@@ -280,7 +314,7 @@ def scores(docs: DataFrame) -> DataFrame:
     counts = materialize(word_counts(training), "word-counts")
     model = learn(training, counts, n_docs)
     top = counts.orderBy(F.desc("c"), "token").limit(FREQUENT_WORDS).toArrow()
-    frequent = dict(zip(top.column("token").to_pylist(), top.column("c").to_pylist()))
+    frequent = Frequent.of(model, _listed(top.column("token")), top.column("c").to_numpy())
     below = math.log10(model.tokens + ADD * (model.distinct + 1))
     shared = spark.sparkContext.broadcast((model, frequent))
 
@@ -289,8 +323,9 @@ def scores(docs: DataFrame) -> DataFrame:
         for batch in text_slices(batches):
             words = words_of(batch.column("text"))
             n = len(words.lengths)
-            distinct = words.distinct.to_pylist()
-            known = np.fromiter((frequent.get(w, 0) for w in distinct), np.int64, len(distinct))[words.index]
+            distinct = _listed(words.distinct)
+            counts_here, hashes, levels = frequent.look_up(model, distinct)
+            known = counts_here[words.index]
             of_word = np.where(known > 0, np.log10(known + ADD) - below, 0.0)
             base = np.bincount(words.owner, of_word, minlength=n) + math.log10(n_docs + ADD) - below
             n_known = np.bincount(words.owner, known > 0, minlength=n).astype(np.int64) + (1 if n_docs else 0)
@@ -304,7 +339,7 @@ def scores(docs: DataFrame) -> DataFrame:
             )
             columns = [
                 batch.column("doc_id"), batch.column("held_out"), pa.array((words.lengths + 1).astype(np.int64)),
-                pa.array(n_known), pa.array(base), pa.array(score_texts(model, words)), lists,
+                pa.array(n_known), pa.array(base), pa.array(score_texts(model, words, hashes, levels)), lists,
             ]
             yield pa.RecordBatch.from_arrays(columns, ["doc_id", "held_out", "n_tokens", "n_known", "base_score", "score", "rare"])
 
