@@ -27,16 +27,19 @@ def crc_mod(column: Column, modulus: int) -> Column:
 def rows_with_texts(batches: Iterator[pa.RecordBatch], text: str = "text") -> Iterator[tuple[pa.RecordBatch, pa.Array]]:
     """Cut record batches into row ranges of about ``SLICE_BYTES`` of text; each with its texts, null as empty."""
     for batch in batches:
-        column = pc.fill_null(batch.column(text).cast(pa.large_string()), "")
-        sizes = pc.binary_length(column).to_numpy(zero_copy_only=False)
+        sizes = pc.fill_null(pc.binary_length(batch.column(text)), 0).to_numpy(zero_copy_only=False)
         start = used = 0
         for i, size in enumerate(sizes):
             if used and used + size > SLICE_BYTES:
-                yield batch.slice(start, i - start), column.slice(start, i - start)
+                yield _with_texts(batch.slice(start, i - start), text)
                 start, used = i, 0
             used += int(size)
         if start < len(sizes):
-            yield batch.slice(start), column.slice(start)
+            yield _with_texts(batch.slice(start), text)
+
+
+def _with_texts(rows: pa.RecordBatch, text: str) -> tuple[pa.RecordBatch, pa.Array]:
+    return rows, pc.fill_null(rows.column(text).cast(pa.large_string()), "")
 
 
 def text_slices(batches: Iterator[pa.RecordBatch], text: str = "text") -> Iterator[pa.RecordBatch]:

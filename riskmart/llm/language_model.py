@@ -41,6 +41,7 @@ PAIR_SHARE = 0.15
 BITS_PER_ITEM, PROBES = 12, 3
 MOST_LEVELS = 110  # of a 64-bit count
 SEGMENT_BITS = 1 << 18
+SEGMENT_SHIFT = 16
 MAX_BITS = 1 << 29
 #: Words in the broadcast table of exact counts.
 FREQUENT_WORDS = 100_000
@@ -134,7 +135,8 @@ class Filter:
 
     @staticmethod
     def segment_of(keys: np.ndarray, n: int) -> np.ndarray:
-        return (mix(keys ^ _MIX2) % np.uint64(n)).astype(np.int64)
+        """Keys are hashes, so their upper bits deal them out evenly."""
+        return ((keys >> np.uint64(SEGMENT_SHIFT)) % np.uint64(n)).astype(np.int64)
 
     @classmethod
     def build(cls, keys: np.ndarray, counts: np.ndarray) -> np.ndarray:
@@ -263,31 +265,25 @@ def learn(training: DataFrame, counts: DataFrame, n_docs: int) -> Model:
             keys = pa.array(_hashes(_listed(batch.column("token"))).view(np.int64))
             yield pa.RecordBatch.from_arrays([keys, batch.column("c")], ["key", "c"])
 
-    singles = counts.mapInArrow(hash_words, "key long, c long")
-    end = training.sparkSession.createDataFrame([(int(END_HASH.view(np.int64)), n_docs)], "key long, c long")
-    grams = pairs.unionByName(singles).unionByName(end.where("c > 0"))
-    grams = grams.withColumn("level", (1 + F.floor(F.log("c") / math.log(BASE) + 1e-9)).cast("int"))
-    histogram = grams.groupBy("level").count().orderBy(F.desc("level")).collect()  # a row for each level
+    level_of = (1 + F.floor(F.log("c") / math.log(BASE) + 1e-9)).cast("int")
+    end = training.sparkSession.createDataFrame([(int(END_HASH.view(np.int64)), n_docs)], "key long, c long").where("c > 0")
+    all_counts = pairs.select("c").union(counts.select("c")).union(end.select("c"))
+    histogram = all_counts.groupBy(level_of.alias("level")).count().orderBy(F.desc("level")).collect()  # a row for each level
     least, items = 1, 0
     for row in histogram:
         if (items + row["level"] * row["count"]) * BITS_PER_ITEM > MAX_BITS:
             least = row["level"] + 1
             break
         items += row["level"] * row["count"]
-    grams = grams.where(F.col("level") >= least).select("key", "c")
     segments = max(1, math.ceil(items * BITS_PER_ITEM / SEGMENT_BITS))
-
-    def pack_segments(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            keys = batch.column("key").to_numpy(zero_copy_only=False).view(np.uint64)
-            segment = pa.array(Filter.segment_of(keys, segments).astype(np.int32))
-            yield pa.RecordBatch.from_arrays([segment, batch.column("key"), batch.column("c")], ["segment", "key", "c"])
+    singles = counts.where(level_of >= least).mapInArrow(hash_words, "key long, c long")
+    grams = pairs.where(level_of >= least).unionByName(singles).unionByName(end.where(level_of >= least))
+    located = grams.withColumn("segment", (F.shiftrightunsigned("key", SEGMENT_SHIFT) % segments).cast("int"))
 
     def build(rows: pd.DataFrame) -> pd.DataFrame:
         bits = Filter.build(rows["key"].to_numpy().view(np.uint64), rows["c"].to_numpy())
         return pd.DataFrame({"segment": rows["segment"].iloc[:1], "bits": [bits.tobytes()]})
 
-    located = grams.mapInArrow(pack_segments, "segment int, key long, c long")
     built = located.groupBy("segment").applyInPandas(build, "segment int, bits binary").toArrow()  # at most MAX_BITS
     filled = np.zeros((segments, SEGMENT_BITS // 8), np.uint8)
     for segment, bits in zip(built.column("segment").to_pylist(), built.column("bits")):
