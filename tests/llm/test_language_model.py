@@ -3,9 +3,10 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
-from riskmart.llm import language_model
+from riskmart.llm import common, language_model
 
 
 def words(text):
@@ -53,3 +54,15 @@ def test_filter_never_lowers_a_count():
     assert (found >= language_model.level(counts)).all()
     assert (found == language_model.level(counts)).mean() > 0.9
     assert (language_model.Filter(bits).levels(rng.integers(0, 2**63, 4000).astype(np.uint64)) > 0).mean() < 0.1
+
+
+def test_slices_keep_every_word(monkeypatch):
+    monkeypatch.setattr(common, "SLICE_BYTES", 200)
+    texts = [None if i % 17 == 0 else f"word{i} Other{i % 7}  last\t{i}" * (i % 5) for i in range(500)]
+    batch = pa.RecordBatch.from_arrays([pa.array(texts, pa.string())], ["text"])
+    counted = Counter()
+    for part in common.text_slices([batch]):
+        found = language_model.words_of(part.column("text"))
+        distinct = found.distinct.to_pylist()
+        counted.update(distinct[i] for i in found.index)
+    assert counted == Counter(w for t in texts for w in (t or "").lower().split())
