@@ -19,11 +19,13 @@ from .queries_tables import (
     BASELINE_FEATURES,
     DRIFT_FEATURES,
     DRIFTS,
+    SAMPLES,
     EVALUATED,
     METRIC_PAIRS,
     MONITORED,
     MONITORED_COLUMNS,
     SCORE_DRIFTS,
+    label_samples,
     SCORE_FEATURES,
     STATS,
     WIDE_SQL,
@@ -547,19 +549,14 @@ CSI_TERM = c.term("es", "ac")
 @query(
     "d2_csi_by_day",
     "WITH shares AS (SELECT day, category, CAST(count(*) AS DOUBLE) / sum(count(*)) OVER (PARTITION BY day) AS share FROM "
-    "(SELECT CAST(ts AS DATE) AS day, event_type AS category FROM events WHERE NOT (event_type = 'signup' AND day(ts) % 5 = 2) "
-    "AND NOT (event_type = 'error' AND day(ts) = 1)) GROUP BY day, category), "
+    "(SELECT CAST(ts AS DATE) AS day, event_type AS category FROM events) GROUP BY day, category), "
     "ref AS (SELECT category, share FROM shares WHERE day = (SELECT min(day) FROM shares)) "
     "SELECT 'event_type' AS feature, d.day AS period, round(sum(" + c.term("coalesce(r.share, 1e-6)", "coalesce(s.share, 1e-6)") + "), 6) AS csi "
     "FROM (SELECT DISTINCT day FROM shares) d CROSS JOIN (SELECT DISTINCT category FROM shares) g "
     "LEFT JOIN shares s ON s.day = d.day AND s.category = g.category LEFT JOIN ref r ON r.category = g.category GROUP BY d.day",
 )
 def _(t: Tables):
-    # Some categories are left out on some days, the first day included.
-    day = F.to_date("ts")
-    no_signup = (F.col("event_type") == "signup") & (F.dayofmonth(day) % 5 == 2)
-    no_error = (F.col("event_type") == "error") & (F.dayofmonth(day) == 1)
-    events = t.table("events").where(~no_signup & ~no_error).select(day.alias("period"), "event_type")
+    events = t.table("events").select(F.to_date("ts").alias("period"), "event_type")
     return drift.characteristic_stability_by_period(events, "period", ["event_type"]).select("feature", "period", r6("csi"))
 
 
@@ -759,17 +756,13 @@ def _alerts(t: Tables):
 # --- R: registry -------------------------------------------------------------------------------------------------------
 def _documents(t: Tables):
     evaluation = _evaluation(t).select(F.col("model_algorithm").alias("algorithm"), F.lit("20010801").alias("version"), "*")
-    samples = t.split_scores.where(F.col("model_algorithm") == "xgboost").groupBy("split").agg(F.count(F.lit(1)).alias("rows"))
-    return registry.performance_documents(evaluation, samples)
+    return registry.performance_documents(evaluation, label_samples(t))
 
 
-SAMPLES = {
-    "samples": "SELECT count(*) FILTER (WHERE split = 'train') AS train_samples, count(*) FILTER (WHERE split = 'test') AS test_samples, "
-    "count(*) FILTER (WHERE split = 'oot') AS oot_samples FROM split_scores WHERE model_algorithm = 'xgboost'"
-}
 COMPARISON_SQL = c.with_blocks(
     f"SELECT model, train_samples, test_samples, oot_samples, {r6_sql(*WIDE_NAMES)}, 'N/A' AS top_feature FROM wide CROSS JOIN samples",
     "split_scores",
+    "labels",
     extra={**WIDE, **SAMPLES},
 )
 

@@ -417,7 +417,7 @@ def _(t: Tables):
     return t.spark.read.schema(schema).json(mart.triggers)
 
 
-BASELINE_FEATURES = ["age_midpoint", "severity_x_visits", "medication_density", "insulin_ord"]
+BASELINE_FEATURES = fv.MODEL_FEATURES
 
 
 def baseline_blocks(source: str, features: list[str]) -> dict[str, str]:
@@ -443,7 +443,7 @@ def _(t: Tables):
     return t.spark.read.schema(schema).json(path).select("feature", *[r6(s) for s in STATS])
 
 
-DRIFT_FEATURES = ["age_midpoint", "severity_x_visits", "medication_density", "insulin_ord"]
+DRIFT_FEATURES = fv.MODEL_FEATURES
 DRIFTS = c.drift_blocks(DRIFT_FEATURES)
 SCORE_FEATURES = [f"p_{a}" for a in fv.ALGORITHMS]
 SCORE_DRIFTS = c.drift_blocks(SCORE_FEATURES, "wide_scores")
@@ -643,7 +643,7 @@ def _(t: Tables):
 SHARES = {
     "shares": "SELECT split, age AS category, CAST(count(*) AS DOUBLE) / sum(count(*)) OVER (PARTITION BY split) AS share "
     f"FROM (SELECT age, {c.SPLIT} AS split FROM silver) WHERE age IS NOT NULL AND split IS NOT NULL "
-    "AND NOT (split = 'oot' AND age = '[0-10)') GROUP BY split, age",
+    "GROUP BY split, age",
 }
 
 
@@ -665,10 +665,9 @@ def _(t: Tables):
 
 
 def _age_by_split(t: Tables):
-    """Age bands by split; one band is missing from the last window."""
+    """Age bands by split."""
     rows = dates.with_split(t.silver.select("age", "snapshot_date"), SPLITS)
-    gap = (F.col("split") == "oot") & (F.col("age") == "[0-10)")
-    return rows.where(~gap | F.col("age").isNull()).select("split", F.col("age").alias("category"))
+    return rows.select("split", F.col("age").alias("category"))
 
 
 @query(
@@ -705,14 +704,15 @@ def _(t: Tables):
 
 
 SIDES = {
-    "p": "SELECT DISTINCT snapshot_date FROM preds WHERE snapshot_date < DATE '2000-06-01'",
-    "l": "SELECT DISTINCT snapshot_date FROM labels WHERE snapshot_date >= DATE '1996-03-01'",
+    "p": "SELECT DISTINCT CAST(date_trunc('month', l_shipdate) AS DATE) AS snapshot_date FROM lineitem",
+    "l": "SELECT DISTINCT snapshot_date FROM labels",
 }
 
 
 def _sides(t: Tables):
-    day = F.col("snapshot_date")
-    return t.predictions.where(day < "2000-06-01"), t.labels.where(day >= "1996-03-01")
+    """Days of shipment months and of labels: the first go on for some months after the last label."""
+    shipped = t.table("lineitem").select(F.to_date(F.trunc("l_shipdate", "month")).alias("snapshot_date"))
+    return shipped, t.labels
 
 
 @query(
@@ -720,7 +720,6 @@ def _sides(t: Tables):
     c.with_blocks(
         "SELECT snapshot_date, p.snapshot_date IS NOT NULL AS in_predictions, l.snapshot_date IS NOT NULL AS in_labels "
         "FROM p FULL JOIN l USING (snapshot_date)",
-        "preds",
         "labels",
         extra=SIDES,
     ),
@@ -730,7 +729,7 @@ def _(t: Tables):
 
 
 # --- U: set operations ---------------------------------------------------------------------------------------------
-@query("u1_common_dates", c.with_blocks("SELECT snapshot_date FROM p INTERSECT SELECT snapshot_date FROM l", "preds", "labels", extra=SIDES))
+@query("u1_common_dates", c.with_blocks("SELECT snapshot_date FROM p INTERSECT SELECT snapshot_date FROM l", "labels", extra=SIDES))
 def _(t: Tables):
     return monitoring.common_dates(*_sides(t))
 
@@ -740,7 +739,6 @@ def _(t: Tables):
     c.with_blocks(
         "SELECT 'labels' AS missing_in, snapshot_date FROM (SELECT * FROM p EXCEPT SELECT * FROM l) UNION ALL "
         "SELECT 'predictions', snapshot_date FROM (SELECT * FROM l EXCEPT SELECT * FROM p)",
-        "preds",
         "labels",
         extra=SIDES,
     ),
@@ -980,26 +978,34 @@ def _(t: Tables):
     )
 
 
+SAMPLES = {
+    "samples": "SELECT count(*) FILTER (WHERE split = 'train') AS train_samples, count(*) FILTER (WHERE split = 'test') AS test_samples, "
+    f"count(*) FILTER (WHERE split = 'oot') AS oot_samples FROM (SELECT {c.SPLIT} AS split FROM labels)"
+}
+
+
+def label_samples(t: Tables):
+    """Labelled rows by split."""
+    return dates.with_split(t.labels, SPLITS).groupBy("split").agg(F.count(F.lit(1)).alias("rows"))
+
+
 @query(
     "f34_document_defaults",
     c.with_blocks(
-        "SELECT model, round(test_auc, 6) AS test_auc, CAST(0 AS DOUBLE) AS oot_auc, train_samples, test_samples, oot_samples, "
-        "'N/A' AS top_feature FROM (SELECT model_algorithm AS model, max(auc) AS test_auc FROM aucs WHERE split = 'test' "
-        "GROUP BY 1), (SELECT count(*) FILTER (WHERE split = 'train') AS train_samples, "
-        "count(*) FILTER (WHERE split = 'test') AS test_samples, CAST(0 AS BIGINT) AS oot_samples "
-        "FROM split_scores WHERE split <> 'oot' AND model_algorithm = 'xgboost')",
+        "SELECT model, round(test_auc, 6) AS test_auc, round(oot_auc, 6) AS oot_auc, train_samples, test_samples, oot_samples, "
+        "'N/A' AS top_feature FROM (SELECT model_algorithm AS model, max(auc) FILTER (WHERE split = 'test') AS test_auc, "
+        "max(auc) FILTER (WHERE split = 'oot') AS oot_auc FROM aucs GROUP BY 1) CROSS JOIN samples",
         "split_scores",
-        extra={"aucs": c.auc_sql("split_scores", "model_algorithm, split")},
+        "labels",
+        extra={"aucs": c.auc_sql("split_scores", "model_algorithm, split"), **SAMPLES},
     ),
 )
 def _(t: Tables):
-    # Documents of a run that saw no OOT rows and stored no importance.
-    scores = t.split_scores.where(F.col("split") != "oot")
-    evaluation = m.evaluate(scores, ["model_algorithm", "split"], "model_predictions", "label").select(
+    # Documents of a run that stored no importance.
+    evaluation = m.evaluate(t.split_scores, ["model_algorithm", "split"], "model_predictions", "label").select(
         F.col("model_algorithm").alias("algorithm"), F.lit("1").alias("version"), "*"
     )
-    samples = scores.where(F.col("model_algorithm") == "xgboost").groupBy("split").agg(F.count(F.lit(1)).alias("rows"))
-    flat = registry.flatten_documents(registry.performance_documents(evaluation, samples))
+    flat = registry.flatten_documents(registry.performance_documents(evaluation, label_samples(t)))
     return flat.select(
         "model", r6("test_auc"), r6("oot_auc"), "train_samples", "test_samples", "oot_samples", "top_feature"
     )

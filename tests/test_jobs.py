@@ -302,6 +302,14 @@ def test_ties_go_to_the_first_listed(spark):
     assert document["recommendation_reason"] == "Best OOT GINI: 0.5000"
 
 
+def test_absent_metrics_have_defaults(spark):
+    names = ", ".join(f"{m} double" for m in fv.METRICS)
+    evaluation = spark.createDataFrame([("a", "1", "test", *[0.7] * len(fv.METRICS))], f"algorithm string, version string, split string, {names}")
+    samples = spark.createDataFrame([("train", 5), ("test", 2)], "split string, rows long")
+    row = registry.flatten_documents(registry.performance_documents(evaluation, samples)).first()
+    assert (row["test_auc"], row["oot_auc"], row["oot_samples"], row["top_feature"]) == (0.7, 0.0, 0, "N/A")
+
+
 def test_one_model_gives_no_comparison(spark):
     single = comparison(spark, [("a", 0.2)])
     assert registry.comparison_document(single).isEmpty()
