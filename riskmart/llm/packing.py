@@ -32,14 +32,17 @@ GROUP_ITEMS = 20_000
 ISLANDS = 2
 EPOCHS = 2
 POPULATION, GENERATIONS = 4, 4
-CACHE_WORDS = 400_000
+#: Chunks between white space that a worker remembers with their ids, and characters of each, at most.
+CACHE_CHUNKS, CACHED_CHARS = 800_000, 64
+CHUNKS_AT_A_TIME = 1000
 LATIN_END = 0x250
 
 
 class WordTokenizer:
     """Ids of whole texts from a tokenizer that cuts lower-cased text into words and drops white space.
 
-    Words do not affect each other, so each different word is encoded once by the library.
+    Words do not affect each other, so texts are cut at white space, each different chunk is cut into words, and
+    the words are encoded by the library.
     """
 
     WORDS = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"  # as in the tokenizer file
@@ -56,25 +59,56 @@ class WordTokenizer:
         )
         self.latin = re.compile(f"'s|'t|'re|'ve|'m|'ll|'d|[{letters}]+|[{numbers}]|[^{spaces}{letters}{numbers}]+").findall
         self.any = regex.compile(self.WORDS).findall
+        self.not_space = regex.compile(r"\S+").findall
+        self.separators = re.compile("[\x1c-\x1f]").search
         self.beyond_latin = re.compile(f"[^\\0-{chr(LATIN_END - 1)}]").search
-        self.cache: dict[str, bytes] = {}  # little-endian 32-bit ids
+        vocabulary = self.tokenizer.get_vocab()
+        self.ends_word = np.zeros(max(vocabulary.values()) + 1, bool)
+        self.ends_word[[i for token, i in vocabulary.items() if token.endswith("</w>")]] = True
+        self.cache: dict[str, bytes] = {}  # chunk -> little-endian 32-bit ids
+
+    def chunks(self, text: str) -> list[str]:
+        """The normalised text between white space; no word reaches over white space."""
+        if text.isascii() or not self.beyond_latin(text):
+            text = text.lower()  # composed already, and lower-cased character by character
+        else:
+            text = self.tokenizer.normalizer.normalize_str(text)
+        # str.split also cuts at four separators that are no white space to the tokenizer
+        return self.not_space(text) if self.separators(text) else text.split()
 
-    def words(self, text: str) -> list[str]:
-        if not self.beyond_latin(text):  # composed already, and lower-cased character by character
-            lowered = text.lower()
-            return self.any(lowered) if self.beyond_latin(lowered) else self.latin(lowered)
-        return self.any(self.tokenizer.normalizer.normalize_str(text))
+    def words(self, chunk: str) -> list[str]:
+        return self.latin(chunk) if chunk.isascii() or not self.beyond_latin(chunk) else self.any(chunk)
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """The ids of each text as little-endian 32-bit integers."""
-        cut = [self.words(text) for text in texts]
-        if len(self.cache) >= CACHE_WORDS:
+        cut = [self.chunks(text) for text in texts]
+        if len(self.cache) >= CACHE_CHUNKS:
             self.cache.clear()
         new = list(set(chain.from_iterable(cut)).difference(self.cache))
-        for word, found in zip(new, self.tokenizer.encode_batch_fast(new, add_special_tokens=False)):
-            self.cache[word] = np.array(found.ids, "<u4").tobytes()
+        self.cache.update(zip(new, self.encode_chunks(new)))
         known = self.cache.__getitem__
-        return [b"".join(map(known, words)) for words in cut]
+        out = [b"".join(map(known, chunks)) for chunks in cut]
+        for chunk in new:
+            if len(chunk) > CACHED_CHARS:
+                del self.cache[chunk]
+        return out
+
+
+    def encode_chunks(self, chunks: list[str]) -> list[bytes]:
+        """The ids of each chunk. Words are encoded many at a time, and told apart by the tokens that end one."""
+        parts = [self.words(chunk) for chunk in chunks]
+        out: list[bytes] = []
+        for at in range(0, len(parts), CHUNKS_AT_A_TIME):
+            some = parts[at : at + CHUNKS_AT_A_TIME]
+            text = " ".join(chain.from_iterable(some))
+            ids = np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4")
+            ends = np.flatnonzero(self.ends_word[ids]) + 1
+            n_words = np.cumsum([len(words) for words in some])
+            assert len(ends) == n_words[-1], "the tokenizer cuts words otherwise"
+            stops = np.concatenate([[0], ends])[np.concatenate([[0], n_words])] * ID_BYTES
+            written = ids.tobytes()
+            out += [written[a:b] for a, b in zip(stops[:-1].tolist(), stops[1:].tolist())]
+        return out
 
 
 @lru_cache(maxsize=1)
