@@ -12,6 +12,7 @@ import math
 import os
 import re
 import zlib
+from array import array
 from collections.abc import Iterator
 from functools import lru_cache
 from itertools import chain
@@ -34,7 +35,11 @@ EPOCHS = 2
 POPULATION, GENERATIONS = 4, 4
 #: Chunks between white space that a worker remembers with their ids, and characters of each, at most.
 CACHE_CHUNKS, CACHED_CHARS = 800_000, 64
-CHUNKS_AT_A_TIME = 1000
+#: Byte-level vocabularies show a byte that is no visible character as one from 256 on, in order.
+BYTE_CHARACTERS = {
+    byte: 256 + nth
+    for nth, byte in enumerate(b for b in range(256) if not (33 <= b <= 126 or 161 <= b <= 172 or 174 <= b))
+}
 LATIN_END = 0x250
 
 
@@ -42,7 +47,7 @@ class WordTokenizer:
     """Ids of whole texts from a tokenizer that cuts lower-cased text into words and drops white space.
 
     Words do not affect each other, so texts are cut at white space, each different chunk is cut into words, and
-    the words are encoded by the library.
+    the words are encoded by the library's model.
     """
 
     WORDS = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"  # as in the tokenizer file
@@ -62,9 +67,7 @@ class WordTokenizer:
         self.not_space = regex.compile(r"\S+").findall
         self.separators = re.compile("[\x1c-\x1f]").search
         self.beyond_latin = re.compile(f"[^\\0-{chr(LATIN_END - 1)}]").search
-        vocabulary = self.tokenizer.get_vocab()
-        self.ends_word = np.zeros(max(vocabulary.values()) + 1, bool)
-        self.ends_word[[i for token, i in vocabulary.items() if token.endswith("</w>")]] = True
+        self.model = self.tokenizer.model
         self.cache: dict[str, bytes] = {}  # chunk -> little-endian 32-bit ids
 
     def chunks(self, text: str) -> list[str]:
@@ -95,20 +98,14 @@ class WordTokenizer:
 
 
     def encode_chunks(self, chunks: list[str]) -> list[bytes]:
-        """The ids of each chunk. Words are encoded many at a time, and told apart by the tokens that end one."""
+        """The ids of each chunk. Its words are normal already, so they go straight to the tokenizer's model."""
         parts = [self.words(chunk) for chunk in chunks]
-        out: list[bytes] = []
-        for at in range(0, len(parts), CHUNKS_AT_A_TIME):
-            some = parts[at : at + CHUNKS_AT_A_TIME]
-            text = " ".join(chain.from_iterable(some))
-            ids = np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4")
-            ends = np.flatnonzero(self.ends_word[ids]) + 1
-            n_words = np.cumsum([len(words) for words in some])
-            assert len(ends) == n_words[-1], "the tokenizer cuts words otherwise"
-            stops = np.concatenate([[0], ends])[np.concatenate([[0], n_words])] * ID_BYTES
-            written = ids.tobytes()
-            out += [written[a:b] for a, b in zip(stops[:-1].tolist(), stops[1:].tolist())]
-        return out
+        ids = {}
+        for word in set(chain.from_iterable(parts)):
+            plain = word.isascii() and word.isprintable()
+            shown = word if plain else word.encode("utf-8").decode("latin-1").translate(BYTE_CHARACTERS)
+            ids[word] = array("I", [token.id for token in self.model.tokenize(shown)]).tobytes()
+        return [b"".join([ids[word] for word in words]) for words in parts]
 
 
 @lru_cache(maxsize=1)
