@@ -3,9 +3,10 @@
 Counts of words and word pairs over the whole training corpus are quantised on a logarithmic scale. For a
 count of level q the filter holds the pairs (n-gram, 1) to (n-gram, q), so a count is read back by probing for
 rising levels until one is missing: errors can only raise a count, and rarely by more than a level. The filter
-is made of segments; each n-gram lies in one, so Spark tasks build the segments independently. It is then
-broadcast. Its size is bounded by ``MAX_BITS``: from the histogram of all counts follows the least level whose
-n-grams fit at ``BITS_PER_ITEM``, and rarer ones count as unseen.
+is dealt into parts by the n-gram's hash, and each part into segments at ``BITS_PER_ITEM``, so its size follows
+the number of n-grams and nothing is left out at any size. No machine holds all of it: the distinct n-grams of a
+slice of texts are sent to their parts, where a task merges the counts, builds the part and probes it; levels
+travel back to the slice, a byte for each n-gram.
 
     p1(w)     = (c(w) + 0.1) / (N + 0.1 (V + 1))
     p(w | u)  = L c(u w) / c(u) + (1 - L) p1(w)          all c read from the filter
@@ -25,6 +26,7 @@ import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
 import xxhash
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -34,18 +36,18 @@ HELD_OUT_MODULUS, HELD_OUT_REST = 10, 0
 ADD = 0.1
 #: Counts are kept as levels: level q stands for BASE ** (q - 1) and up.
 BASE = 1.5
-#: Pairs seen less often than this are not put into the filter.
-MIN_PAIR_COUNT = 2
 #: L, the share of the pair estimate; all of it goes to p1 after a word never seen.
 PAIR_SHARE = 0.15
 BITS_PER_ITEM, PROBES = 12, 3
 MOST_LEVELS = 110  # of a 64-bit count
 SEGMENT_BITS = 1 << 18
 SEGMENT_SHIFT = 16
-MAX_BITS = 1 << 29
+#: Bytes of text whose n-grams are sent to the filter together. A longer single text is a slice of its own.
+NGRAM_SLICE_BYTES = 4 << 20
+ROW_BYTES = 64  # what a row counts beside its text
 #: Words in the broadcast table of exact counts.
 FREQUENT_WORDS = 100_000
-#: Training tokens per task that merges pair counts.
+#: Training tokens per part of the filter.
 TOKENS_PER_PART = 2_000_000
 END_HASH = np.uint64(0x2545F4914F6CDD1D)
 _PAIR = np.uint64(0x9E3779B97F4A7C15)
@@ -148,6 +150,16 @@ class Filter:
         bits[cls.places(each, upto).ravel()] = True
         return np.packbits(bits, bitorder="little")
 
+    @classmethod
+    def over(cls, keys: np.ndarray, counts: np.ndarray) -> Filter:
+        """A filter of all keys with a count, with as many segments as they need."""
+        keys, counts = keys[counts > 0], counts[counts > 0]
+        n = max(1, math.ceil(int(level(counts).sum()) * BITS_PER_ITEM / SEGMENT_BITS))
+        segment = cls.segment_of(keys, n)
+        order = np.argsort(segment, kind="stable")
+        cuts = np.searchsorted(segment[order], np.arange(1, n))
+        return cls(np.stack([cls.build(keys[o], counts[o]) for o in np.split(order, cuts)]))
+
     def levels(self, keys: np.ndarray) -> np.ndarray:
         """The highest level up to which each key is present. A key leaves at its first missing bit."""
         flat = self.segments.ravel()
@@ -166,47 +178,47 @@ class Filter:
         return found
 
 
-class Model(NamedTuple):
-    filter: Filter
-    tokens: int  # N
-    distinct: int  # V
-
-
-class Frequent(NamedTuple):
-    """The most frequent words with exact count, hash and level in the filter; the last place stands for all others."""
+class Ngrams(NamedTuple):
+    """Keys of a slice's distinct words, of the end and of its distinct pairs; the pair of each token."""
 
-    place: dict[bytes, int]
-    counts: np.ndarray
-    hashes: np.ndarray
-    levels: np.ndarray
+    keys: np.ndarray
+    pair_of: np.ndarray
 
     @staticmethod
-    def of(model: Model, words: list[bytes], counts: np.ndarray) -> Frequent:
-        hashes = _hashes(words)
-        arrays = (counts.astype(np.int64), hashes, model.filter.levels(hashes))
-        return Frequent({w: i for i, w in enumerate(words)}, *(np.append(a, np.zeros(1, a.dtype)) for a in arrays))
-
-    def look_up(self, model: Model, distinct: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Count (0 if not frequent), hash and level of each word; words that are not frequent are probed."""
-        place = np.fromiter((self.place.get(w, -1) for w in distinct), np.int64, len(distinct))
-        hashes, levels = self.hashes[place], self.levels[place]
-        rare = np.flatnonzero(place < 0)
-        hashes[rare] = _hashes([distinct[i] for i in rare])
-        levels[rare] = model.filter.levels(hashes[rare])
-        return self.counts[place], hashes, levels
-
-
-def score_texts(model: Model, words: Words, hashes: np.ndarray, levels: np.ndarray) -> np.ndarray:
-    """log10 probability of each text with its end, from hashes and levels of the distinct words."""
-    tokens, before, owner = token_hashes(words, hashes)
-    c_end = count_of_level(model.filter.levels(np.array([END_HASH], np.uint64)))
-    single = with_ends(words, count_of_level(levels), c_end[0])
-    p1 = (single + ADD) / (model.tokens + ADD * (model.distinct + 1))
-    c_before = np.concatenate([c_end, single[:-1]])
-    pair = count_of_level(model.filter.levels(pair_hashes(before, tokens)))
-    c_before = np.maximum(c_before[: len(tokens)], pair)  # a quantised history may fall below its pair
+    def of(words: Words) -> Ngrams:
+        hashes = _hashes(_listed(words.distinct))
+        tokens, before, _ = token_hashes(words, hashes)
+        pairs, pair_of = np.unique(pair_hashes(before, tokens), return_inverse=True)
+        return Ngrams(np.concatenate([hashes, [END_HASH], pairs]), pair_of)
+
+    def counts(self, words: Words, weights: np.ndarray) -> np.ndarray:
+        """How often each key occurs, each text counting by its weight (0 or 1)."""
+        n = len(words.distinct)
+        singles = np.bincount(words.index, weights[words.owner], minlength=n)
+        owner = np.repeat(np.arange(len(weights)), words.lengths + 1)
+        pairs = np.bincount(self.pair_of, weights[owner], minlength=len(self.keys) - n - 1)
+        return np.concatenate([singles, [weights.sum()], pairs]).astype(np.int64)
+
+    def by_part(self, parts: int) -> tuple[np.ndarray, list[np.ndarray]]:
+        """The parts that hold any of the keys, in order, and the places of their keys."""
+        part = (mix(self.keys) % np.uint64(parts)).astype(np.int64)
+        order = np.argsort(part, kind="stable")
+        cuts = np.flatnonzero(np.diff(part[order])) + 1
+        return part[order][np.concatenate([[0], cuts])], np.split(order, cuts)
+
+
+def score_texts(words: Words, ngrams: Ngrams, levels: np.ndarray, n_tokens: int, n_distinct: int) -> np.ndarray:
+    """log10 probability of each text with its end, from the levels of the slice's n-grams."""
+    n = len(words.distinct)
+    counts = count_of_level(levels)
+    single = with_ends(words, counts[:n], counts[n])
+    p1 = (single + ADD) / (n_tokens + ADD * (n_distinct + 1))
+    pair = counts[n + 1 :][ngrams.pair_of]
+    c_before = np.concatenate([counts[n : n + 1], single[:-1]])
+    c_before = np.maximum(c_before[: len(single)], pair)  # a quantised history may fall below its pair
     share = np.where(c_before > 0, PAIR_SHARE, 0.0)
     p = share * pair / np.maximum(c_before, 1.0) + (1 - share) * p1
+    owner = np.repeat(np.arange(len(words.lengths)), words.lengths + 1)
     return np.bincount(owner, np.log10(np.maximum(p, 1e-300)), minlength=len(words.lengths))
 
 
@@ -221,29 +233,72 @@ def _word_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([words.distinct.cast(pa.string()), pa.array(counts)], ["token", "c"])
 
 
-def _pair_parts(parts: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Distinct pairs of a slice with counts, packed by part."""
-    for batch in text_slices(batches):
-        words = words_of(batch.column("text"))
-        tokens, before, _ = token_hashes(words, _hashes(_listed(words.distinct)))
-        keys, counts = np.unique(pair_hashes(before, tokens), return_counts=True)
-        part = (mix(keys) % np.uint64(parts)).astype(np.int64)
-        order = np.argsort(part, kind="stable")
-        cuts = np.flatnonzero(np.diff(part[order])) + 1
-        rows = [(int(part[o[0]]), keys[o].tobytes(), counts[o].astype("<u4").tobytes()) for o in np.split(order, cuts) if len(o)]
-        columns = [pa.array(x, kind) for x, kind in zip(zip(*rows), (pa.int32(), pa.binary(), pa.binary()))] if rows else []
-        if rows:
-            yield pa.RecordBatch.from_arrays(columns, ["part", "keys", "counts"])
+def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The rows with a number of their slice and their place in it; a null text is empty."""
+    first = TaskContext.get().partitionId() << 33
+    n = used = at = 0
+    for batch in batches:
+        column = pc.fill_null(batch.column("text").cast(pa.large_string()), "")
+        slices, places = [], []
+        for size in pc.add(pc.binary_length(column), ROW_BYTES).to_pylist():
+            if used and used + size > NGRAM_SLICE_BYTES:
+                n, used, at = n + 1, 0, 0
+            slices.append(first + n)
+            places.append(at)
+            used, at = used + size, at + 1
+        columns = [pa.array(slices, pa.int64()), pa.array(places, pa.int64()), batch.column("doc_id"), batch.column("held_out"), column.cast(pa.string())]
+        yield pa.RecordBatch.from_arrays(columns, ["slice", "at", "doc_id", "held_out", "text"])
+
+
+def _with_large_texts(batch: pa.RecordBatch) -> pa.RecordBatch:
+    """Texts are cast before they are cut, as Arrow loses words of cast slices."""
+    at = batch.schema.get_field_index("text")
+    return batch.set_column(at, "text", batch.column(at).cast(pa.large_string()))
+
 
+def _runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Row ranges of consecutive rows of one slice. A slice may come in several, told apart by their first place."""
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        batch = _with_large_texts(batch)
+        slices, at = (batch.column(c).to_numpy() for c in ("slice", "at"))
+        starts = np.flatnonzero(np.concatenate([[True], (np.diff(slices) != 0) | (np.diff(at) != 1)]))
+        for start, end in zip(starts, np.append(starts[1:], batch.num_rows)):
+            yield batch.slice(start, end - start)
 
-def _merge_pairs(rows: pd.DataFrame) -> pd.DataFrame:
-    """Pairs of one part that reach the least count, with their sums."""
+
+_PACKED = "part int, slice long, start long, keys binary, counts binary"
+
+
+def _pack_ngrams(parts: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Distinct n-grams of a run of texts with their counts in training texts, packed by part."""
+    for batch in _runs(batches):
+        words = words_of(batch.column("text"))
+        ngrams = Ngrams.of(words)
+        training = ~batch.column("held_out").to_numpy(zero_copy_only=False)
+        counts = ngrams.counts(words, training.astype(np.float64)).astype("<u4")
+        part, places = ngrams.by_part(parts)
+        columns = [
+            pa.array(part, pa.int32()),
+            pa.array(np.full(len(part), batch.column("slice")[0].as_py()), pa.int64()),
+            pa.array(np.full(len(part), batch.column("at")[0].as_py()), pa.int64()),
+            pa.array([ngrams.keys[p].tobytes() for p in places], pa.binary()),
+            pa.array([counts[p].tobytes() for p in places], pa.binary()),
+        ]
+        yield pa.RecordBatch.from_arrays(columns, ["part", "slice", "start", "keys", "counts"])
+
+
+def _probe_part(rows: pd.DataFrame) -> pd.DataFrame:
+    """Merge the counts of one part, build its segments, and read back the level of every n-gram sent here."""
     keys = np.concatenate([np.frombuffer(k, "<u8") for k in rows["keys"]])
-    counts = np.concatenate([np.frombuffer(c, "<u4") for c in rows["counts"]]).astype(np.int64)
+    counts = np.concatenate([np.frombuffer(c, "<u4") for c in rows["counts"]])
     unique, at = np.unique(keys, return_inverse=True)
     total = np.bincount(at, counts, minlength=len(unique)).astype(np.int64)
-    kept = total >= MIN_PAIR_COUNT
-    return pd.DataFrame({"key": unique[kept].view(np.int64), "c": total[kept]})
+    del keys, counts
+    levels = Filter.over(unique, total).levels(unique).astype(np.uint8)[at]
+    cuts = np.cumsum([len(k) // 8 for k in rows["keys"]])[:-1]
+    return rows[["part", "slice", "start"]].assign(levels=[x.tobytes() for x in np.split(levels, cuts)])
 
 
 def word_counts(training: DataFrame) -> DataFrame:
@@ -252,43 +307,10 @@ def word_counts(training: DataFrame) -> DataFrame:
     return counted.groupBy("token").agg(F.sum("c").alias("c"))
 
 
-def learn(training: DataFrame, counts: DataFrame, n_docs: int) -> Model:
-    """Count pairs over ``training(text)`` and build the filter from them and the word ``counts``."""
-    total = counts.agg(F.sum("c"), F.count("*")).first()
-    n_tokens, n_distinct = (total[0] or 0) + n_docs, total[1] + (1 if n_docs else 0)
-    parts = max(1, math.ceil(n_tokens / TOKENS_PER_PART))
-    pairs = training.select("text").mapInArrow(lambda b: _pair_parts(parts, b), "part int, keys binary, counts binary")
-    pairs = materialize(pairs.groupBy("part").applyInPandas(_merge_pairs, "key long, c long"), "pairs")
-
-    def hash_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            keys = pa.array(_hashes(_listed(batch.column("token"))).view(np.int64))
-            yield pa.RecordBatch.from_arrays([keys, batch.column("c")], ["key", "c"])
-
-    level_of = (1 + F.floor(F.log("c") / math.log(BASE) + 1e-9)).cast("int")
-    end = training.sparkSession.createDataFrame([(int(END_HASH.view(np.int64)), n_docs)], "key long, c long").where("c > 0")
-    all_counts = pairs.select("c").union(counts.select("c")).union(end.select("c"))
-    histogram = all_counts.groupBy(level_of.alias("level")).count().orderBy(F.desc("level")).collect()  # a row for each level
-    least, items = 1, 0
-    for row in histogram:
-        if (items + row["level"] * row["count"]) * BITS_PER_ITEM > MAX_BITS:
-            least = row["level"] + 1
-            break
-        items += row["level"] * row["count"]
-    segments = max(1, math.ceil(items * BITS_PER_ITEM / SEGMENT_BITS))
-    singles = counts.where(level_of >= least).mapInArrow(hash_words, "key long, c long")
-    grams = pairs.where(level_of >= least).unionByName(singles).unionByName(end.where(level_of >= least))
-    located = grams.withColumn("segment", (F.shiftrightunsigned("key", SEGMENT_SHIFT) % segments).cast("int"))
-
-    def build(rows: pd.DataFrame) -> pd.DataFrame:
-        bits = Filter.build(rows["key"].to_numpy().view(np.uint64), rows["c"].to_numpy())
-        return pd.DataFrame({"segment": rows["segment"].iloc[:1], "bits": [bits.tobytes()]})
-
-    built = located.groupBy("segment").applyInPandas(build, "segment int, bits binary").toArrow()  # at most MAX_BITS
-    filled = np.zeros((segments, SEGMENT_BITS // 8), np.uint8)
-    for segment, bits in zip(built.column("segment").to_pylist(), built.column("bits")):
-        filled[segment] = np.frombuffer(bits.as_buffer(), np.uint8)
-    return Model(Filter(filled), n_tokens, n_distinct)
+def ngram_levels(slices: DataFrame, parts: int) -> DataFrame:
+    """(part, slice, start, levels) of the n-grams of each run of ``slices``, in the order of ``Ngrams.by_part``."""
+    packed = slices.mapInArrow(lambda b: _pack_ngrams(parts, b), _PACKED)
+    return packed.groupBy("part").applyInPandas(_probe_part, "part int, slice long, start long, levels binary")
 
 
 _SCORED = (
@@ -305,42 +327,55 @@ def scores(docs: DataFrame) -> DataFrame:
     """
     spark = docs.sparkSession
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), held_out(F.col("doc_id")).alias("held_out"), F.col("text").cast("string").alias("text"))
-    training = rows.where("not held_out").select("text")
+    slices = materialize(rows.mapInArrow(_cut, "slice long, at long, doc_id long, held_out boolean, text string"), "slices")
+    training = slices.where("not held_out").select("text")
     n_docs = training.count()
     counts = materialize(word_counts(training), "word-counts")
-    model = learn(training, counts, n_docs)
+    total = counts.agg(F.sum("c"), F.count("*")).first()
+    n_tokens, n_distinct = (total[0] or 0) + n_docs, total[1] + (1 if n_docs else 0)
     top = counts.orderBy(F.desc("c"), "token").limit(FREQUENT_WORDS).toArrow()
-    frequent = Frequent.of(model, _listed(top.column("token")), top.column("c").to_numpy())
-    below = math.log10(model.tokens + ADD * (model.distinct + 1))
-    shared = spark.sparkContext.broadcast((model, frequent))
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model, frequent = shared.value
-        for batch in text_slices(batches):
-            words = words_of(batch.column("text"))
-            n = len(words.lengths)
-            distinct = _listed(words.distinct)
-            counts_here, hashes, levels = frequent.look_up(model, distinct)
-            known = counts_here[words.index]
-            of_word = np.where(known > 0, np.log10(known + ADD) - below, 0.0)
-            base = np.bincount(words.owner, of_word, minlength=n) + math.log10(n_docs + ADD) - below
-            n_known = np.bincount(words.owner, known > 0, minlength=n).astype(np.int64) + (1 if n_docs else 0)
-            rare = np.flatnonzero(known == 0)
-            both, n_rare = np.unique(words.owner[rare].astype(np.int64) * (len(distinct) + 1) + words.index[rare], return_counts=True)
-            owner, index = both // (len(distinct) + 1), both % (len(distinct) + 1)
-            offsets = np.searchsorted(owner, np.arange(n + 1)).astype(np.int32)
-            tokens = words.distinct.cast(pa.string()).take(pa.array(index))
-            lists = pa.ListArray.from_arrays(
-                pa.array(offsets), pa.StructArray.from_arrays([tokens, pa.array(n_rare.astype(np.int64))], ["token", "n"])
-            )
-            columns = [
-                batch.column("doc_id"), batch.column("held_out"), pa.array((words.lengths + 1).astype(np.int64)),
-                pa.array(n_known), pa.array(base), pa.array(score_texts(model, words, hashes, levels)), lists,
-            ]
-            yield pa.RecordBatch.from_arrays(columns, ["doc_id", "held_out", "n_tokens", "n_known", "base_score", "score", "rare"])
-
-    scored = rows.mapInArrow(run, _SCORED).withColumn("row_id", F.monotonically_increasing_id())
-    scored = materialize(scored, "scored")
+    frequent = dict(zip(_listed(top.column("token")), top.column("c").to_pylist()))
+    parts = max(1, math.ceil(n_tokens / TOKENS_PER_PART))
+    below = math.log10(n_tokens + ADD * (n_distinct + 1))
+    shared = spark.sparkContext.broadcast(frequent)
+
+    def score_run(batch: pa.RecordBatch, levels_by_part: list[bytes]) -> pa.RecordBatch:
+        words = words_of(batch.column("text"))
+        ngrams = Ngrams.of(words)
+        _, places = ngrams.by_part(parts)
+        levels = np.empty(len(ngrams.keys), np.uint8)
+        levels[np.concatenate(places)] = np.frombuffer(b"".join(levels_by_part), np.uint8)
+        n = len(words.lengths)
+        distinct = _listed(words.distinct)
+        known = np.fromiter((shared.value.get(w, 0) for w in distinct), np.int64, len(distinct))[words.index]
+        of_word = np.where(known > 0, np.log10(known + ADD) - below, 0.0)
+        base = np.bincount(words.owner, of_word, minlength=n) + math.log10(n_docs + ADD) - below
+        n_known = np.bincount(words.owner, known > 0, minlength=n).astype(np.int64) + (1 if n_docs else 0)
+        rare = np.flatnonzero(known == 0)
+        both, n_rare = np.unique(words.owner[rare].astype(np.int64) * (len(distinct) + 1) + words.index[rare], return_counts=True)
+        owner, index = both // (len(distinct) + 1), both % (len(distinct) + 1)
+        offsets = np.searchsorted(owner, np.arange(n + 1)).astype(np.int32)
+        tokens = words.distinct.cast(pa.string()).take(pa.array(index))
+        lists = pa.ListArray.from_arrays(
+            pa.array(offsets), pa.StructArray.from_arrays([tokens, pa.array(n_rare.astype(np.int64))], ["token", "n"])
+        )
+        score = score_texts(words, ngrams, levels, n_tokens, n_distinct)
+        columns = [batch.column("doc_id"), batch.column("held_out"), pa.array((words.lengths + 1).astype(np.int64)), pa.array(n_known), pa.array(base), pa.array(score), lists]
+        return pa.RecordBatch.from_arrays(columns, ["doc_id", "held_out", "n_tokens", "n_known", "base_score", "score", "rare"])
+
+    def score_slice(texts: pa.Table, levels: pa.Table) -> pa.Table:
+        """One slice: its runs are cut as when their n-grams were sent."""
+        texts, levels = texts.sort_by("at"), levels.sort_by([("start", "ascending"), ("part", "ascending")])
+        rows = _with_large_texts(pa.RecordBatch.from_arrays([c.combine_chunks() for c in texts.columns], texts.column_names))
+        by_start: dict[int, list[bytes]] = {}
+        for start, packed in zip(levels.column("start").to_pylist(), levels.column("levels").to_pylist()):
+            by_start.setdefault(start, []).append(packed)
+        ends = [*list(by_start)[1:], rows.num_rows]
+        return pa.Table.from_batches([score_run(rows.slice(start, end - start), by_start[start]) for start, end in zip(by_start, ends)])
+
+    levels = ngram_levels(slices, parts)
+    scored = slices.groupBy("slice").cogroup(levels.groupBy("slice")).applyInArrow(score_slice, _SCORED)
+    scored = materialize(scored.withColumn("row_id", F.monotonically_increasing_id()), "scored")
     rest = scored.select("row_id", F.explode("rare").alias("r")).select("row_id", "r.token", "r.n")
     looked_up = rest.join(counts, "token", "left").select("row_id", "n", F.coalesce("c", F.lit(0)).alias("c"))
     looked_up = looked_up.groupBy("row_id").agg(
@@ -352,7 +387,7 @@ def scores(docs: DataFrame) -> DataFrame:
         "held_out",
         "n_tokens",
         (F.col("n_known") + F.coalesce("rare_known", F.lit(0))).alias("n_known"),
-        F.lit(model.tokens).cast("long").alias("train_tokens"),
+        F.lit(n_tokens).cast("long").alias("train_tokens"),
         (F.col("base_score") + F.coalesce("rare_score", F.lit(0.0))).alias("base_score"),
         "score",
     )

@@ -66,3 +66,39 @@ def test_slices_keep_every_word(monkeypatch):
         distinct = found.distinct.to_pylist()
         counted.update(distinct[i] for i in found.index)
     assert counted == Counter(w for t in texts for w in (t or "").lower().split())
+
+
+def exact_scores(rows, least_pair=1):
+    """Scores from exact quantised counts, without a filter."""
+    texts = {i: words(r.text) for i, r in enumerate(rows)}
+    held = [zlib.crc32(b"" if r.doc_id is None else str(r.doc_id).encode()) % 10 == 0 for r in rows]
+    singles = Counter(w for i, t in texts.items() if not held[i] for w in t)
+    pairs = Counter(p for i, t in texts.items() if not held[i] for p in zip(["end", *t], t))
+    value = lambda c: float(language_model.count_of_level(language_model.level(np.array([c])))[0]) if c else 0.0
+    total, distinct, share = sum(singles.values()), len(singles), language_model.PAIR_SHARE
+    out = []
+    for t in texts.values():
+        score = 0.0
+        for before, word in zip(["end", *t], t):
+            pair = value(pairs[before, word]) if pairs[before, word] >= least_pair else 0.0
+            c_before = max(value(singles[before]), pair)
+            p1 = (value(singles[word]) + 0.1) / (total + 0.1 * (distinct + 1))
+            score += math.log10(share * pair / c_before + (1 - share) * p1 if c_before else p1)
+        out.append(score)
+    return out
+
+
+def test_no_ngram_is_left_out_whatever_the_size(documents, monkeypatch):
+    docs = documents.limit(60)
+    rows = docs.select("doc_id", "text").collect()
+    want = sum(exact_scores(rows))
+    for tokens_per_part, slice_bytes in ((2_000_000, 4 << 20), (700, 20_000)):
+        monkeypatch.setattr(language_model, "MAX_BITS", 1 << 16, raising=False)
+        monkeypatch.setattr(language_model, "TOKENS_PER_PART", tokens_per_part)
+        monkeypatch.setattr(language_model, "NGRAM_SLICE_BYTES", slice_bytes, raising=False)
+        found = language_model.scores(spark_rows(docs, rows)).collect()
+        assert sum(r.score for r in found) == pytest.approx(want, rel=0.01)
+
+
+def spark_rows(docs, rows):
+    return docs.sparkSession.createDataFrame([(r.doc_id, r.text) for r in rows], "doc_id long, text string")
