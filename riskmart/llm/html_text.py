@@ -9,6 +9,8 @@ from __future__ import annotations
 
 import html
 import re
+from bisect import bisect_right
+from collections import defaultdict
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -28,6 +30,23 @@ _VOID = frozenset("area base br col embed hr img input link meta param source tr
 #: Text in these is never shown as text of the page.
 _HIDDEN = frozenset("script style title noscript template svg iframe object canvas audio video math head".split())
 _RAW = frozenset("script style title textarea iframe noscript".split())
+#: Elements that end where another begins: those that the start of a tag ends, and the elements beyond which it does not.
+_CELLS, _ROWS, _GROUPS = frozenset(["td", "th"]), frozenset(["tr"]), frozenset(["thead", "tbody", "tfoot"])
+_TABLE = frozenset(["table"]) | _HIDDEN
+_SPECIAL = (_BLOCK | _HIDDEN) - frozenset(["address", "div", "p"])
+_TERMS, _ITEMS, _OPTIONS = frozenset(["dt", "dd"]), frozenset(["li"]), frozenset(["option"])
+_ENDS = {
+    **dict.fromkeys(_CELLS, (_CELLS, _TABLE | _ROWS)),
+    "tr": (_CELLS | _ROWS, _TABLE | _GROUPS),
+    **dict.fromkeys(_GROUPS, (_CELLS | _ROWS | _GROUPS, _TABLE)),
+    **dict.fromkeys(_TERMS, (_TERMS, _SPECIAL - _TERMS)),
+    "li": (_ITEMS, _SPECIAL - _ITEMS),
+    "option": (_OPTIONS, _SPECIAL - _OPTIONS),
+}
+#: Blocks that end an open paragraph, unless it lies beyond one of the scope.
+_PARAGRAPH = frozenset(["p"])
+_ENDS_P = _BLOCK - frozenset("html body button legend option optgroup select textarea".split()) - _CELLS - _ROWS - _GROUPS
+_P_SCOPE = _CELLS | _TABLE | frozenset(["button"])
 _CHROME = frozenset("nav header footer aside form button select textarea dialog menu fieldset".split())
 _HINT = re.compile(
     r"\b(ads?|adverts?|advertisements?|advertising|sponsor(ed)?|promos?|promotions?|banners?|cookies?|consent|gdpr|notices?"
@@ -114,6 +133,7 @@ class _Page:
     def __init__(self, source: str):
         self.blocks: list[list] = []
         self.open: list[tuple[str, bool, bool, bool]] = []  # tag, chrome, article, hidden
+        self.depths: defaultdict[str, list[int]] = defaultdict(list)  # of the open elements, by tag
         self.parts: list[str] = []
         self.linked: list[str] = []
         self.link = False
@@ -186,8 +206,10 @@ class _Page:
             self.linked.append(" ")
         if name in _VOID or attributes.endswith("/") and name not in _BLOCK:
             return
-        if name in ("p", "li", "td", "th", "tr", "dd", "dt", "option") and self.open and self.open[-1][0] == name:
-            self._pop()  # these end where the next of their kind begins
+        if self.depths["p"] and (name == "p" or name in _ENDS_P):
+            self._end_omitted(_PARAGRAPH, _P_SCOPE)
+        if name in _ENDS:
+            self._end_omitted(*_ENDS[name])
         hint = content = False
         if attributes and name not in ("html", "body", "main", "article", "a", "p", "span", "b", "i", "em", "strong"):
             said = " ".join("".join(m) for m in _NAMED.findall(attributes)).lower()
@@ -198,13 +220,30 @@ class _Page:
         article = name in ("article", "main") or content and not hint
         if name not in _BLOCK and not chrome and name not in _HIDDEN:
             return
+        self.depths[name].append(len(self.open))
         self.open.append((name, chrome, article, name in _HIDDEN))
         self.chrome += chrome
         self.article += article
         self.hidden += name in _HIDDEN
 
+    def _end_omitted(self, ended: frozenset[str], within: frozenset[str]) -> None:
+        """End the outermost open element of ``ended`` inside the innermost open one of ``within``."""
+        barrier = max((self.depths[name][-1] for name in within if self.depths.get(name)), default=-1)
+        outer = len(self.open)
+        for name in ended:
+            depths = self.depths[name]
+            at = bisect_right(depths, barrier)
+            if at < len(depths):
+                outer = min(outer, depths[at])
+        self._pop_to(outer)
+
+    def _pop_to(self, depth: int) -> None:
+        while len(self.open) > depth:
+            self._pop()
+
     def _pop(self) -> None:
-        _, chrome, article, hidden = self.open.pop()
+        name, chrome, article, hidden = self.open.pop()
+        self.depths[name].pop()
         self.chrome -= chrome
         self.article -= article
         self.hidden -= hidden
@@ -216,11 +255,8 @@ class _Page:
         if name in _BLOCK:
             self._end_block()
             self.link = self.heading = False
-        for depth in range(len(self.open) - 1, max(-1, len(self.open) - 64), -1):
-            if self.open[depth][0] == name:
-                while len(self.open) > depth:
-                    self._pop()
-                return
+        if self.depths[name]:
+            self._pop_to(self.depths[name][-1])
 
 
 def blocks(source: str) -> list[tuple[str, tuple]]:

@@ -46,6 +46,25 @@ def test_odd_pages(spark):
         html_text.main_text(hostile)
 
 
+def test_article_after_deep_chrome_is_kept():
+    text = "A fairly long paragraph with at least a dozen words of real content in it."
+    rows = "".join(f"<tr><td>Cell {i}<td>more" for i in range(200))
+    terms = "".join(f"<dt>Term {i}<dd>what it says" for i in range(200))
+    deep = "<div>" * 300 + "x" + "</div>" * 299
+    for chrome in (f"<table>{rows}</table>", f"<dl>{terms}</dl>", deep, f"<table>{rows}", terms):
+        for opened, closed in (("<aside>", "</aside>"), ("<div class=sidebar>", "</div>")):
+            page = f"<body>{opened}{chrome}{closed}<article><p>{text}</p></article>"
+            if chrome is not deep or closed == "</aside>":
+                assert html_text.main_text(page) == text
+
+
+def test_omitted_end_tags_end_where_html_says():
+    rows = "".join(f"<tr><td>a{i}<th>b{i}" for i in range(50)) + "<tbody>" + "<tr><td><table><tr><td>in<td>ner</table><td>x" * 9
+    for source, depth in ((f"<table>{rows}", 4), ("<dl>" + "<dt>a<dd>b" * 50, 2), ("<ul>" + "<li><p>a<div>b" * 50, 3), ("<p>a<div>b</div>" * 50, 0)):
+        assert len(html_text._Page(source).open) == depth
+    assert len(html_text._Page("<ul><li>a<ul><li>b<li>c").open) == 4
+
+
 def test_tree_fits_its_table():
     table = np.array(html_text.LABELLED, float)
     right = [html_text.is_article(html_text.default_tree(), row[:-1]) == row[-1] for row in table]
