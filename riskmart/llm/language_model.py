@@ -9,7 +9,9 @@ slice of texts are sent to their parts, where a task merges the counts, builds t
 travel back to the slice, a byte for each n-gram.
 
     p1(w)     = (c(w) + 0.1) / (N + 0.1 (V + 1))
-    p(w | u)  = L c(u w) / c(u) + (1 - L) p1(w)          all c read from the filter
+    p(w | u)  = L c(u w) / c(u) + (1 - L) p1(w)
+
+All c are levels, read from the filter but for those of the most frequent words, which every task knows.
 
 The exact unigram score beside it looks up the most frequent words in a broadcast table of fixed size and all
 others by a join.
@@ -26,7 +28,7 @@ import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
 import xxhash
-from pyspark import TaskContext
+from pyspark import Broadcast, TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -42,6 +44,7 @@ BITS_PER_ITEM, PROBES = 12, 3
 MOST_LEVELS = 110  # of a 64-bit count
 SEGMENT_BITS = 1 << 18
 SEGMENT_SHIFT = 16
+KEY_BYTES = 5  # of a key, beside its part
 #: Bytes of text whose n-grams are sent to the filter together. A longer single text is a slice of its own.
 NGRAM_SLICE_BYTES = 4 << 20
 ROW_BYTES = 64  # what a row counts beside its text
@@ -179,24 +182,29 @@ class Filter:
 
 
 class Ngrams(NamedTuple):
-    """Keys of a slice's distinct words, of the end and of its distinct pairs; the pair of each token."""
+    """Keys of a slice's distinct words that are not frequent, of the end and of its distinct pairs; exact counts
+    of the frequent ones among its distinct words (0 for others), places of the others, the pair of each token."""
 
     keys: np.ndarray
+    known: np.ndarray
+    rare: np.ndarray
     pair_of: np.ndarray
 
     @staticmethod
-    def of(words: Words) -> Ngrams:
-        hashes = _hashes(_listed(words.distinct))
+    def of(words: Words, frequent: dict[bytes, int]) -> Ngrams:
+        distinct = _listed(words.distinct)
+        hashes = _hashes(distinct)
+        known = np.fromiter((frequent.get(w, 0) for w in distinct), np.int64, len(distinct))
+        rare = np.flatnonzero(known == 0)
         tokens, before, _ = token_hashes(words, hashes)
         pairs, pair_of = np.unique(pair_hashes(before, tokens), return_inverse=True)
-        return Ngrams(np.concatenate([hashes, [END_HASH], pairs]), pair_of)
+        return Ngrams(np.concatenate([hashes[rare], [END_HASH], pairs]), known, rare, pair_of)
 
     def counts(self, words: Words, weights: np.ndarray) -> np.ndarray:
         """How often each key occurs, each text counting by its weight (0 or 1)."""
-        n = len(words.distinct)
-        singles = np.bincount(words.index, weights[words.owner], minlength=n)
+        singles = np.bincount(words.index, weights[words.owner], minlength=len(self.known))[self.rare]
         owner = np.repeat(np.arange(len(weights)), words.lengths + 1)
-        pairs = np.bincount(self.pair_of, weights[owner], minlength=len(self.keys) - n - 1)
+        pairs = np.bincount(self.pair_of, weights[owner], minlength=len(self.keys) - len(self.rare) - 1)
         return np.concatenate([singles, [weights.sum()], pairs]).astype(np.int64)
 
     def by_part(self, parts: int) -> tuple[np.ndarray, list[np.ndarray]]:
@@ -209,9 +217,11 @@ class Ngrams(NamedTuple):
 
 def score_texts(words: Words, ngrams: Ngrams, levels: np.ndarray, n_tokens: int, n_distinct: int) -> np.ndarray:
     """log10 probability of each text with its end, from the levels of the slice's n-grams."""
-    n = len(words.distinct)
+    n = len(ngrams.rare)
     counts = count_of_level(levels)
-    single = with_ends(words, counts[:n], counts[n])
+    of_word = count_of_level(np.where(ngrams.known > 0, level(ngrams.known), 0))
+    of_word[ngrams.rare] = counts[:n]
+    single = with_ends(words, of_word, counts[n])
     p1 = (single + ADD) / (n_tokens + ADD * (n_distinct + 1))
     pair = counts[n + 1 :][ngrams.pair_of]
     c_before = np.concatenate([counts[n : n + 1], single[:-1]])
@@ -271,11 +281,11 @@ def _runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 _PACKED = "part int, slice long, start long, keys binary, counts binary"
 
 
-def _pack_ngrams(parts: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _pack_ngrams(parts: int, frequent: Broadcast, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Distinct n-grams of a run of texts with their counts in training texts, packed by part."""
     for batch in _runs(batches):
         words = words_of(batch.column("text"))
-        ngrams = Ngrams.of(words)
+        ngrams = Ngrams.of(words, frequent.value)
         training = ~batch.column("held_out").to_numpy(zero_copy_only=False)
         counts = ngrams.counts(words, training.astype(np.float64)).astype("<u4")
         part, places = ngrams.by_part(parts)
@@ -283,21 +293,38 @@ def _pack_ngrams(parts: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.R
             pa.array(part, pa.int32()),
             pa.array(np.full(len(part), batch.column("slice")[0].as_py()), pa.int64()),
             pa.array(np.full(len(part), batch.column("at")[0].as_py()), pa.int64()),
-            pa.array([ngrams.keys[p].tobytes() for p in places], pa.binary()),
-            pa.array([counts[p].tobytes() for p in places], pa.binary()),
+            pa.array([_short(ngrams.keys[p]) for p in places], pa.binary()),
+            pa.array([_small(counts[p]) for p in places], pa.binary()),
         ]
         yield pa.RecordBatch.from_arrays(columns, ["part", "slice", "start", "keys", "counts"])
 
 
+def _short(keys: np.ndarray) -> bytes:
+    """The lower ``KEY_BYTES`` of each key: a part holds so few that these tell them apart."""
+    return keys.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :KEY_BYTES].tobytes()
+
+
+def _long(packed: bytes) -> np.ndarray:
+    keys = np.zeros((len(packed) // KEY_BYTES, 8), np.uint8)
+    keys[:, :KEY_BYTES] = np.frombuffer(packed, np.uint8).reshape(-1, KEY_BYTES)
+    return keys.view("<u8").ravel()
+
+
+def _small(counts: np.ndarray) -> bytes:
+    """A byte for each count if all fit, else four."""
+    return counts.astype("u1" if counts.max(initial=0) < 256 else "<u4").tobytes()
+
+
 def _probe_part(rows: pd.DataFrame) -> pd.DataFrame:
     """Merge the counts of one part, build its segments, and read back the level of every n-gram sent here."""
-    keys = np.concatenate([np.frombuffer(k, "<u8") for k in rows["keys"]])
-    counts = np.concatenate([np.frombuffer(c, "<u4") for c in rows["counts"]])
+    sizes = [len(k) // KEY_BYTES for k in rows["keys"]]
+    keys = np.concatenate([_long(k) for k in rows["keys"]])
+    counts = np.concatenate([np.frombuffer(c, "u1" if len(c) == n else "<u4") for c, n in zip(rows["counts"], sizes)])
     unique, at = np.unique(keys, return_inverse=True)
     total = np.bincount(at, counts, minlength=len(unique)).astype(np.int64)
     del keys, counts
     levels = Filter.over(unique, total).levels(unique).astype(np.uint8)[at]
-    cuts = np.cumsum([len(k) // 8 for k in rows["keys"]])[:-1]
+    cuts = np.cumsum(sizes)[:-1]
     return rows[["part", "slice", "start"]].assign(levels=[x.tobytes() for x in np.split(levels, cuts)])
 
 
@@ -307,9 +334,9 @@ def word_counts(training: DataFrame) -> DataFrame:
     return counted.groupBy("token").agg(F.sum("c").alias("c"))
 
 
-def ngram_levels(slices: DataFrame, parts: int) -> DataFrame:
+def ngram_levels(slices: DataFrame, parts: int, frequent: Broadcast) -> DataFrame:
     """(part, slice, start, levels) of the n-grams of each run of ``slices``, in the order of ``Ngrams.by_part``."""
-    packed = slices.mapInArrow(lambda b: _pack_ngrams(parts, b), _PACKED)
+    packed = slices.mapInArrow(lambda b: _pack_ngrams(parts, frequent, b), _PACKED)
     return packed.groupBy("part").applyInPandas(_probe_part, "part int, slice long, start long, levels binary")
 
 
@@ -327,7 +354,7 @@ def scores(docs: DataFrame) -> DataFrame:
     """
     spark = docs.sparkSession
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), held_out(F.col("doc_id")).alias("held_out"), F.col("text").cast("string").alias("text"))
-    slices = materialize(rows.mapInArrow(_cut, "slice long, at long, doc_id long, held_out boolean, text string"), "slices")
+    slices = materialize(rows.mapInArrow(_cut, "slice long, at long, doc_id long, held_out boolean, text string"), "slices", "zstd")
     training = slices.where("not held_out").select("text")
     n_docs = training.count()
     counts = materialize(word_counts(training), "word-counts")
@@ -341,19 +368,19 @@ def scores(docs: DataFrame) -> DataFrame:
 
     def score_run(batch: pa.RecordBatch, levels_by_part: list[bytes]) -> pa.RecordBatch:
         words = words_of(batch.column("text"))
-        ngrams = Ngrams.of(words)
+        ngrams = Ngrams.of(words, shared.value)
         _, places = ngrams.by_part(parts)
         levels = np.empty(len(ngrams.keys), np.uint8)
         levels[np.concatenate(places)] = np.frombuffer(b"".join(levels_by_part), np.uint8)
         n = len(words.lengths)
-        distinct = _listed(words.distinct)
-        known = np.fromiter((shared.value.get(w, 0) for w in distinct), np.int64, len(distinct))[words.index]
+        n_distinct_here = len(words.distinct)
+        known = ngrams.known[words.index]
         of_word = np.where(known > 0, np.log10(known + ADD) - below, 0.0)
         base = np.bincount(words.owner, of_word, minlength=n) + math.log10(n_docs + ADD) - below
         n_known = np.bincount(words.owner, known > 0, minlength=n).astype(np.int64) + (1 if n_docs else 0)
         rare = np.flatnonzero(known == 0)
-        both, n_rare = np.unique(words.owner[rare].astype(np.int64) * (len(distinct) + 1) + words.index[rare], return_counts=True)
-        owner, index = both // (len(distinct) + 1), both % (len(distinct) + 1)
+        both, n_rare = np.unique(words.owner[rare].astype(np.int64) * (n_distinct_here + 1) + words.index[rare], return_counts=True)
+        owner, index = both // (n_distinct_here + 1), both % (n_distinct_here + 1)
         offsets = np.searchsorted(owner, np.arange(n + 1)).astype(np.int32)
         tokens = words.distinct.cast(pa.string()).take(pa.array(index))
         lists = pa.ListArray.from_arrays(
@@ -373,7 +400,7 @@ def scores(docs: DataFrame) -> DataFrame:
         ends = [*list(by_start)[1:], rows.num_rows]
         return pa.Table.from_batches([score_run(rows.slice(start, end - start), by_start[start]) for start, end in zip(by_start, ends)])
 
-    levels = ngram_levels(slices, parts)
+    levels = ngram_levels(slices, parts, shared)
     scored = slices.groupBy("slice").cogroup(levels.groupBy("slice")).applyInArrow(score_slice, _SCORED)
     scored = materialize(scored.withColumn("row_id", F.monotonically_increasing_id()), "scored")
     rest = scored.select("row_id", F.explode("rare").alias("r")).select("row_id", "r.token", "r.n")

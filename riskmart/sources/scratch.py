@@ -36,8 +36,8 @@ def clear_scratch(spark: SparkSession) -> None:
     folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
 
 
-def materialize(df: DataFrame, name: str) -> DataFrame:
-    """Write ``df`` once and read it back: one consistent result, lineage cut."""
+def materialize(df: DataFrame, name: str, codec: str | None = None) -> DataFrame:
+    """Write ``df`` once and read it back: one consistent result, lineage cut. ``codec``: another than the session's."""
     path = fresh_path(df.sparkSession, name)
-    df.write.parquet(path)
+    df.write.parquet(path, compression=codec)
     return df.sparkSession.read.schema(df.schema).parquet(path)
