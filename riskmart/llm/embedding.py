@@ -7,17 +7,20 @@ into cells of its first two coordinates, and a cell meets itself and its neighbo
 are united and checked exactly on the original vectors.
 
 Equal vectors are joined once. A cell's points are dealt into ``slots`` on either side, each pair of slots being a
-task of its own, so no cell is gathered in one place.
+task of its own, so no cell is gathered in one place. The length of a vector counts as part of its label: each length
+has its own rotation, blocks and budget in the same join.
 """
 
 from __future__ import annotations
 
 import math
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -33,20 +36,30 @@ SLACK = 1e-9
 ROWS_AT_A_TIME = 1024
 
 
+@lru_cache(maxsize=16)
 def rotation(dims: int) -> np.ndarray:
     """A fixed random rotation."""
     q, r = np.linalg.qr(np.random.default_rng(SEED).standard_normal((dims, dims)))
     return q * np.sign(np.diag(r))
 
 
-def _points(dims: int, slots: int, budget: float, with_cells: float):
-    turn = rotation(dims)
-    n_blocks = math.ceil(dims / BLOCK_DIMS)
+def _budget(dims: int, cosine: float) -> float:
+    """The share of a block of vectors of this length."""
+    return 2 * (1 - cosine) / math.ceil(dims / BLOCK_DIMS)
 
+
+def _by_length(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, pa.RecordBatch]]:
+    for batch in batches:
+        lengths = pc.list_value_length(batch.column("unit")).to_numpy(zero_copy_only=False)
+        for dims in np.unique(lengths):
+            yield int(dims), batch.take(pa.array(np.flatnonzero(lengths == dims)))
+
+
+def _points(slots: int, cosine: float):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            if not batch.num_rows:
-                continue
+        for dims, batch in _by_length(batches):
+            turn, n_blocks = rotation(dims), math.ceil(dims / BLOCK_DIMS)
+            with_cells = 2 * math.sqrt(_budget(dims, cosine) + SLACK)
             ids = batch.column("rep").to_numpy(zero_copy_only=False)
             labels = batch.column("label").to_numpy(zero_copy_only=False)
             vectors = batch.column("unit").flatten().to_numpy(zero_copy_only=False).reshape(-1, dims) @ turn
@@ -62,19 +75,20 @@ def _points(dims: int, slots: int, budget: float, with_cells: float):
                         n = len(ids)
                         yield pa.RecordBatch.from_arrays(
                             [
-                                pa.array(labels, pa.int64()), pa.array(np.full(n, block), pa.int32()),
+                                pa.array(labels, pa.int64()), pa.array(np.full(n, dims), pa.int32()), pa.array(np.full(n, block), pa.int32()),
                                 pa.array(cells[:, 0] + dx), pa.array(cells[:, 1] + dy), pa.array(np.full(n, slot), pa.int32()),
                                 pa.array(np.full(n, guest > 0)), pa.array(ids, pa.int64()), pa.array(packed, pa.binary()),
                             ],
-                            ["label", "block", "x", "y", "slot", "guest", "rep", "part"],
+                            ["label", "dims", "block", "x", "y", "slot", "guest", "rep", "part"],
                         )
 
     return run
 
 
-def _near(dims: int, budget: float):
+def _near(cosine: float):
     def run(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
         """Pairs of one cell within the block's budget: home with home, and home with guests."""
+        budget = _budget(int(rows["dims"].iloc[0]), cosine)
         parts = np.frombuffer(b"".join(rows["part"]), np.float64).reshape(len(rows), -1)
         ids, guest = rows["rep"].to_numpy(), rows["guest"].to_numpy()
         mine = rows["own"].to_numpy()  # home rows of this task's left side
@@ -95,16 +109,13 @@ def _near(dims: int, budget: float):
     return run
 
 
-def links(units: DataFrame, dims: int, cosine: float = COSINE) -> DataFrame:
-    """Pairs (a, b), a < b, of rows of ``units(rep, label, unit)`` with equal labels and cosine >= ``cosine``."""
-    n_blocks = math.ceil(dims / BLOCK_DIMS)
-    budget = 2 * (1 - cosine) / n_blocks
-    width = 2 * math.sqrt(budget + SLACK)
-    largest = units.groupBy("label").count().agg(F.max("count")).first()[0] or 0
+def links(units: DataFrame, cosine: float = COSINE) -> DataFrame:
+    """Pairs (a, b), a < b, of rows of ``units(rep, label, unit)`` with equal labels and lengths and cosine >= ``cosine``."""
+    largest = units.groupBy("label", F.size("unit")).count().agg(F.max("count")).first()[0] or 0
     slots = max(1, math.ceil(largest / SLOT_POINTS))
-    schema = "label long, block int, x long, y long, slot int, guest boolean, rep long, part binary"
+    schema = "label long, dims int, block int, x long, y long, slot int, guest boolean, rep long, part binary"
     points = units.select("rep", F.col("label").cast("long").alias("label"), "unit").mapInArrow(
-        _points(dims, slots, budget, width), schema
+        _points(slots, cosine), schema
     )
     # a task is a cell and a pair of slots: home points of the left slot against all points of the right one
     own_slot = F.pmod(F.xxhash64("rep"), F.lit(slots)).cast("int")
@@ -115,8 +126,8 @@ def links(units: DataFrame, dims: int, cosine: float = COSINE) -> DataFrame:
         tasks = points.withColumn("right", F.lit(0)).withColumn("own", ~F.col("guest"))
     else:
         tasks = as_left.unionByName(as_right)
-    keys = ["label", "block", "x", "y", "slot", "right"]
-    near = tasks.groupBy(*keys).applyInPandas(_near(dims, budget), "a long, b long").where("a != b").distinct()
+    keys = ["label", "dims", "block", "x", "y", "slot", "right"]
+    near = tasks.groupBy(*keys).applyInPandas(_near(cosine), "a long, b long").where("a != b").distinct()
     left = units.select(F.col("rep").alias("a"), F.col("unit").alias("u"))
     right = units.select(F.col("rep").alias("b"), F.col("unit").alias("v"))
     product = F.aggregate(F.zip_with("u", "v", lambda p, q: p * q), F.lit(0.0), lambda s, p: s + p)
@@ -127,9 +138,8 @@ def near_duplicates(vectors: DataFrame, cosine: float = COSINE) -> DataFrame:
     """One row per row of ``vectors(vec_id, embedding, label)``: vec_id, n_links, component_id, kept.
 
     Vectors link if their labels are equal and not null and their cosine in double precision is at least
-    ``cosine``. Null, empty and zero vectors, vectors with null or non-finite components, and vectors of
-    another length than most (the smallest such length) link with nothing. Other columns are ignored; an empty
-    table gives an empty result.
+    ``cosine``; vectors of different lengths have no cosine. Null, empty and zero vectors, and vectors with null
+    or non-finite components link with nothing. Other columns are ignored; an empty table gives an empty result.
     """
     as_double = F.transform("embedding", lambda x: x.cast("double"))
     rows = vectors.select(F.col("vec_id").cast("long").alias("vec_id"), "label", as_double.alias("e"))
@@ -146,18 +156,13 @@ def near_duplicates(vectors: DataFrame, cosine: float = COSINE) -> DataFrame:
         "vec_id", "label", F.transform("e", lambda x: x / F.col("norm")).alias("unit")
     )
     rows = materialize(rows.withColumn("row_id", F.monotonically_increasing_id()), "unit-vectors")
-    sizes = rows.where("unit is not null").groupBy(F.size("unit").alias("dims")).count()
-    common = sizes.orderBy(F.desc("count"), "dims").first()
-    dims = common["dims"] if common else 0
-    usable = rows.where(F.col("unit").isNotNull() & (F.size("unit") == dims))
+    usable = rows.where("unit is not null")
 
     same = usable.groupBy("label", "unit").agg(
         F.min("row_id").alias("rep"), F.min("vec_id").alias("least"), F.count("*").alias("copies")
     )
     same = materialize(same, "distinct-vectors")
-    if not dims:
-        return rows.select("vec_id", F.lit(0).cast("long").alias("n_links"), F.col("vec_id").alias("component_id"), F.lit(True).alias("kept"))
-    pairs = materialize(links(same.select("rep", "label", "unit"), dims, cosine), "links")
+    pairs = materialize(links(same.select("rep", "label", "unit"), cosine), "links")
     sides = pairs.select(F.explode(F.array(F.struct(F.col("a").alias("rep"), F.col("b").alias("o")), F.struct(F.col("b").alias("rep"), F.col("a").alias("o")))).alias("s")).select("s.*")
     others = sides.join(same.select(F.col("rep").alias("o"), "copies"), "o").groupBy("rep").agg(F.sum("copies").alias("near"))
     roots = components(pairs).withColumnRenamed("node", "rep")

@@ -46,5 +46,20 @@ def test_links_and_components(spark, monkeypatch, slots):
     assert all(r.kept == (r.vec_id == r.component_id) for r in found)
 
 
+@pytest.mark.parametrize("slots", [embedding.SLOT_POINTS, 5])
+def test_every_length_is_searched(spark, monkeypatch, slots):
+    monkeypatch.setattr(embedding, "SLOT_POINTS", slots)
+    rng = np.random.default_rng(7)
+    rows = []
+    for dims in (1, 2, 3, 8, 9, 20, 64):
+        centres = rng.normal(size=(4, dims))
+        for i in range(24):
+            v = centres[i % 4] + rng.normal(size=dims) * rng.choice([0.0, 0.05, 0.1, 0.2])
+            rows.append((1000 * dims + i, [float(np.float32(x)) for x in v], int(i % 2), "x"))
+    rows += [(1, [1.0] * 5, 0, "x"), (2, [1.0] * 5, 0, "x"), (3, [1.0] * 6, 0, "x")]
+    found = embedding.near_duplicates(spark.createDataFrame(rows, SCHEMA)).collect()
+    assert sorted(((r.vec_id, r.n_links, r.component_id) for r in found), key=str) == brute(rows, 0.98)
+
+
 def test_empty_table(spark):
     assert embedding.near_duplicates(spark.createDataFrame([], SCHEMA)).count() == 0
