@@ -7,6 +7,9 @@ its next occurrence, so the number of edges is linear. Potentials are learned fr
 of documents, by pseudo-likelihood; loopy message passing then settles the labels of a document together. Base
 spans keep their label, other nodes get one or none. All other words can only be unlabelled, so they need no
 node: they act through the features of their neighbours.
+
+When a document is settled, all occurrences of a core are two hops apart, however many there are: a base span tells its
+label to each of them at once, and the others share one variable without text of its own.
 """
 
 from __future__ import annotations
@@ -28,7 +31,8 @@ OUTSIDE = len(KINDS)
 N_LABELS = len(KINDS) + 1
 #: Documents with nodes that the field is trained on, at most: those with the smallest hashes of their ids.
 FIT_DOCS = 3_000
-MESSAGE_ROUNDS = 10
+#: Messages pass until none changes by more than this; the rounds end those that keep swinging.
+MESSAGE_TOLERANCE, MOST_ROUNDS = 1e-3, 1_000
 FIT_ROUNDS, FIT_RATE, RIDGE = 150, 0.5, 1e-4
 NEAR_CHARS = 48
 CONTEXT_BUCKETS = 64
@@ -125,6 +129,7 @@ class Graph(NamedTuple):
     label: list[int]  # of base spans; -1 for others
     features: list[list[int]]
     edges: list[tuple[int, int, int]]  # node, later node, type: 0 chain, 1 same, 2 similar
+    cores: list[tuple[int, int, int]]  # node, number of a core of a document, type: 1 same, 2 similar
 
 
 #: Feature numbers: bias, @, digits (20), dots (6), other separators (6), three checks of three states, contexts.
@@ -160,13 +165,15 @@ def node_features(text: str, start: int, end: int) -> list[int]:
 
 
 def graph_of(texts: list[str], bases: list[list[Span]]) -> Graph:
-    graph = Graph([], [], [], [], [])
+    graph = Graph([], [], [], [], [], [])
+    n_cores = 0
     for doc, (text, base) in enumerate(zip(texts, bases)):
         if not base and not _ANY(text):
             continue
         nodes = [(s, e, k) for s, e, k in base] + [(s, e, -1) for s, e in other_candidates(text, base)]
         nodes.sort()
         last: dict[tuple[int, str], int] = {}
+        number: dict[tuple[int, str], int] = {}
         for nth, (start, end, kind) in enumerate(nodes):
             node = len(graph.doc)
             graph.doc.append(doc)
@@ -181,9 +188,13 @@ def graph_of(texts: list[str], bases: list[list[Span]]) -> Graph:
             if "@" not in said and len(digits) >= 7:
                 cores.append((2, digits[-7:]))
             for core in cores:
-                if core[1] and core in last:
+                if not core[1]:
+                    continue
+                if core in last:
                     graph.edges.append((last[core], node, core[0]))
                 last[core] = node
+                graph.cores.append((node, number.setdefault(core, n_cores + len(number)), core[0]))
+        n_cores += len(number)
     return graph
 
 
@@ -236,27 +247,52 @@ def fit(graph: Graph, seed: int = 3) -> Field:
     return Field(unary, pair)
 
 
+def _told(field: Field, graph: Graph, label: np.ndarray) -> tuple[np.ndarray, list[tuple[int, int, int]], int]:
+    """What base spans tell the other occurrences of their cores, and edges from those of any other core to a
+    variable of its own, numbered after the nodes; the number of nodes and variables."""
+    n = len(label)
+    told = np.zeros((n, N_LABELS))
+    if not graph.cores:
+        return told, [], n
+    node, core, kind = np.array(graph.cores).T
+    said = np.zeros((core.max() + 1, N_LABELS), bool)
+    is_base = label[node] >= 0
+    said[core[is_base], label[node[is_base]]] = True
+    hears = ~is_base & said.any(axis=1)[core]
+    out = np.where(said[core[hears]][:, :, None], field.pair[kind[hears]], -np.inf)
+    heard = np.logaddexp.reduce(out, axis=1)
+    np.add.at(told, node[hears], heard - heard.max(axis=1, keepdims=True))
+    free = ~said.any(axis=1)[core] & (np.bincount(core)[core] > 1)
+    _, hub = np.unique(core[free], return_inverse=True)
+    return told, list(zip(node[free], n + hub, kind[free])), n + int(hub.max(initial=-1)) + 1
+
+
 def settle(field: Field, graph: Graph) -> np.ndarray:
     """The likeliest label of each node after loopy sum-product message passing, damped by half."""
     label = np.array(graph.label)
-    unary = _unary(field, np.array(graph.features))
-    fixed = label >= 0
+    told, shared, n_all = _told(field, graph, label)
+    unary = np.zeros((n_all, N_LABELS))
+    unary[: len(label)] = _unary(field, np.array(graph.features)) + told
+    fixed = np.flatnonzero(label >= 0)
     unary[fixed] = 0
-    unary[np.flatnonzero(fixed), label[fixed]] = FIXED_UNARY
+    unary[fixed, label[fixed]] = FIXED_UNARY
     belief = unary.copy()
-    if graph.edges:
-        i, j, kind = np.array(graph.edges).T
+    edges = [e for e in graph.edges if e[2] == 0] + shared
+    if edges:
+        i, j, kind = np.array(edges).T
         source, target, tables = np.concatenate([i, j]), np.concatenate([j, i]), field.pair[np.concatenate([kind, kind])]
         back = np.concatenate([np.arange(len(i)) + len(i), np.arange(len(i))])
         messages = np.zeros((len(source), N_LABELS))
-        for _ in range(MESSAGE_ROUNDS):
+        for _ in range(MOST_ROUNDS):
             out = (belief[source] - messages[back])[:, :, None] + tables
             top = out.max(axis=1, keepdims=True)
             new = np.log(np.exp(out - top).sum(axis=1)) + top[:, 0]
-            messages = (messages + new - new.max(axis=1, keepdims=True)) / 2
+            before, messages = messages, (messages + new - new.max(axis=1, keepdims=True)) / 2
             belief = unary.copy()
             np.add.at(belief, target, messages)
-    return belief.argmax(axis=1)
+            if np.abs(messages - before).max() < MESSAGE_TOLERANCE:
+                break
+    return belief[: len(label)].argmax(axis=1)
 
 
 def all_spans(field: Field, texts: list[str]) -> tuple[list[list[Span]], list[list[Span]]]:
@@ -293,7 +329,7 @@ def learn(docs: DataFrame, fit_docs: int = FIT_DOCS) -> Field:
 
     found = sample.mapInArrow(excerpts, "doc_id long, label array<int>, features array<int>, edges array<int>").toArrow()
     rows_found = sorted(zip(*(found.column(c).to_pylist() for c in ("doc_id", "label", "features", "edges"))), key=str)
-    graph, width = Graph([], [], [], [], []), len(node_features("0", 0, 1))
+    graph, width = Graph([], [], [], [], [], []), len(node_features("0", 0, 1))
     for _, label, features, edges in rows_found:
         first = len(graph.doc)
         graph.doc.extend([0] * len(label))

@@ -53,6 +53,15 @@ def test_repeated_entities_get_one_label(field):
     assert pii.all_spans(field, ["Version 4.0 of 1999, with 20000 visits."])[1][0] == []
 
 
+@pytest.mark.parametrize("first", [0, 25, 50])
+def test_fifty_repeats_get_one_label(field, first):
+    said = ["Or (017) 555-7713 later"] * 51
+    said[first] = "Call +1 (017) 555-7713 today"
+    text = (".\n" + "words between. " * 40).join(said)
+    base, spans = (x[0] for x in pii.all_spans(field, [text]))
+    assert len(base) == 1 and len(spans) == 51 and all(k == pii.KINDS.index("phone") for *_, k in spans)
+
+
 def test_documents(documents, field):
     found = pii.digests(pii.find(documents, field)).collect()
     assert len(found) == documents.count()
