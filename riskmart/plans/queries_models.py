@@ -417,7 +417,7 @@ def _(t: Tables):
 
 @query("t3_top_features")
 def _(t: Tables):
-    model = training.fit("logistic_regression", _training_rows(t), fv.MODEL_FEATURES, max_iter=50)
+    model = training.fit("logistic_regression", _training_rows(t), fv.MODEL_FEATURES)
     importance = training.feature_importance(t.spark, model, "logistic_regression")
     return training.top_features(importance).select("algorithm", "method", "feature", r6("importance"))
 
@@ -956,10 +956,6 @@ def _(t: Tables):
 
 
 # --- M: training and scoring ---------------------------------------------------------------------------------------------------
-TREES = {"trees": 20, "max_depth": 5}
-BOOSTED = {"rounds": 10, "max_depth": 3, "learning_rate": 0.1}
-
-
 def _scaled(t: Tables):
     """Preprocessed splits over a stored table, which is what fitting reads again and again."""
     stored = materialize(t.model_rows.select(*training.KEY, *fv.MODEL_FEATURES, "label", "split"), "model-rows")
@@ -982,32 +978,34 @@ def _fitted_importance(t: Tables, algorithm: str, **params):
 
 @query("m1_logistic_regression")
 def _(t: Tables):
-    return _fitted_importance(t, "logistic_regression", penalty="l2", C=0.1, max_iter=100, class_weight="balanced")
+    return _fitted_importance(t, "logistic_regression", penalty="l2", C=0.1, class_weight="balanced")
 
 
 @query("m2_random_forest")
 def _(t: Tables):
-    return _fitted_importance(t, "random_forest", class_weight="balanced", **TREES)
+    return _fitted_importance(t, "random_forest", class_weight="balanced")
 
 
 @query("m3_boosted_trees")
 def _(t: Tables):
-    return _fitted_importance(t, "xgboost", class_weight="scale_pos_weight", subsample=0.8, **BOOSTED)
+    return _fitted_importance(t, "xgboost", class_weight="scale_pos_weight", subsample=0.8)
 
 
 @query("m4_second_boosted_variant")
 def _(t: Tables):
-    return _fitted_importance(t, "lightgbm", class_weight=3.0, min_leaf=20, column_share=0.8, **BOOSTED)
+    return _fitted_importance(t, "lightgbm", class_weight=3.0, min_leaf=20, column_share=0.8)
 
 
 @query("m5_random_search")
 def _(t: Tables):
-    config = TrainingConfig(search_draws=4, cv_folds=3)
-    space = training.SEARCH_SPACES["logistic_regression"] | {"max_iter": [50]}
-    splits = _scaled(t)
-    found = training.random_search("logistic_regression", _train_of(splits), fv.MODEL_FEATURES, config, space)
-    scored = training.probability(found.model, splits.where(F.col("split") != "train"), fv.MODEL_FEATURES, "p")
-    return scored.groupBy("split").agg(F.count(F.lit(1)).alias("rows"), F.round(F.avg("p"), 6).alias("avg_probability"))
+    splits, config, scored = _scaled(t), TrainingConfig(), []
+    for algorithm in training.SEARCH_SPACES:
+        found = training.random_search(algorithm, _train_of(splits), fv.MODEL_FEATURES, config)
+        rows = training.probability(found.model, splits.where(F.col("split") != "train"), fv.MODEL_FEATURES, "p")
+        scored.append(rows.select(F.lit(algorithm).alias("model_algorithm"), "split", "p"))
+    return layers.stack_rows(scored).groupBy("model_algorithm", "split").agg(
+        F.count(F.lit(1)).alias("rows"), F.round(F.avg("p"), 6).alias("avg_probability")
+    )
 
 
 @query(
@@ -1052,8 +1050,8 @@ def _(t: Tables):
 def _(t: Tables):
     train = _training_rows(t)
     found = []
-    for algorithm, params in [("logistic_regression", {"max_iter": 50}), ("random_forest", TREES), ("xgboost", BOOSTED)]:
-        model = training.fit(algorithm, train, fv.MODEL_FEATURES, **params)
+    for algorithm in training.SEARCH_SPACES:
+        model = training.fit(algorithm, train, fv.MODEL_FEATURES)
         found.append(training.feature_importance(t.spark, model, algorithm))
     rank = F.row_number().over(Window.partitionBy("algorithm").orderBy(F.abs("importance").desc(), "feature"))
     return layers.stack_rows(found).select("algorithm", "method", "feature", rank.alias("rank"))
@@ -1062,7 +1060,7 @@ def _(t: Tables):
 @query("m11_score_snapshot")
 def _(t: Tables):
     splits = _scaled(t)
-    model = training.fit("random_forest", _train_of(splits), fv.MODEL_FEATURES, **TREES)
+    model = training.fit("random_forest", _train_of(splits), fv.MODEL_FEATURES)
     predictions = training.score(model, splits.drop("split", "label"), fv.MODEL_FEATURES, "random_forest")
     inside = F.col("model_predictions").between(0, 1)
     return predictions.groupBy("snapshot_date", "model_algorithm").agg(
@@ -1082,13 +1080,10 @@ def _(t: Tables):
     return training.soft_vote(t.predictions).select("encounter_id", "snapshot_date", "model_algorithm", r6("model_predictions"))
 
 
-STACK_SETTINGS = {"logistic_regression": {"max_iter": 50}, "random_forest": {"trees": 10, "max_depth": 4}, "xgboost": {"rounds": 5, "max_depth": 3}}
-
-
 @query("m13_stacking")
 def _(t: Tables):
     splits = _scaled(t)
-    model = training.stack(fv.ALGORITHMS, _train_of(splits), fv.MODEL_FEATURES, folds=3, settings=STACK_SETTINGS)
+    model = training.stack(fv.ALGORITHMS, _train_of(splits), fv.MODEL_FEATURES, folds=3)
     scored = model.score(splits.where(F.col("split") != "train"))
     inside = F.col("model_predictions").between(0, 1)
     return scored.groupBy("split").agg(F.count(F.lit(1)).alias("rows"), F.bool_and(inside).alias("in_range"))
@@ -1106,7 +1101,7 @@ def _(t: Tables):
 def _(t: Tables):
     mart = t.mart()
     splits = _scaled(t)
-    model = training.fit("logistic_regression", _train_of(splits), fv.MODEL_FEATURES, max_iter=50)
+    model = training.fit("logistic_regression", _train_of(splits), fv.MODEL_FEATURES)
     path = training.save_model(model, mart.registry, "logistic_regression", "20010801")
     rows = splits.where(F.col("split") == "oot")
     before = training.probability(model, rows, fv.MODEL_FEATURES, "before")
