@@ -60,6 +60,15 @@ def test_crossover_keeps_every_item_once():
     assert len(best) <= min(len(first), len(second))
 
 
+@pytest.mark.parametrize("seed", [0, 15, 16])
+def test_crossover_improves_on_the_greedy_seeds(monkeypatch, seed):
+    rng = np.random.default_rng(seed)
+    lengths = rng.integers(20, 60, int(rng.integers(20, 80))).tolist()
+    best = packing.evolve(lengths, [], 100, seed)
+    monkeypatch.setattr(packing, "GENERATIONS", 0)
+    assert len(best) < len(packing.evolve(lengths, [], 100, seed))
+
+
 def test_several_groups_and_islands(spark):
     rng = np.random.default_rng(3)
     items = spark.createDataFrame([(i, int(n)) for i, n in enumerate(rng.integers(1, 100, 900))], "item long, length long")
