@@ -161,10 +161,9 @@ def votes(docs: DataFrame, templates: Sequence[Template] = TEMPLATES) -> DataFra
     found = None
     for part in range(0, len(positions), BROADCAST_POSITIONS):
         some = _template_grams(spark, positions[part : part + BROADCAST_POSITIONS])
-        same = (F.col("hash") == F.col("t_hash")) & (F.col("gram") == F.col("t_gram"))
-        hits = gram.join(F.broadcast(some), same, "left").where(
-            F.col("template").isNotNull() | (one_each if found is None else F.lit(False))
-        )
+        joined = gram.join(F.broadcast(some), F.col("hash") == F.col("t_hash"), "left")
+        same = F.col("gram") == F.col("t_gram")
+        hits = joined.where(same if found is not None else F.coalesce(same, one_each))
         hits = hits.select(
             "row_id",
             "doc_id",
