@@ -51,6 +51,25 @@ class TrainingConfig:
         return [a for a, on in self.enabled.items() if on] or list(fv.ALGORITHMS)
 
 
+@dataclass(frozen=True)
+class Gates:
+    """What a run must hold. By default ten months of history, rows in every split and two classes to learn from; the
+    other checks are off at None."""
+
+    min_months: int = 10
+    min_train_rows: int = 0
+    min_test_rows: int = 0
+    max_null_pct: float | None = None
+    positive_rate: tuple[float, float] | None = None
+    ages: tuple[int, int] | None = None
+    last_day: date | None = None
+    unique_keys: bool = False
+
+
+#: The stricter limits of the documentation.
+DOCUMENTED_GATES = Gates(10, 1000, 500, 5.0, (0.05, 0.30), (0, 100), None, True)
+
+
 @dataclass(frozen=True)
 class RiskConfig:
     splits: TemporalSplits
@@ -58,6 +77,7 @@ class RiskConfig:
     thresholds: Thresholds = Thresholds()
     prediction_threshold: float = 0.5
     auto_retrain: bool = False
+    gates: Gates = Gates()
 
     def with_(self, **changes) -> "RiskConfig":
         return replace(self, **changes)
@@ -85,19 +105,35 @@ def splits_from_dict(document: dict) -> TemporalSplits:
     return TemporalSplits(**windows)
 
 
+def _gates(given: dict) -> Gates:
+    """Lists become ranges and ISO texts days; an unknown name raises."""
+    values = {k: tuple(v) if isinstance(v, list) else v for k, v in given.items()}
+    if isinstance(values.get("last_day"), str):
+        values["last_day"] = date.fromisoformat(values["last_day"])
+    return Gates(**values)
+
+
 def config_from_dict(document: dict) -> RiskConfig:
     """Validate the sections of a configuration document and build the config (Q9)."""
     missing = [k for k in ("temporal_splits", "model_config", "training_config") if k not in document]
     if missing:
         raise ValueError(f"configuration lacks the sections {', '.join(missing)}")
     model, training = document["model_config"], document["training_config"]
-    settings = {f.name: getattr(TrainingConfig(), f.name) for f in fields(TrainingConfig)}
-    settings["random_state"] = model.get("random_state", settings["random_state"])
-    settings["cv_folds"] = model.get("cv_folds", settings["cv_folds"])
-    settings["class_weight"] = training.get("class_weight", settings["class_weight"])
-    settings["enabled"] = training.get("enabled_algorithms", settings["enabled"])
+    given = {
+        "random_state": model.get("random_state"),
+        "cv_folds": model.get("cv_folds"),
+        "search_draws": training.get("n_iter"),
+        "search_metric": training.get("search_metric"),
+        "class_weight": training.get("class_weight"),
+        "enabled": training.get("enabled_algorithms"),
+    }
+    limits = {f.name: (document.get("thresholds") or {}).get(f.name) for f in fields(Thresholds)}
+    present = lambda values: {k: v for k, v in values.items() if v is not None}
     return RiskConfig(
         splits=splits_from_dict(document["temporal_splits"]),
-        training=TrainingConfig(**settings),
+        training=TrainingConfig(**present(given)),
+        thresholds=Thresholds(**present(limits)),
         prediction_threshold=document.get("inference_config", {}).get("prediction_threshold", 0.5),
+        auto_retrain=bool((document.get("governance_config") or {}).get("auto_retrain", False)),
+        gates=_gates(present(document.get("gates") or {})),
     )

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -134,7 +132,3 @@ def alerts(observed: DataFrame, keys: list[str], rules: dict | None = None) -> D
             )
         )
     return observed.select(*keys, F.inline(F.array(*rows)))
-
-
-def any_alert(rules: list[Column]) -> Column:
-    return reduce(lambda a, b: a | b, rules)

@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .. import fixed_values as fv
+from ..config import TemporalSplits
 
 SPLITS = ["test", "oot"]
 # metric by which the best model is reported -> column of the comparison
@@ -29,18 +32,34 @@ COMPARISON_COLUMNS = [
 
 def enabled_only(models: DataFrame, settings: DataFrame, model: str = "model") -> DataFrame:
     """Models switched on in ``settings`` (algorithm, enabled); all when none is."""
-    chosen = settings.where("enabled").select(F.col("algorithm").alias(model))
-    some = settings.agg(F.coalesce(F.bool_or("enabled"), F.lit(False)).alias("some")).first()["some"]
-    return models.join(chosen, model, "left_semi") if some else models
+    chosen = settings.agg(F.collect_set(F.when(F.col("enabled"), F.col("algorithm"))).alias("on"))  # a few settings
+    on = chosen.scalar()
+    return models.where((F.size(on) == 0) | F.array_contains(on, F.col(model)))
+
+
+def _interval_structs(splits: TemporalSplits | None) -> Column:
+    """The windows of the run as ISO dates; null fields where there is none."""
+    windows = splits.named() if splits else {}
+    fields = []
+    for name in ("train", "test", "oot"):
+        window = windows.get(name)
+        ends = [("start_date", window and window.start), ("end_date", window and window.end)]
+        fields.append(F.struct(*[F.lit(d and d.isoformat()).cast("string").alias(n) for n, d in ends]).alias(name))
+    return F.struct(*fields)
 
 
 def performance_documents(
-    evaluation: DataFrame, samples: DataFrame, importance: DataFrame | None = None, top_n: int = 20
+    evaluation: DataFrame,
+    samples: DataFrame,
+    importance: DataFrame | None = None,
+    top_n: int = 20,
+    splits: TemporalSplits | None = None,
+    feature_count: int = len(fv.MODEL_FEATURES),
 ) -> DataFrame:
     """Nested performance record per model version.
 
     ``evaluation``: (algorithm, version, split, metrics...); ``samples``: (split, rows);
-    ``importance``: (algorithm, method, feature, importance).
+    ``importance``: (algorithm, method, feature, importance); ``splits``: the windows of the run.
     """
     metric_struct = F.struct(*[F.col(m) for m in fv.METRICS])
     metrics = evaluation.groupBy("algorithm", "version").agg(
@@ -52,7 +71,7 @@ def performance_documents(
         F.sum(F.when(F.col("split") == s, F.col("rows"))).alias(name)
         for s, name in [("train", "training_samples"), ("test", "test_samples"), ("oot", "oot_samples")]
     ]
-    features = F.lit(len(fv.MODEL_FEATURES)).cast("long").alias("feature_count")
+    features = F.lit(feature_count).cast("long").alias("feature_count")
     sizes = samples.agg(*counts).select(F.struct("*", features).alias("data_info"))
     documents = metrics.withColumn("data_info", sizes.scalar())
     if importance is None:
@@ -69,10 +88,23 @@ def performance_documents(
         F.date_format(F.current_timestamp(), "yyyy-MM-dd'T'HH:mm:ss").alias("training_date"),
         "metrics",
         "data_info",
+        _interval_structs(splits).alias("temporal_splits"),
         "feature_importance",
     )
 
 
+def model_metadata(documents: DataFrame, settings: dict, score: float, algorithms: list[str]) -> DataFrame:
+    """The metadata record of saved versions: the performance document, what was searched and how it ran."""
+    return documents.withColumns(
+        {
+            "model_name": F.col("algorithm"),
+            "best_params": F.lit(json.dumps(settings, sort_keys=True)),
+            "search_score": F.lit(score),
+            "execution_mode": F.lit("single_algorithm" if len(algorithms) == 1 else "multi_algorithm"),
+        }
+    )
+
+
 def importance_structs(importance: DataFrame, top_n: int = 20) -> DataFrame:
     """Importance lists per algorithm, greatest first; a model has few features."""
     entry = F.struct(
@@ -188,6 +220,24 @@ def comparison_document(comparison: DataFrame, position: str = "position") -> Da
     )
 
 
+# Header of the comparison file (fixed values), in the order of ``COMPARISON_COLUMNS``.
+CSV_HEADER = [
+    "Model", "Train_Samples", "Test_Samples", "OOT_Samples",
+    "Test_AUC", "Test_GINI", "Test_PR_AUC", "Test_Accuracy", "Test_Precision", "Test_Recall", "Test_F1",
+    "OOT_AUC", "OOT_GINI", "OOT_PR_AUC", "OOT_Accuracy", "OOT_Precision", "OOT_Recall", "OOT_F1",
+    "Top_Feature",
+]
+
+
+def comparison_file(comparison: DataFrame, position: str = "position") -> DataFrame:
+    """The comparison under the file's column names, best model first; metrics as text with four decimals."""
+    columns = [
+        (F.format_string("%.4f", F.col(c)) if c in METRIC_COLUMNS else F.col(c)).alias(header)
+        for c, header in zip(COMPARISON_COLUMNS, CSV_HEADER, strict=True)
+    ]
+    return ranked_models(comparison, position).select(*columns)
+
+
 def chosen_model(recommended: DataFrame, override: str | None = None) -> DataFrame:
     """The override, else the recommendation, else the default; always exactly one row."""
     return recommended.agg(
@@ -217,6 +267,7 @@ def version_index(documents: DataFrame, root: str) -> DataFrame:
     return documents.select(
         "version",
         F.concat(folder, F.lit("/model")).alias("model_path"),
+        F.concat(folder, F.lit("/metadata")).alias("metadata_path"),
         F.concat(folder, F.lit("/performance")).alias("performance_path"),
         F.col("version").alias("created_at"),
         "algorithm",

@@ -5,16 +5,17 @@ from __future__ import annotations
 import itertools
 import random
 from dataclasses import dataclass
+from multiprocessing.pool import ThreadPool
 
 from pyspark.ml import Estimator, Model, Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassifier, LogisticRegression, RandomForestClassifier
 from pyspark.ml.evaluation import BinaryClassificationEvaluator, Evaluator
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.ml.tuning import CrossValidator, CrossValidatorModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.util import inheritable_thread_target
 
 from .. import fixed_values as fv
 from ..config import TrainingConfig
@@ -223,51 +224,83 @@ class SearchResult:
     score: float
 
 
+def fold_table(train: DataFrame, features: list[str], folds: int, seed: int) -> DataFrame:
+    """(features, label, fold) of the training rows, assembled and stored once for all fits.
+
+    The rebalance hint gives files of the session's advisory size: a small table is one file and so few
+    partitions, which keeps the many short jobs of a fit cheap; a large one is spread.
+    """
+    keyed = stratified_folds(train, LABEL, [k for k in KEY if k in train.columns], folds, seed)
+    packed = assembler(features).transform(fill_missing(keyed, features)).select(FEATURES, LABEL, FOLD)
+    return materialize(packed.hint("rebalance"), "search-folds")
+
+
+def _effort(params: dict) -> float:
+    """Relative time of a fit: trees or rounds, which follow one another, times depth."""
+    return params.get("trees", params.get("rounds", 1)) * params.get("max_depth", 1)
+
+
+def cross_validate(
+    algorithm: str,
+    table: DataFrame,
+    settings: list[dict],
+    folds: int,
+    balance: ClassBalance,
+    metric: str = "auc",
+    seed: int = 42,
+    parallelism: int | None = None,
+) -> list[float]:
+    """Mean held-out score of each of the settings over the folds of a ``fold_table``.
+
+    Every (setting, fold) is a fit of its own; as many run at once as the session has slots, longest first, so that
+    short ones fill the gaps. No model outlives its score.
+    """
+    spark = table.sparkSession
+    cached = table.persist()
+    evaluator = search_evaluator(metric)
+
+    def score_of(job: tuple[int, int]) -> tuple[int, int, float]:
+        number, fold = job
+        params = settings[number]
+        rows = with_class_weight(cached.where(F.col(FOLD) != fold), balance, params.get("class_weight"))
+        model = estimator(algorithm, balance.rows, seed, **params).fit(rows)
+        held_out = model.transform(cached.where(F.col(FOLD) == fold))
+        return number, fold, evaluator.evaluate(held_out)
+
+    work = [(number, fold) for number in range(len(settings)) for fold in range(folds)]
+    work.sort(key=lambda job: -_effort(settings[job[0]]))
+    scores = [[0.0] * folds for _ in settings]
+    try:
+        with ThreadPool(min(parallelism or spark.sparkContext.defaultParallelism, len(work) or 1)) as pool:
+            for number, fold, score in pool.imap_unordered(inheritable_thread_target(spark)(score_of), work):
+                scores[number][fold] = score
+    finally:
+        cached.unpersist()
+    return [sum(s) / folds for s in scores]
+
+
 def random_search(
     algorithm: str,
     train: DataFrame,
     features: list[str],
     config: TrainingConfig = TrainingConfig(),
     space: dict[str, list] | None = None,
-    parallelism: int = 4,
+    parallelism: int | None = None,
 ) -> SearchResult:
-    """Seeded random search over stratified folds; the winner is refitted on all rows.
-
-    Settings that share a class weight form one cross-validation, as the weight is a column.
-    The training rows are assembled once and cached; Spark recomputes a lost block.
-    """
+    """Seeded random search over stratified folds; the winner (the first drawn, if several are equal) is the only
+    one fitted on all rows."""
     seed = config.random_state
     balance = ClassBalance.of(train)
-    keyed = stratified_folds(train, LABEL, [k for k in KEY if k in train.columns], config.cv_folds, seed)
-    prepared = assembler(features).transform(fill_missing(keyed, features)).select(FEATURES, LABEL, FOLD).persist()
-    groups: dict = {}
-    for params in draw_settings(space or SEARCH_SPACES[algorithm], config.search_draws, seed):
-        groups.setdefault(params.get("class_weight"), []).append(params)
-    best: SearchResult | None = None
-    try:
-        for weight, settings in groups.items():
-            weighted = with_class_weight(prepared, balance, weight)
-            base = estimator(algorithm, balance.rows, seed)
-            maps = [_param_map(base, estimator(algorithm, balance.rows, seed, **s)) for s in settings]
-            found: CrossValidatorModel = CrossValidator(
-                estimator=base,
-                estimatorParamMaps=maps,
-                evaluator=search_evaluator(config.search_metric),
-                numFolds=config.cv_folds,
-                foldCol=FOLD,
-                parallelism=parallelism,
-            ).fit(weighted)
-            top = max(range(len(settings)), key=lambda i: found.avgMetrics[i])
-            if best is None or found.avgMetrics[top] > best.score:
-                best = SearchResult(found.bestModel, settings[top], found.avgMetrics[top])
-    finally:
-        prepared.unpersist()
-    return SearchResult(PipelineModel([assembler(features), best.model]), best.params, best.score)
-
-
-def _param_map(base: Estimator, configured: Estimator) -> dict:
-    """The parameters of ``configured`` as a map over ``base``."""
-    return {base.getParam(p.name): v for p, v in configured.extractParamMap().items() if p.name != "seed"}
+    table = fold_table(train, features, config.cv_folds, seed)
+    drawn = draw_settings(space or SEARCH_SPACES[algorithm], config.search_draws, seed)
+    settings = [{"class_weight": config.class_weight, **s} for s in drawn]  # where the space has no weights
+    scores = cross_validate(
+        algorithm, table, settings, config.cv_folds, balance, config.search_metric, seed, parallelism
+    )
+    best = max(range(len(settings)), key=lambda i: (scores[i], -i))
+    rows = with_class_weight(table, balance, settings[best].get("class_weight"))
+    model = estimator(algorithm, balance.rows, seed, **settings[best]).fit(rows)
+    return SearchResult(PipelineModel([assembler(features), model]), settings[best], scores[best])
 
 
 def fit(

@@ -11,13 +11,15 @@ from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .. import fixed_values as fv
 from .. import schemas
 from ..config import RiskConfig, Thresholds
 from ..functions.dates import snapshot_month, with_split
 from ..operators import governance, layers, metrics, monitoring, quality, registry, scaling, training
-from ..sources import readers, writers
+from ..sources import readers, version_index, writers
+from ..sources.scratch import materialize
 
 
 @dataclass(frozen=True)
@@ -66,6 +68,18 @@ class Mart:
     def registry(self) -> str:
         return f"{self.base}/models"
 
+    @property
+    def comparison(self) -> str:
+        return f"{self.registry}/comparison"
+
+    @property
+    def monitoring_reports(self) -> str:
+        return f"{self.registry}/monitoring"
+
+    @property
+    def prediction_metadata(self) -> str:
+        return f"{self.base}/gold/model_prediction_metadata"
+
     @property
     def triggers(self) -> str:
         return f"{self.base}/triggers"
@@ -81,6 +95,8 @@ def load(
 ) -> DataFrame:
     """Raw rows to bronze, silver and both gold stores, one write each; only bronze is shuffled, as
     its files hold one month each. Returns the row counts of the loaded months (lazy)."""
+    for path in (mart.bronze, mart.silver, mart.labels, mart.features):
+        readers.refuse_stream_table(spark, path)
     writers.write_months(layers.bronze(raw, first, last), mart.bronze, bronze_format)
     read = readers.read_csv_table if bronze_format == "csv" else readers.read_table
     bronze = _window(read(spark, mart.bronze, schemas.RAW_ENCOUNTER), first, last)
@@ -118,22 +134,45 @@ def model_table(spark: SparkSession, mart: Mart, config: RiskConfig) -> DataFram
     return with_split(joined, config.splits)
 
 
-def preprocess(spark: SparkSession, mart: Mart, config: RiskConfig, run: str) -> str:
-    """Split, fit the scaler on train, scale all splits, store them as one run."""
-    rows = model_table(spark, mart, config)
-    scaled, scaler = scaling.preprocess(rows)
-    kept = scaled.select(*training.KEY, *fv.MODEL_FEATURES, "label", "split")
-    metadata = rows.groupBy("split").agg(
+def stage(rows: DataFrame) -> DataFrame:
+    """The joined rows with their split, stored once: everything after reads them without the join."""
+    return materialize(rows.select(*training.KEY, *fv.MODEL_FEATURES, "label", "split"), "model-rows")
+
+
+def store_run(spark: SparkSession, staged: DataFrame, path: str, run: str) -> str:
+    """Fit the scaler on the staged train rows, store the scaled splits, the scaler and the metadata as one run."""
+    scaled, scaler = scaling.preprocess(staged)
+    metadata = staged.groupBy("split").agg(
         F.count(F.lit(1)).alias("rows"), F.avg(F.col("label").cast("double")).alias("positive_rate")
     )
-    return writers.write_splits(kept, scaler.table(spark), metadata, mart.preprocessed, run)
+    return writers.write_splits(scaled.select(*staged.columns), scaler.table(spark), metadata, path, run)
+
+
+def preprocess(spark: SparkSession, mart: Mart, config: RiskConfig, run: str) -> str:
+    """Split, fit the scaler on train, scale all splits, store them as one run.
+
+    The join runs once. A run whose rows fail a gate is not stored.
+    """
+    staged = stage(model_table(spark, mart, config))
+    quality.enforce(quality.measure(staged, quality.training_gates(config.gates)))
+    return store_run(spark, staged, mart.preprocessed, run)
+
+
+#: Rows of a stored run: scaled features are fractions.
+SPLIT_ROWS = T.StructType(
+    [
+        T.StructField("encounter_id", T.LongType()),
+        T.StructField("snapshot_date", T.DateType()),
+        *[T.StructField(f, T.DoubleType()) for f in fv.MODEL_FEATURES],
+        T.StructField("label", T.IntegerType()),
+    ]
+)
 
 
 def load_run(spark: SparkSession, run_path: str) -> tuple[DataFrame, scaling.Scaler]:
     """The splits and the scaler of a preprocessing run."""
-    splits = spark.read.parquet(f"{run_path}/splits")
     table = spark.read.schema(scaling.SCALER_SCHEMA).parquet(f"{run_path}/scaler")
-    return splits, scaling.Scaler.from_table(table)
+    return readers.read_splits(spark, run_path, SPLIT_ROWS), scaling.Scaler.from_table(table)
 
 
 def train(
@@ -145,8 +184,14 @@ def train(
     config: RiskConfig,
     space: dict | None = None,
 ) -> str:
-    """Search, evaluate on test and OOT, and register one algorithm."""
+    """Search, evaluate on test and OOT, and register one algorithm; returns the path of the model.
+
+    A version exists from the moment its index row is committed, which comes last; versions beyond the newest ten of
+    the algorithm are deleted then.
+    """
     splits, _ = load_run(spark, run_path)
+    gates = [*(quality.split_rows(s) for s in registry.SPLITS), quality.both_classes("train")]
+    quality.enforce(quality.measure(splits, gates))
     rows = splits.where(F.col("split") == "train").select(*training.KEY, *fv.MODEL_FEATURES, "label")
     found = training.random_search(algorithm, rows, fv.MODEL_FEATURES, config.training, space)
     held_out = splits.where(F.col("split") != "train")
@@ -156,26 +201,60 @@ def train(
     ).select(F.lit(algorithm).alias("algorithm"), F.lit(version).alias("version"), "*")
     samples = splits.groupBy("split").agg(F.count(F.lit(1)).alias("rows"))
     importance = training.feature_importance(spark, found.model, algorithm)
+    documents = registry.performance_documents(
+        evaluation, samples, importance, splits=config.splits, feature_count=len(found.model.stages[0].getInputCols())
+    )
+    documents = materialize(documents, "performance")  # one row, which three files and the index take
     path = training.save_model(found.model, mart.registry, algorithm, version)
-    documents = registry.performance_documents(evaluation, samples, importance)
-    writers.write_json(documents, f"{mart.registry}/{algorithm}/v{version}/performance")
+    enabled = config.training.enabled_algorithms()
+    register(spark, mart, documents, registry.model_metadata(documents, found.params, found.score, enabled))
     return path
 
 
+def register(spark: SparkSession, mart: Mart, documents: DataFrame, metadata: DataFrame | None = None) -> int:
+    """Store the documents of saved versions and commit them to the version index; returns the snapshot number.
+
+    ``documents`` are performance documents, any number of versions of any algorithms.
+    """
+    index = registry.version_index(documents, mart.registry)
+    for row in index.select("algorithm", "version", "performance_path", "metadata_path").collect():
+        own = (F.col("algorithm") == row.algorithm) & (F.col("version") == row.version)
+        writers.write_json(documents.where(own), row.performance_path)
+        writers.write_json((documents if metadata is None else metadata).where(own), row.metadata_path)
+    return version_index.commit(spark, mart.registry, index)
+
+
+def latest_model(spark: SparkSession, mart: Mart, algorithm: str) -> str:
+    """Path of the newest registered model of an algorithm."""
+    newest = version_index.latest(spark, mart.registry).where(F.col("algorithm") == algorithm).first()
+    if newest is None:
+        raise ValueError(f"no version of {algorithm!r} is registered in {mart.registry}")
+    return newest.model_path
+
+
 def performance(spark: SparkSession, mart: Mart) -> DataFrame:
-    """All performance documents of the registry, with the newest version per algorithm marked."""
+    """The performance document of the newest registered version of each algorithm."""
     documents = spark.read.schema(schemas.PERFORMANCE_DOCUMENT).option("recursiveFileLookup", True).option(
         "pathGlobFilter", "*.json"
     ).json(f"{mart.registry}/*/*/performance")
-    return registry.newest(documents, ["algorithm"], "version", keep=1).drop("recency")
+    newest = version_index.latest(spark, mart.registry).select("algorithm", "version")
+    return documents.join(newest, ["algorithm", "version"], "left_semi")
 
 
 def compare(spark: SparkSession, mart: Mart, config: RiskConfig) -> DataFrame:
-    """Comparison rows of the newest version of each enabled algorithm, in configured order."""
+    """Comparison rows of the newest version of each enabled algorithm, in configured order.
+
+    For two models or more the comparison is also stored, as a JSON document and a CSV file of the newest comparison.
+    """
     order = config.training.enabled_algorithms()
     position = F.array_position(F.array(*[F.lit(a) for a in order]), F.col("model"))
     rows = registry.flatten_documents(performance(spark, mart))
-    return rows.where(F.col("model").isin(*order)).withColumn("position", position)
+    compared = materialize(rows.where(F.col("model").isin(*order)).withColumn("position", position), "comparison")
+    if compared.count() >= 2:
+        writers.write_json(registry.comparison_document(compared), f"{mart.comparison}/json")
+        # As many rows as algorithms, in order: one file.
+        writers.write_csv(registry.comparison_file(compared).coalesce(1), f"{mart.comparison}/csv")
+    return compared
 
 
 def pick_algorithm(comparison: DataFrame | None, override: str | None = None) -> str:
@@ -203,18 +282,36 @@ def score_month(
     _, scaler = load_run(spark, run_path)
     scaled = scaler.transform(features, fv.MODEL_FEATURES)
     predictions = training.score(training.load_model(model_path), scaled, fv.MODEL_FEATURES, algorithm)
+    return store_predictions(spark, mart, predictions, algorithm, month)
+
+
+def store_predictions(spark: SparkSession, mart: Mart, predictions: DataFrame, algorithm: str, month: date) -> DataFrame:
+    """Store the scores of a month and a metadata record of them; returns the stored rows."""
     writers.write_predictions(predictions, mart.predictions)
-    stored = readers.read_table(spark, mart.predictions, schemas.PREDICTIONS)
-    return readers.month_of(stored, month).where(F.col("model_algorithm") == algorithm)
+    table = readers.month_of(readers.read_table(spark, mart.predictions, schemas.PREDICTIONS), month)
+    stored = table.where(F.col("model_algorithm") == algorithm)
+    record = stored.agg(
+        F.date_format(F.current_timestamp(), "yyyy-MM-dd'T'HH:mm:ss").alias("timestamp"),
+        F.lit(month.isoformat()).alias("snapshot_date"),
+        F.lit(algorithm).alias("algorithm"),
+        F.count(F.lit(1)).alias("num_predictions"),
+        F.avg("model_predictions").alias("avg_probability"),
+        F.lit(f"{mart.predictions}/model_algorithm={algorithm}/{readers.MONTH}={month:%Y-%m}").alias("predictions_path"),
+    )
+    writers.write_json(record, f"{mart.prediction_metadata}/{algorithm}/{month:%Y-%m}")
+    return stored
 
 
-def monitor(spark: SparkSession, mart: Mart) -> DataFrame:
-    """Monitor all algorithms and months that have predictions and labels; store the table."""
+def monitor(spark: SparkSession, mart: Mart, limits: Thresholds = Thresholds()) -> DataFrame:
+    """Monitor all algorithms and months that have predictions and labels; store the table and a report per model.
+    No month in common is an error."""
     predictions = readers.read_table(spark, mart.predictions, schemas.PREDICTIONS).drop(readers.MONTH)
     labels = readers.read_table(spark, mart.labels, schemas.LABEL_STORE)
-    report = monitoring.monitor(layers.scored_rows(predictions, labels))
-    writers.write_parquet(report, mart.monitoring)
-    return spark.read.schema(schemas.MONITORING).parquet(mart.monitoring)
+    writers.write_parquet(monitoring.monitor(layers.scored_rows(predictions, labels)), mart.monitoring)
+    stored = spark.read.schema(schemas.MONITORING).parquet(mart.monitoring)
+    quality.enforce(quality.measure(stored, [quality.has_rows("monitored_months")]))
+    writers.write_json(monitoring.monitoring_documents(stored, limits), mart.monitoring_reports)
+    return stored
 
 
 def govern(

@@ -10,6 +10,7 @@ from ..config import TrainingConfig
 from ..functions import dates, stability
 from ..operators import drift, governance, layers, monitoring, quality, registry, scaling, splitting, training
 from ..operators import metrics as m
+from ..sources import version_index
 from ..sources.scratch import materialize
 from . import check_sql as c
 from . import jobs
@@ -30,6 +31,7 @@ from .queries_tables import (
     STATS,
     WIDE_SQL,
     _evaluation,
+    registered,
 )
 
 MODEL_SPLIT = ["model_algorithm", "split"]
@@ -769,20 +771,26 @@ COMPARISON_SQL = c.with_blocks(
 
 @query("r1_model_performance", COMPARISON_SQL)
 def _(t: Tables):
-    from ..sources import writers
-
-    mart = t.mart()
-    documents = _documents(t).persist()
-    for algorithm in CONFIG.training.enabled_algorithms():
-        writers.write_json(
-            documents.where(F.col("algorithm") == algorithm), f"{mart.registry}/{algorithm}/v20010801/performance"
-        )
-    documents.unpersist()
-    return jobs.compare(t.spark, mart, CONFIG).select(
+    return jobs.compare(t.spark, registered(t), CONFIG).select(
         "model", "train_samples", "test_samples", "oot_samples", *[r6(n) for n in registry.METRIC_COLUMNS], "top_feature"
     )
 
 
+@query(
+    "r1_temporal_splits",
+    "SELECT algorithm, split, first AS start_date, last AS end_date, 14 AS feature_count FROM "
+    "(SELECT unnest(['logistic_regression', 'random_forest', 'xgboost']) AS algorithm) CROSS JOIN "
+    f"(VALUES {', '.join(repr((n, w.start.isoformat(), w.end.isoformat())) for n, w in SPLITS.named().items())}) w(split, first, last)",
+)
+def _(t: Tables):
+    documents = jobs.performance(t.spark, registered(t))
+    windows = F.array(
+        *[F.struct(F.lit(n).alias("split"), F.col(f"temporal_splits.{n}").alias("w")) for n in SPLITS.named()]
+    )
+    each = documents.select("algorithm", "data_info.feature_count", F.inline(windows))
+    return each.select("algorithm", "split", "w.start_date", "w.end_date", F.col("feature_count").cast("int").alias("feature_count"))
+
+
 @query("r2_wide_comparison", COMPARISON_SQL)
 def _(t: Tables):
     flat = registry.flatten_documents(_documents(t))
@@ -865,7 +873,7 @@ def _monthly_documents(t: Tables):
 MONTHLY_EVALUATED = c.evaluation_blocks("held_out", "model_algorithm, snapshot_month, split")
 INDEX_SQL = (
     "SELECT model_algorithm AS algorithm, snapshot_month AS version, 'models/' || model_algorithm || '/v' || snapshot_month || '/model' "
-    "AS model_path, "
+    "AS model_path, 'models/' || model_algorithm || '/v' || snapshot_month || '/metadata' AS metadata_path, "
     + ", ".join(
         f"round(coalesce(max({n}) FILTER (WHERE split = '{s}'), 0), 6) AS {s}_{short}"
         for n, short in [("auc_roc", "auc"), ("gini", "gini"), ("pr_auc", "pr_auc"), ("accuracy", "accuracy")]
@@ -879,8 +887,12 @@ INDEX = {"held_out": "SELECT * FROM split_scores WHERE split <> 'train'", **MONT
 
 @query("r7_version_index", c.with_blocks("SELECT * FROM version_rows", "split_scores", extra=INDEX))
 def _(t: Tables):
+    root = t.mart().registry
     index = registry.version_index(_monthly_documents(t), "models")
-    return index.select("algorithm", "version", "model_path", *[r6(n) for n in INDEX_METRICS])
+    version_index.commit(t.spark, root, index, keep=1000)
+    return version_index.versions(t.spark, root).select(
+        "algorithm", "version", "model_path", "metadata_path", *[r6(n) for n in INDEX_METRICS]
+    )
 
 
 @query(
@@ -893,8 +905,13 @@ def _(t: Tables):
     ),
 )
 def _(t: Tables):
-    index = registry.version_index(_monthly_documents(t), "models")
-    return registry.newest(index, ["algorithm"], "created_at", keep=10).select("algorithm", "version", "recency")
+    root = t.mart().registry
+    index = materialize(registry.version_index(_monthly_documents(t), "models"), "index")
+    early = F.col("version") < "2001-06"
+    for rows in (index.where(early), index.where(~early)):  # two commits: the second pushes versions of the first out
+        version_index.commit(t.spark, root, rows)
+    kept = version_index.versions(t.spark, root)
+    return registry.newest(kept, ["algorithm"], "created_at", keep=1000).select("algorithm", "version", "recency")
 
 
 # --- X: documented options -------------------------------------------------------------------------------------------------

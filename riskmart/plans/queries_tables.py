@@ -10,6 +10,7 @@ from ..functions import dates, encounter
 from ..operators import drift, layers, monitoring, quality, registry, scaling
 from ..operators import metrics as m
 from ..sources import readers, writers
+from ..sources.scratch import materialize
 from . import check_sql as c
 from . import jobs
 from .catalog import CONFIG, MONTH, SPLITS, Tables, query, r6, r6_sql
@@ -89,9 +90,8 @@ def _(t: Tables):
 def _(t: Tables):
     path = t.path("labels")
     writers.write_months(t.labels, path)
-    months = t.month(t.labels).select("snapshot_month").distinct().collect()  # one row per calendar month
-    paths = [f"{path}/snapshot_month={r['snapshot_month']}" for r in months]
-    return readers.read_paths(t.spark, paths, schemas.LABEL_STORE)
+    centuries = [f"{path}/snapshot_month={c}*" for c in ("19", "20")]
+    return readers.read_paths(t.spark, centuries, schemas.LABEL_STORE)
 
 
 @query(
@@ -109,7 +109,7 @@ def _(t: Tables):
     writers.write_parquet(t.labels, flat)
     found = []
     for source, root in [("partition", by_month), ("tree", flat)]:
-        rows = readers.month_or_scan(t.spark, root, MONTH, schemas.LABEL_STORE)
+        rows = readers.month_or_scan(t.spark, root, MONTH, schemas.LABEL_STORE, whole_tree=source == "tree")
         found.append(rows.select(F.lit(source).alias("source"), "encounter_id", "label", "snapshot_date"))
     return layers.stack_rows(found)
 
@@ -195,6 +195,12 @@ PREPROCESSED_SQL = c.with_blocks(
 )
 
 
+SAMPLES = {
+    "samples": "SELECT count(*) FILTER (WHERE split = 'train') AS train_samples, count(*) FILTER (WHERE split = 'test') AS test_samples, "
+    f"count(*) FILTER (WHERE split = 'oot') AS oot_samples FROM (SELECT {c.SPLIT} AS split FROM labels)"
+}
+
+
 def _scaled_output():
     scaled = fv.LOG_SCALE_COLUMNS + fv.SCALE_ONLY_COLUMNS
     return ["encounter_id", *[r6(f) if f in scaled else f for f in fv.MODEL_FEATURES], "label", "split"]
@@ -202,18 +208,8 @@ def _scaled_output():
 
 @query("s12_preprocessed_splits", PREPROCESSED_SQL)
 def _(t: Tables):
-    mart = t.mart()
-    scaled, scaler = scaling.preprocess(t.model_rows)
-    metadata = t.model_rows.groupBy("split").agg(F.count(F.lit(1)).alias("rows"))
-    run = writers.write_splits(
-        scaled.select(*layers.present(["encounter_id", *fv.MODEL_FEATURES, "label", "split"], scaled.columns)),
-        scaler.table(t.spark),
-        metadata,
-        mart.preprocessed,
-        "20010801_000000",
-    )
-    schema = scaled.select("encounter_id", *fv.MODEL_FEATURES, "label").schema
-    return readers.read_splits(t.spark, run, schema).select(*_scaled_output())
+    run = jobs.store_run(t.spark, jobs.stage(t.model_rows), t.mart().preprocessed, "20010801_000000")
+    return readers.read_splits(t.spark, run, jobs.SPLIT_ROWS).select(*_scaled_output())
 
 
 # --- K: sinks -------------------------------------------------------------------------------------------
@@ -292,6 +288,35 @@ def _(t: Tables):
     return metadata.select("split", "rows", r6("positive_rate"))
 
 
+def _stamped(t: Tables):
+    return t.predictions.withColumn("prediction_timestamp", F.current_timestamp())
+
+
+@query(
+    "k4_prediction_metadata",
+    c.with_blocks(
+        f"SELECT model_algorithm AS algorithm, '{MONTH.isoformat()}' AS snapshot_date, count(*) AS num_predictions, "
+        "round(avg(model_predictions), 6) AS avg_probability, "
+        f"'model_algorithm=' || model_algorithm || '/snapshot_month={MONTH:%Y-%m}' AS stored_at "
+        f"FROM preds WHERE strftime(snapshot_date, '%Y-%m') = '{MONTH:%Y-%m}' GROUP BY model_algorithm",
+        "preds",
+    ),
+)
+def _(t: Tables):
+    mart = t.mart()
+    month = _stamped(t).where(dates.in_month(F.col("snapshot_date"), MONTH))
+    for algorithm in fv.ALGORITHMS:
+        jobs.store_predictions(t.spark, mart, month.where(F.col("model_algorithm") == algorithm), algorithm, MONTH)
+    records = t.spark.read.schema(schemas.PREDICTION_METADATA).json(f"{mart.prediction_metadata}/*/*")
+    return records.select(
+        "algorithm",
+        "snapshot_date",
+        "num_predictions",
+        r6("avg_probability"),
+        F.replace("predictions_path", F.lit(f"{mart.predictions}/"), F.lit("")).alias("stored_at"),
+    )
+
+
 @query(
     "k4_predictions_write",
     c.with_blocks(
@@ -302,8 +327,7 @@ def _(t: Tables):
 )
 def _(t: Tables):
     path = t.path("predictions")
-    stamped = t.predictions.withColumn("prediction_timestamp", F.current_timestamp())
-    writers.write_predictions(stamped, path)
+    writers.write_predictions(_stamped(t), path)
     table = readers.read_table(t.spark, path, schemas.PREDICTIONS)
     newest = table.agg(F.max("snapshot_month").alias("snapshot_month"))
     return table.join(F.broadcast(newest), "snapshot_month").select(
@@ -353,20 +377,75 @@ def _evaluation(t: Tables):
     return m.evaluate(t.split_scores, ["model_algorithm", "split"], "model_predictions", "label")
 
 
+CSV_SQL = [
+    (f"printf('%.4f', {n})" if n in registry.METRIC_COLUMNS else "'N/A'" if n == "top_feature" else n, header)
+    for n, header in zip(registry.COMPARISON_COLUMNS, registry.CSV_HEADER, strict=True)
+]
+
+
+def registered(t: Tables) -> jobs.Mart:
+    """A mart in whose registry the score tables' models stand as one version each."""
+    mart = t.mart()
+    evaluation = _evaluation(t).select(F.col("model_algorithm").alias("algorithm"), F.lit("20010801").alias("version"), "*")
+    documents = registry.performance_documents(evaluation, label_samples(t), splits=SPLITS)
+    jobs.register(t.spark, mart, materialize(documents, "documents"))
+    return mart
+
+
 @query(
     "k6_comparison_csv",
     c.with_blocks(
-        "SELECT model, " + ", ".join(f"printf('%.4f', {s}_{n}) AS {s}_{n}" for s, _m, n in METRIC_PAIRS) + " FROM wide",
+        "SELECT " + ", ".join(f'{value} AS "{header}"' for value, header in CSV_SQL) + " FROM wide CROSS JOIN samples",
         "split_scores",
-        extra={**EVALUATED, "wide": WIDE_SQL},
+        "labels",
+        extra={**EVALUATED, "wide": WIDE_SQL, **SAMPLES},
     ),
 )
 def _(t: Tables):
-    path = t.path("comparison-csv")
-    columns = registry.METRIC_COLUMNS
-    writers.write_csv(registry.wide_metrics(_evaluation(t)), path, decimals={n: 4 for n in columns})
-    schema = ", ".join(["model string", *[f"{n} string" for n in columns]])
-    return t.spark.read.schema(schema).option("header", True).csv(path)
+    mart = registered(t)
+    jobs.compare(t.spark, mart, CONFIG)
+    kinds = ["string", *["long"] * 3, *["string"] * 15]
+    schema = ", ".join(f"{header} {kind}" for header, kind in zip(registry.CSV_HEADER, kinds, strict=True))
+    return t.spark.read.schema(schema).option("header", True).csv(f"{mart.comparison}/csv")
+
+
+@query(
+    "k5_comparison_json",
+    c.with_blocks(
+        "SELECT w.model, round(w.oot_gini, 6) AS oot_gini, round(w.test_auc, 6) AS test_auc, train_samples, "
+        "(SELECT count(*) FROM wide) AS models_compared, (SELECT model FROM wide ORDER BY oot_gini DESC LIMIT 1) AS recommended_model "
+        "FROM wide w CROSS JOIN samples",
+        "split_scores",
+        "labels",
+        extra={**EVALUATED, "wide": WIDE_SQL, **SAMPLES},
+    ),
+)
+def _(t: Tables):
+    mart = registered(t)
+    jobs.compare(t.spark, mart, CONFIG)
+    row = "array<struct<model:string,oot_gini:double,test_auc:double,train_samples:bigint>>"
+    schema = f"models_compared long, comparison_table {row}, recommended_model string"
+    document = t.spark.read.schema(schema).json(f"{mart.comparison}/json")
+    listed = document.select("models_compared", "recommended_model", F.inline("comparison_table"))
+    return listed.select("model", r6("oot_gini"), r6("test_auc"), "train_samples", "models_compared", "recommended_model")
+
+
+@query(
+    "k5_monitoring_json",
+    c.with_blocks(
+        f"SELECT model_algorithm AS algorithm, snapshot_month AS month, {r6_sql('auc', 'gini', 'psi')}, row_count FROM monitored",
+        "scored",
+        extra=MONITORED,
+    ),
+)
+def _(t: Tables):
+    mart = t.mart()
+    writers.write_predictions(_stamped(t), mart.predictions)
+    writers.write_months(t.labels, mart.labels)
+    jobs.monitor(t.spark, mart)
+    reports = t.spark.read.schema(schemas.MONITORING_DOCUMENT).json(mart.monitoring_reports)
+    months = reports.select("algorithm", F.inline("monthly_summary"))
+    return months.select("algorithm", "month", r6("auc"), r6("gini"), r6("psi"), "row_count")
 
 
 @query(
@@ -393,7 +472,7 @@ def _(t: Tables):
 )
 def _(t: Tables):
     mart = t.mart()
-    writers.write_predictions(t.predictions.withColumn("prediction_timestamp", F.current_timestamp()), mart.predictions)
+    writers.write_predictions(_stamped(t), mart.predictions)
     writers.write_months(t.labels, mart.labels)
     return jobs.monitor(t.spark, mart).select(
         "model_algorithm", "snapshot_month", "row_count", r6("auc"), r6("gini"), r6("psi")
@@ -906,7 +985,7 @@ def _(t: Tables):
 
 @query("f29_scaled_features", PREPROCESSED_SQL)
 def _(t: Tables):
-    scaled, _scaler = scaling.preprocess(t.model_rows)
+    scaled, _scaler = scaling.preprocess(jobs.stage(t.model_rows))
     return scaled.select(*_scaled_output())
 
 
@@ -923,13 +1002,13 @@ def _variant_sql(logged: list[str], scaled: list[str]) -> str:
 
 @query("f29_scaled_without_log", _variant_sql([], c.LOGGED + c.SCALED))
 def _(t: Tables):
-    scaled, _scaler = scaling.preprocess(t.model_rows, scaling.SCALE_ALL)
+    scaled, _scaler = scaling.preprocess(jobs.stage(t.model_rows), scaling.SCALE_ALL)
     return scaled.select("encounter_id", "split", *[r6(n) for n in fv.LOG_SCALE_COLUMNS + fv.SCALE_ONLY_COLUMNS])
 
 
 @query("f29_scaled_logged_only", _variant_sql(c.LOGGED, []))
 def _(t: Tables):
-    scaled, _scaler = scaling.preprocess(t.model_rows, scaling.LOG_ONLY)
+    scaled, _scaler = scaling.preprocess(jobs.stage(t.model_rows), scaling.LOG_ONLY)
     return scaled.select("encounter_id", "split", *[r6(n) for n in fv.LOG_SCALE_COLUMNS])
 
 
@@ -978,12 +1057,6 @@ def _(t: Tables):
     )
 
 
-SAMPLES = {
-    "samples": "SELECT count(*) FILTER (WHERE split = 'train') AS train_samples, count(*) FILTER (WHERE split = 'test') AS test_samples, "
-    f"count(*) FILTER (WHERE split = 'oot') AS oot_samples FROM (SELECT {c.SPLIT} AS split FROM labels)"
-}
-
-
 def label_samples(t: Tables):
     """Labelled rows by split."""
     return dates.with_split(t.labels, SPLITS).groupBy("split").agg(F.count(F.lit(1)).alias("rows"))
@@ -1107,18 +1180,17 @@ def _(t: Tables):
     )
 
 
-def _gate(name: str, checks: list[str], sql: str):
-    """Register the rows of the quality report that belong to one gate."""
+def _gate(name: str, check: quality.Check, sql: str):
+    """Register one gate, measured on its own."""
 
     @query(name, sql)
     def _(t: Tables):
-        report = quality.quality_report(t.model_rows, SPLITS.oot.end)
-        return report.where(F.col("check").isin(*checks)).select("check", r6("value"), "passed")
+        return quality.measure(t.model_rows, [check]).select("check", r6("value"), "passed")
 
 
 _gate(
     "q2_positive_rate",
-    ["label_positive_rate"],
+    quality.positive_rate(),
     c.with_blocks(
         "SELECT 'label_positive_rate' AS check, round(avg(CAST(label AS DOUBLE)), 6) AS value, "
         "avg(label) > 0.05 AND avg(label) < 0.3 AS passed FROM model_rows",
@@ -1127,7 +1199,7 @@ _gate(
 )
 _gate(
     "q3_no_future_dates",
-    ["days_after_oot_end"],
+    quality.no_days_after(SPLITS.oot.end),
     c.with_blocks(
         "SELECT 'days_after_oot_end' AS check, CAST(greatest(0, date_diff('day', DATE '2001-12-31', max(snapshot_date))) AS DOUBLE) "
         "AS value, max(snapshot_date) <= DATE '2001-12-31' AS passed FROM model_rows",
@@ -1136,7 +1208,7 @@ _gate(
 )
 _gate(
     "q4_age_range",
-    ["age_out_of_range"],
+    quality.ages_in_range(),
     c.with_blocks(
         "SELECT 'age_out_of_range' AS check, CAST(count(*) FILTER (WHERE age_midpoint NOT BETWEEN 0 AND 100) AS DOUBLE) AS value, "
         "count(*) FILTER (WHERE age_midpoint NOT BETWEEN 0 AND 100) = 0 AS passed FROM model_rows",
@@ -1179,8 +1251,8 @@ def _(t: Tables):
     ),
 )
 def _(t: Tables):
-    report = quality.quality_report(t.model_rows, SPLITS.oot.end).where(F.col("check") == "months_of_history")
-    return layers.stack_rows([report, quality.history_report(t.model_rows)]).select("check", "value", "passed")
+    checks = [quality.months_of_history(10), quality.split_rows("train", 1000), quality.split_rows("test", 500)]
+    return quality.measure(t.model_rows, checks).select("check", "value", "passed")
 
 
 @query(

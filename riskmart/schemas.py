@@ -110,6 +110,7 @@ _FEATURE_SCORE = T.StructType(
         T.StructField("abs_importance", T.DoubleType()),
     ]
 )
+_INTERVAL = T.StructType([T.StructField("start_date", T.StringType()), T.StructField("end_date", T.StringType())])
 PERFORMANCE_DOCUMENT = T.StructType(
     [
         T.StructField("algorithm", T.StringType()),
@@ -128,6 +129,7 @@ PERFORMANCE_DOCUMENT = T.StructType(
                 ]
             ),
         ),
+        T.StructField("temporal_splits", T.StructType([T.StructField(s, _INTERVAL) for s in ("train", "test", "oot")])),
         T.StructField(
             "feature_importance",
             T.StructType(
@@ -140,6 +142,24 @@ PERFORMANCE_DOCUMENT = T.StructType(
         ),
     ]
 )
+_INDEX_METRICS = [f"{s}_{m}" for m in ("auc", "gini", "pr_auc", "accuracy") for s in ("test", "oot")]
+VERSION_INDEX = T.StructType(
+    [
+        T.StructField(c, T.StringType())
+        for c in ("version", "model_path", "metadata_path", "performance_path", "created_at", "algorithm")
+    ]
+    + [T.StructField(m, T.DoubleType()) for m in _INDEX_METRICS]
+)
+PREDICTION_METADATA = T.StructType(
+    [
+        T.StructField("timestamp", T.StringType()),
+        T.StructField("snapshot_date", T.StringType()),
+        T.StructField("algorithm", T.StringType()),
+        T.StructField("num_predictions", T.LongType()),
+        T.StructField("avg_probability", T.DoubleType()),
+        T.StructField("predictions_path", T.StringType()),
+    ]
+)
 _MONTH_SUMMARY = T.StructType(
     [
         T.StructField("month", T.StringType()),

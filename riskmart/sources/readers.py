@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from datetime import date
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -64,19 +63,34 @@ def months_between(table: DataFrame, first: date, last: date) -> DataFrame:
     return table.where(months & days)
 
 
-def month_or_scan(spark: SparkSession, root: str, month: date, schema: T.StructType) -> DataFrame:
-    """The month's own directory where it exists, else the whole tree filtered to it."""
-    directory = f"{root}/{MONTH}={month.strftime('%Y-%m')}"
-    try:
-        rows = spark.read.schema(schema).parquet(directory)
-    except AnalysisException as error:
-        if error.getCondition() != "PATH_NOT_FOUND":
-            raise
-        rows = read_tree(spark, root, schema)
-    rows = rows.where(in_month(F.col("snapshot_date"), month))
+def month_or_scan(
+    spark: SparkSession, root: str, month: date, schema: T.StructType, whole_tree: bool = False
+) -> DataFrame:
+    """One month of a partitioned table, pruned to its directory. With ``whole_tree`` every file below ``root`` is
+    read, whatever its directory is called, and rows are kept by their date: for trees without month directories."""
+    if not whole_tree:
+        return month_of(read_table(spark, root, schema), month)
+    rows = read_tree(spark, root, schema).where(in_month(F.col("snapshot_date"), month))
     return rows.withColumn(MONTH, snapshot_month(F.col("snapshot_date")))
 
 
+def _exists(spark: SparkSession, path: str) -> bool:
+    found = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return found.getFileSystem(spark._jsc.hadoopConfiguration()).exists(found)
+
+
+def refuse_stream_table(spark: SparkSession, path: str) -> None:
+    """A table that a file stream writes is read by the stream's own log, which leaves out files of a batch job."""
+    if _exists(spark, f"{path}/_spark_metadata"):
+        raise ValueError(f"{path} is loaded by a stream; a batch load into it would be read by nobody")
+
+
+def refuse_batch_table(spark: SparkSession, path: str) -> None:
+    """The log of a file stream would hide the files that a batch job has written before."""
+    if _exists(spark, path) and not _exists(spark, f"{path}/_spark_metadata"):
+        raise ValueError(f"{path} is loaded by batch jobs; a stream into it would hide their rows")
+
+
 def feature_source(mart: str, uploaded: bool = False) -> str:
     """Scoring reads the feature store, or the folder of manual uploads."""
     return f"{mart}/gold/{'upload' if uploaded else 'feature_store'}"
