@@ -11,10 +11,12 @@ def hash_order(key: list[str], seed: int) -> Column:
 
 
 def random_split(rows: DataFrame, key: list[str], train_share: float = 0.8, seed: int = 42) -> DataFrame:
-    """Add ``part`` train / test by hash threshold: no shuffle at all."""
-    position = F.pmod(hash_order(key, seed), F.lit(1_000_000))
-    cut = round(train_share * 1_000_000)
-    return rows.withColumn("part", F.when(position < cut, "train").otherwise("test"))
+    """Add ``part`` train / test by the first 32 bits of the key's md5: no shuffle at all, and any engine that has md5
+    finds the same parts. Null keys count as empty text."""
+    parts = [F.coalesce(F.col(k).cast("string"), F.lit("")) for k in key]
+    digest = F.md5(F.concat_ws(":", F.lit(str(seed)), *parts).cast("binary"))
+    position = F.conv(F.substring(digest, 1, 8), 16, 10).cast("long")
+    return rows.withColumn("part", F.when(position < round(train_share * 2**32), "train").otherwise("test"))
 
 
 def number_in_strata(

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import itertools
+import math
 import random
 from dataclasses import dataclass
 from multiprocessing.pool import ThreadPool
@@ -20,6 +21,7 @@ from pyspark.util import inheritable_thread_target
 from .. import fixed_values as fv
 from ..config import TrainingConfig
 from ..sources.scratch import materialize
+from . import tree_search
 from .metrics import balanced_score, confusion
 from .splitting import class_counts, stratified_folds
 
@@ -125,60 +127,7 @@ def boosted_trees(
     )
 
 
-# Search spaces (fixed values).
-SEARCH_SPACES: dict[str, dict[str, list]] = {
-    "logistic_regression": {
-        "penalty": ["l1", "l2"],
-        "C": [0.001, 0.01, 0.1, 1, 10, 100],
-        "class_weight": [None, "balanced"],
-    },
-    "random_forest": {
-        "trees": [50, 100, 200],
-        "max_depth": [5, 10, 15, 20],
-        "min_leaf": [1, 2, 4],
-        "class_weight": [None, "balanced"],
-    },
-    "xgboost": {
-        "max_depth": [3, 5, 7, 9],
-        "learning_rate": [0.01, 0.05, 0.1, 0.2],
-        "rounds": [50, 100, 200],
-        "subsample": [0.6, 0.8, 1.0],
-        "column_share": [0.6, 0.8, 1.0],
-        "class_weight": [None, "scale_pos_weight"],
-    },
-}
-
-# Wider spaces (fixed values). Depth 30 is Spark's limit and stands for "no limit". The last
-# entry is a second boosted-tree variant.
-WIDE_SEARCH_SPACES: dict[str, dict[str, list]] = {
-    "logistic_regression": SEARCH_SPACES["logistic_regression"],
-    "random_forest": {
-        "trees": [100, 200, 300, 500],
-        "max_depth": [5, 10, 20, 30],
-        "min_leaf": [1, 2, 4],
-        "subset": ["sqrt", "log2", "all"],
-        "class_weight": [None, "balanced"],
-    },
-    "xgboost": {
-        "max_depth": [3, 5, 7],
-        "learning_rate": [0.01, 0.05, 0.1],
-        "rounds": [100, 200, 300],
-        "subsample": [0.8, 0.9, 1.0],
-        "column_share": [0.8, 0.9, 1.0],
-        "class_weight": [None, 3.0, 5.0, 8.0],
-        "min_leaf": [1, 3, 5],
-        "min_gain": [0.0, 0.1, 0.3],
-    },
-    "lightgbm": {
-        "max_depth": [3, 5, 7, 30],
-        "learning_rate": [0.01, 0.05, 0.1],
-        "rounds": [100, 200, 300],
-        "subsample": [0.8, 0.9, 1.0],
-        "column_share": [0.8, 0.9, 1.0],
-        "min_leaf": [5, 10, 20],
-        "class_weight": [None, 3.0, 5.0, 8.0],
-    },
-}
+SEARCH_SPACES, WIDE_SEARCH_SPACES = fv.SEARCH_SPACES, fv.WIDE_SEARCH_SPACES
 
 
 def estimator(algorithm: str, n: int, seed: int = 42, **params) -> Estimator:
@@ -224,20 +173,23 @@ class SearchResult:
     score: float
 
 
-def fold_table(train: DataFrame, features: list[str], folds: int, seed: int) -> DataFrame:
-    """(features, label, fold) of the training rows, assembled and stored once for all fits.
+#: Rows of a partition of training data, and how many partitions there are at most for each slot of the session.
+PARTITION_ROWS, PARTITIONS_PER_SLOT = 10_000, 4
+#: Rows that the search of tree settings takes at most; the winner is fitted on all.
+SEARCH_ROWS = 100_000
 
-    The rebalance hint gives files of the session's advisory size: a small table is one file and so few
-    partitions, which keeps the many short jobs of a fit cheap; a large one is spread.
-    """
-    keyed = stratified_folds(train, LABEL, [k for k in KEY if k in train.columns], folds, seed)
-    packed = assembler(features).transform(fill_missing(keyed, features)).select(FEATURES, LABEL, FOLD)
-    return materialize(packed.hint("rebalance"), "search-folds")
 
+def spread(rows: DataFrame, count: int) -> DataFrame:
+    """Training rows over partitions that keep every slot busy: a stored table of few megabytes is one partition."""
+    most = PARTITIONS_PER_SLOT * rows.sparkSession.sparkContext.defaultParallelism
+    return rows.repartition(max(1, min(most, math.ceil(count / PARTITION_ROWS))))
 
-def _effort(params: dict) -> float:
-    """Relative time of a fit: trees or rounds, which follow one another, times depth."""
-    return params.get("trees", params.get("rounds", 1)) * params.get("max_depth", 1)
+
+def fold_table(train: DataFrame, features: list[str], folds: int, seed: int) -> DataFrame:
+    """(features, label, fold) of the training rows, assembled and stored once for all fits."""
+    keyed = stratified_folds(train, LABEL, [k for k in KEY if k in train.columns], folds, seed)
+    packed = assembler(features).transform(fill_missing(keyed, features)).select(FEATURES, LABEL, FOLD)
+    return materialize(packed, "search-folds")
 
 
 def cross_validate(
@@ -250,13 +202,18 @@ def cross_validate(
     seed: int = 42,
     parallelism: int | None = None,
 ) -> list[float]:
-    """Mean held-out score of each of the settings over the folds of a ``fold_table``.
+    """Mean held-out score of each of the settings over the folds of a ``fold_table``, every (setting, fold) a fit.
 
-    Every (setting, fold) is a fit of its own; as many run at once as the session has slots, longest first, so that
-    short ones fill the gaps. No model outlives its score.
+    Trees are fitted one to a task, over at most ``SEARCH_ROWS`` rows. Linear models are Spark jobs over all rows, as
+    many at once as the session has slots.
     """
     spark = table.sparkSession
-    cached = table.persist()
+    if algorithm in tree_search.FITS:
+        weights = [balance.weights(s.get("class_weight")) for s in settings]
+        sample = tree_search.sample_of(table, balance.rows, SEARCH_ROWS)
+        scores = tree_search.fold_scores(sample, algorithm, settings, weights, folds, metric, seed, spark)
+        return [sum(s) / folds for s in scores]
+    cached = spread(table, balance.rows).persist()
     evaluator = search_evaluator(metric)
 
     def score_of(job: tuple[int, int]) -> tuple[int, int, float]:
@@ -264,11 +221,9 @@ def cross_validate(
         params = settings[number]
         rows = with_class_weight(cached.where(F.col(FOLD) != fold), balance, params.get("class_weight"))
         model = estimator(algorithm, balance.rows, seed, **params).fit(rows)
-        held_out = model.transform(cached.where(F.col(FOLD) == fold))
-        return number, fold, evaluator.evaluate(held_out)
+        return number, fold, evaluator.evaluate(model.transform(cached.where(F.col(FOLD) == fold)))
 
     work = [(number, fold) for number in range(len(settings)) for fold in range(folds)]
-    work.sort(key=lambda job: -_effort(settings[job[0]]))
     scores = [[0.0] * folds for _ in settings]
     try:
         with ThreadPool(min(parallelism or spark.sparkContext.defaultParallelism, len(work) or 1)) as pool:
@@ -288,7 +243,7 @@ def random_search(
     parallelism: int | None = None,
 ) -> SearchResult:
     """Seeded random search over stratified folds; the winner (the first drawn, if several are equal) is the only
-    one fitted on all rows."""
+    one fitted by Spark on all rows."""
     seed = config.random_state
     balance = ClassBalance.of(train)
     table = fold_table(train, features, config.cv_folds, seed)
@@ -298,7 +253,7 @@ def random_search(
         algorithm, table, settings, config.cv_folds, balance, config.search_metric, seed, parallelism
     )
     best = max(range(len(settings)), key=lambda i: (scores[i], -i))
-    rows = with_class_weight(table, balance, settings[best].get("class_weight"))
+    rows = with_class_weight(spread(table, balance.rows), balance, settings[best].get("class_weight"))
     model = estimator(algorithm, balance.rows, seed, **settings[best]).fit(rows)
     return SearchResult(PipelineModel([assembler(features), model]), settings[best], scores[best])
 
@@ -313,7 +268,7 @@ def fit(
 ) -> PipelineModel:
     """One model with the settings given; assembles, weights and fits in one pipeline."""
     balance = ClassBalance.of(train)
-    rows = with_class_weight(fill_missing(train, features), balance, class_weight)
+    rows = with_class_weight(fill_missing(spread(train, balance.rows), features), balance, class_weight)
     stages = [assembler(features), estimator(algorithm, balance.rows, seed, **params)]
     return Pipeline(stages=stages).fit(rows)
 

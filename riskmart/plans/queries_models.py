@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import hashlib
+
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
@@ -10,7 +12,7 @@ from ..config import TrainingConfig
 from ..functions import dates, stability
 from ..operators import drift, governance, layers, monitoring, quality, registry, scaling, splitting, training
 from ..operators import metrics as m
-from ..sources import version_index
+from ..sources import readers, scratch, version_index
 from ..sources.scratch import materialize
 from . import check_sql as c
 from . import jobs
@@ -417,11 +419,23 @@ def _(t: Tables):
     )
 
 
-@query("t3_top_features")
+@query(
+    "t3_top_features",
+    "SELECT 'logistic_regression' AS algorithm, 'coefficients' AS method, CAST(unnest(range(1, 15)) AS INTEGER) AS position, "
+    "TRUE AS known, TRUE AS ordered",
+)
 def _(t: Tables):
     model = training.fit("logistic_regression", _training_rows(t), fv.MODEL_FEATURES)
-    importance = training.feature_importance(t.spark, model, "logistic_regression")
-    return training.top_features(importance).select("algorithm", "method", "feature", r6("importance"))
+    top = training.top_features(training.feature_importance(t.spark, model, "logistic_regression"))
+    by_size = Window.orderBy(F.abs("importance").desc(), "feature")  # a report of a few rows
+    ahead = F.coalesce(F.lag(F.abs("importance")).over(by_size) >= F.abs("importance"), F.lit(True))
+    return top.select(
+        "algorithm",
+        "method",
+        F.row_number().over(by_size).alias("position"),
+        F.col("feature").isin(*fv.MODEL_FEATURES).alias("known"),
+        ahead.alias("ordered"),
+    )
 
 
 @query(
@@ -988,40 +1002,106 @@ def _train_of(splits):
     return splits.where(F.col("split") == "train").drop("split")
 
 
-def _fitted_importance(t: Tables, algorithm: str, **params):
+FEATURE_SQL = "(SELECT unnest([" + ", ".join(f"'{f}'" for f in fv.MODEL_FEATURES) + "]) AS feature)"
+
+
+def _tree_sql(algorithm: str) -> str:
+    """Importances are shares: none below zero, one in all."""
+    return (
+        f"SELECT '{algorithm}' AS algorithm, 'feature_importances' AS method, feature, TRUE AS not_negative, "
+        f"CAST(1 AS DOUBLE) AS importance_sum FROM {FEATURE_SQL}"
+    )
+
+
+def _shares(importance):
+    """Each feature of a tree model, whether its importance is a share, and the sum of all."""
+    total = F.sum("importance").over(Window.partitionBy("algorithm"))
+    return importance.select(
+        "algorithm", "method", "feature", (F.col("importance") >= 0).alias("not_negative"), F.round(total, 6).alias("importance_sum")
+    )
+
+
+def _fitted_shares(t: Tables, algorithm: str, **params):
     model = training.fit(algorithm, _training_rows(t), fv.MODEL_FEATURES, **params)
-    return training.feature_importance(t.spark, model, algorithm).select("algorithm", "method", "feature", r6("importance"))
+    return _shares(training.feature_importance(t.spark, model, algorithm))
 
 
-@query("m1_logistic_regression")
+@query(
+    "m1_logistic_regression",
+    c.with_blocks(
+        "SELECT 'logistic_regression' AS algorithm, 'coefficients' AS method, feature, TRUE AS finite, rows, "
+        f"round(weighted, 3) AS weighted_probability FROM {FEATURE_SQL} CROSS JOIN "
+        "(SELECT count(*) AS rows, sum(label * n / (2 * n1)) / sum(CASE WHEN label = 1 THEN n / (2 * n1) ELSE n / (2 * n0) END) AS weighted "
+        "FROM (SELECT label, CAST(count(*) OVER () AS DOUBLE) AS n, CAST(sum(label) OVER () AS DOUBLE) AS n1, "
+        "CAST(count(*) OVER () - sum(label) OVER () AS DOUBLE) AS n0 FROM model_rows WHERE split = 'train'))",
+        "model_rows",
+    ),
+)
 def _(t: Tables):
-    return _fitted_importance(t, "logistic_regression", penalty="l2", C=0.1, class_weight="balanced")
+    """With a free intercept the weighted mean probability of the fitted rows is their weighted mean label."""
+    train = _training_rows(t)
+    model = training.fit("logistic_regression", train, fv.MODEL_FEATURES, penalty="l2", C=0.1, class_weight="balanced")
+    weighted = training.with_class_weight(
+        training.probability(model, train, fv.MODEL_FEATURES, "p"), training.ClassBalance.of(train), "balanced"
+    )
+    weight = F.col(training.WEIGHT)
+    fitted = weighted.agg(
+        F.count(F.lit(1)).alias("rows"), F.round(F.sum(F.col("p") * weight) / F.sum(weight), 3).alias("weighted_probability")
+    )
+    importance = training.feature_importance(t.spark, model, "logistic_regression")
+    finite = ~F.isnan("importance") & (F.abs("importance") < float("inf"))
+    return importance.select("algorithm", "method", "feature", finite.alias("finite")).join(F.broadcast(fitted))  # one row
 
 
-@query("m2_random_forest")
+@query("m2_random_forest", _tree_sql("random_forest"))
 def _(t: Tables):
-    return _fitted_importance(t, "random_forest", class_weight="balanced")
+    return _fitted_shares(t, "random_forest", class_weight="balanced")
 
 
-@query("m3_boosted_trees")
+@query("m3_boosted_trees", _tree_sql("xgboost"))
 def _(t: Tables):
-    return _fitted_importance(t, "xgboost", class_weight="scale_pos_weight", subsample=0.8)
+    return _fitted_shares(t, "xgboost", class_weight="scale_pos_weight", subsample=0.8)
 
 
-@query("m4_second_boosted_variant")
+@query("m4_second_boosted_variant", _tree_sql("lightgbm"))
 def _(t: Tables):
-    return _fitted_importance(t, "lightgbm", class_weight=3.0, min_leaf=20, column_share=0.8)
+    return _fitted_shares(t, "lightgbm", class_weight=3.0, min_leaf=20, column_share=0.8)
 
 
-@query("m5_random_search")
+HELD_OUT_SQL = "SELECT split, count(*) AS rows FROM model_rows WHERE split <> 'train' GROUP BY split"
+
+
+def _in_range(score: str):
+    return F.bool_and(F.col(score).between(0, 1)).alias("in_range")
+
+
+@query(
+    "m5_random_search",
+    c.with_blocks(
+        "SELECT model_algorithm, split, rows, TRUE AS in_range, 20 AS settings, TRUE AS from_the_space FROM "
+        "(SELECT unnest(['logistic_regression', 'random_forest', 'xgboost']) AS model_algorithm) "
+        f"CROSS JOIN ({HELD_OUT_SQL})",
+        "model_rows",
+    ),
+)
 def _(t: Tables):
     splits, config, scored = _scaled(t), TrainingConfig(), []
     for algorithm in training.SEARCH_SPACES:
         found = training.random_search(algorithm, _train_of(splits), fv.MODEL_FEATURES, config)
+        space = training.SEARCH_SPACES[algorithm]
+        drawn = training.draw_settings(space, config.search_draws, config.random_state)
         rows = training.probability(found.model, splits.where(F.col("split") != "train"), fv.MODEL_FEATURES, "p")
-        scored.append(rows.select(F.lit(algorithm).alias("model_algorithm"), "split", "p"))
-    return layers.stack_rows(scored).groupBy("model_algorithm", "split").agg(
-        F.count(F.lit(1)).alias("rows"), F.round(F.avg("p"), 6).alias("avg_probability")
+        scored.append(
+            rows.select(
+                F.lit(algorithm).alias("model_algorithm"),
+                "split",
+                "p",
+                F.lit(len(drawn)).alias("settings"),
+                F.lit(all(found.params[k] in values for k, values in space.items())).alias("from_the_space"),
+            )
+        )
+    return layers.stack_rows(scored).groupBy("model_algorithm", "split", "settings", "from_the_space").agg(
+        F.count(F.lit(1)).alias("rows"), _in_range("p")
     )
 
 
@@ -1039,7 +1119,15 @@ def _(t: Tables):
     return parts.groupBy("label", "part").agg(F.count(F.lit(1)).alias("rows"))
 
 
-@query("m7_random_split")
+@query(
+    "m7_random_split",
+    c.with_blocks(
+        "SELECT part, count(*) AS rows, CAST(sum(label) AS BIGINT) AS positives FROM (SELECT label, CASE WHEN "
+        "CAST('0x' || left(md5('42:' || encounter_id), 8) AS BIGINT) < 3435973837 THEN 'train' ELSE 'test' END AS part FROM labels) "
+        "GROUP BY part",
+        "labels",
+    ),
+)
 def _(t: Tables):
     parts = splitting.random_split(t.labels, ["encounter_id"], train_share=0.8, seed=42)
     return parts.groupBy("part").agg(F.count(F.lit(1)).alias("rows"), F.sum("label").alias("positives"))
@@ -1063,26 +1151,49 @@ def _(t: Tables):
     return _evaluation(t).select(*MODEL_SPLIT, "rows", *[r6(n) for n in fv.METRICS], r6("balanced"))
 
 
-@query("m10_feature_importance")
+@query(
+    "m10_feature_importance",
+    "SELECT algorithm, CASE algorithm WHEN 'logistic_regression' THEN 'coefficients' ELSE 'feature_importances' END AS method, feature, "
+    "CASE WHEN algorithm <> 'logistic_regression' THEN CAST(1 AS DOUBLE) END AS importance_sum, 14 AS ranks "
+    f"FROM (SELECT unnest(['logistic_regression', 'random_forest', 'xgboost']) AS algorithm) CROSS JOIN {FEATURE_SQL}",
+)
 def _(t: Tables):
     train = _training_rows(t)
     found = []
     for algorithm in training.SEARCH_SPACES:
         model = training.fit(algorithm, train, fv.MODEL_FEATURES)
         found.append(training.feature_importance(t.spark, model, algorithm))
-    rank = F.row_number().over(Window.partitionBy("algorithm").orderBy(F.abs("importance").desc(), "feature"))
-    return layers.stack_rows(found).select("algorithm", "method", "feature", rank.alias("rank"))
+    own = Window.partitionBy("algorithm")
+    ranked = layers.stack_rows(found).withColumn(
+        "rank", F.row_number().over(own.orderBy(F.abs("importance").desc(), "feature"))
+    )
+    share = F.when(F.col("method") != "coefficients", F.round(F.sum("importance").over(own), 6))
+    ranks = F.size(F.collect_set("rank").over(own))
+    return ranked.select("algorithm", "method", "feature", share.alias("importance_sum"), ranks.alias("ranks"))
+
 
+def _stored_forest(t: Tables, splits) -> str:
+    """Path of a forest fitted on the train split; one is fitted and saved for an application and its tables."""
+    folder = f"{scratch.application_folder(t.spark)}/models-{hashlib.sha256(t.sf_dir.encode()).hexdigest()[:16]}"
+    path = f"{folder}/random_forest/v1/model"
+    if not readers.exists(t.spark, f"{path}/metadata/_SUCCESS"):
+        training.save_model(training.fit("random_forest", _train_of(splits), fv.MODEL_FEATURES), folder, "random_forest", "1")
+    return path
 
-@query("m11_score_snapshot")
+
+@query(
+    "m11_score_snapshot",
+    c.with_blocks(
+        "SELECT snapshot_date, 'random_forest' AS model_algorithm, count(*) AS rows, TRUE AS in_range FROM model_rows "
+        "WHERE split IS NOT NULL GROUP BY snapshot_date",
+        "model_rows",
+    ),
+)
 def _(t: Tables):
     splits = _scaled(t)
-    model = training.fit("random_forest", _train_of(splits), fv.MODEL_FEATURES)
+    model = training.load_model(_stored_forest(t, splits))
     predictions = training.score(model, splits.drop("split", "label"), fv.MODEL_FEATURES, "random_forest")
-    inside = F.col("model_predictions").between(0, 1)
-    return predictions.groupBy("snapshot_date", "model_algorithm").agg(
-        F.count(F.lit(1)).alias("rows"), F.bool_and(inside).alias("in_range")
-    )
+    return predictions.groupBy("snapshot_date", "model_algorithm").agg(F.count(F.lit(1)).alias("rows"), _in_range("model_predictions"))
 
 
 @query(
@@ -1097,34 +1208,49 @@ def _(t: Tables):
     return training.soft_vote(t.predictions).select("encounter_id", "snapshot_date", "model_algorithm", r6("model_predictions"))
 
 
-@query("m13_stacking")
+@query(
+    "m13_stacking",
+    c.with_blocks(f"SELECT split, rows, TRUE AS in_range FROM ({HELD_OUT_SQL})", "model_rows"),
+)
 def _(t: Tables):
     splits = _scaled(t)
     model = training.stack(fv.ALGORITHMS, _train_of(splits), fv.MODEL_FEATURES, folds=3)
     scored = model.score(splits.where(F.col("split") != "train"))
-    inside = F.col("model_predictions").between(0, 1)
-    return scored.groupBy("split").agg(F.count(F.lit(1)).alias("rows"), F.bool_and(inside).alias("in_range"))
+    return scored.groupBy("split").agg(F.count(F.lit(1)).alias("rows"), _in_range("model_predictions"))
 
 
-@query("m14_forest_importance")
+@query("m14_forest_importance", _tree_sql("random_forest"))
 def _(t: Tables):
     rows = materialize(t.model_rows.select(*training.KEY, *fv.MODEL_FEATURES, "label"), "model-rows")
     model = training.fit("random_forest", rows, fv.MODEL_FEATURES, seed=42, trees=100, max_depth=10)
-    importance = training.feature_importance(t.spark, model, "random_forest")
-    return training.top_features(importance).select("feature", r6("importance"))
+    return _shares(training.top_features(training.feature_importance(t.spark, model, "random_forest")))
 
 
-@query("m15_saved_model")
+@query(
+    "m15_saved_model",
+    c.with_blocks(
+        "SELECT snapshot_date, count(*) AS rows, TRUE AS same, '20010801' AS version FROM model_rows WHERE split = 'oot' GROUP BY snapshot_date",
+        "model_rows",
+    ),
+)
 def _(t: Tables):
-    mart = t.mart()
-    splits = _scaled(t)
-    model = training.fit("logistic_regression", _train_of(splits), fv.MODEL_FEATURES)
-    path = training.save_model(model, mart.registry, "logistic_regression", "20010801")
+    """Two versions are trained and registered; the newest is found through the index and scores as it did before."""
+    mart, splits, algorithm = t.mart(), _scaled(t), "logistic_regression"
+    models = {}
+    for version, strength in (("20010701", 1.0), ("20010801", 0.1)):
+        models[version] = training.fit(algorithm, _train_of(splits), fv.MODEL_FEATURES, C=strength)
+        scored = training.probability(models[version], splits.where("split <> 'train'"), fv.MODEL_FEATURES, SCORE)
+        evaluation = m.evaluate(scored, ["split"], SCORE, LABEL)
+        named = evaluation.select(F.lit(algorithm).alias("algorithm"), F.lit(version).alias("version"), "*")
+        samples = splits.groupBy("split").agg(F.count(F.lit(1)).alias("rows"))
+        training.save_model(models[version], mart.registry, algorithm, version)
+        jobs.register(t.spark, mart, materialize(registry.performance_documents(named, samples, splits=SPLITS), "documents"))
+    newest = version_index.latest(t.spark, mart.registry).first()
     rows = splits.where(F.col("split") == "oot")
-    before = training.probability(model, rows, fv.MODEL_FEATURES, "before")
-    both = training.probability(training.load_model(path), before, fv.MODEL_FEATURES, "after")
+    before = training.probability(models["20010801"], rows, fv.MODEL_FEATURES, "before")
+    both = training.probability(training.load_model(newest.model_path), before, fv.MODEL_FEATURES, "after")
     return both.groupBy("snapshot_date").agg(
-        F.count(F.lit(1)).alias("rows"), F.bool_and(F.abs(F.col("before") - F.col("after")) < 1e-12).alias("same")
+        F.count(F.lit(1)).alias("rows"),
+        F.bool_and(F.abs(F.col("before") - F.col("after")) < 1e-12).alias("same"),
+        F.lit(newest.version).alias("version"),
     )
-
-

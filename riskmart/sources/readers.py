@@ -74,20 +74,20 @@ def month_or_scan(
     return rows.withColumn(MONTH, snapshot_month(F.col("snapshot_date")))
 
 
-def _exists(spark: SparkSession, path: str) -> bool:
+def exists(spark: SparkSession, path: str) -> bool:
     found = spark._jvm.org.apache.hadoop.fs.Path(path)
     return found.getFileSystem(spark._jsc.hadoopConfiguration()).exists(found)
 
 
 def refuse_stream_table(spark: SparkSession, path: str) -> None:
     """A table that a file stream writes is read by the stream's own log, which leaves out files of a batch job."""
-    if _exists(spark, f"{path}/_spark_metadata"):
+    if exists(spark, f"{path}/_spark_metadata"):
         raise ValueError(f"{path} is loaded by a stream; a batch load into it would be read by nobody")
 
 
 def refuse_batch_table(spark: SparkSession, path: str) -> None:
     """The log of a file stream would hide the files that a batch job has written before."""
-    if _exists(spark, path) and not _exists(spark, f"{path}/_spark_metadata"):
+    if exists(spark, path) and not exists(spark, f"{path}/_spark_metadata"):
         raise ValueError(f"{path} is loaded by batch jobs; a stream into it would hide their rows")
 
 

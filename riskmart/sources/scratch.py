@@ -22,17 +22,17 @@ def scratch_root(spark: SparkSession) -> str:
     return root.rstrip("/")
 
 
-def _application_folder(spark: SparkSession) -> str:
+def application_folder(spark: SparkSession) -> str:
     return f"{scratch_root(spark)}/riskmart/{spark.sparkContext.applicationId}"
 
 
 def fresh_path(spark: SparkSession, name: str) -> str:
-    return f"{_application_folder(spark)}/{name}-{uuid.uuid4().hex}"
+    return f"{application_folder(spark)}/{name}-{uuid.uuid4().hex}"
 
 
 def clear_scratch(spark: SparkSession) -> None:
     """Delete the intermediate tables of this application, once no plan needs them any more."""
-    folder = spark._jvm.org.apache.hadoop.fs.Path(_application_folder(spark))
+    folder = spark._jvm.org.apache.hadoop.fs.Path(application_folder(spark))
     folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
 
 

@@ -49,7 +49,7 @@ def test_twelve_versions_leave_ten(spark, mart):
         metadata = spark.read.json(row.metadata_path).first()
         assert metadata.version == version and '"C": 0.1' in metadata.best_params
         assert metadata.temporal_splits.oot.end_date == "2001-12-31" and metadata.data_info.feature_count == 14
-    assert not readers._exists(spark, f"{mart.registry}/logistic_regression/v01")
+    assert not readers.exists(spark, f"{mart.registry}/logistic_regression/v01")
     assert jobs.latest_model(spark, mart, "logistic_regression") == paths["11"]
     assert [r.version for r in jobs.performance(spark, mart).collect()] == ["11"]
     with pytest.raises(ValueError, match="no version of 'xgboost'"):
@@ -102,7 +102,7 @@ def test_jobs_stop_at_gates(spark, mart, tables):
         jobs.preprocess(spark, mart, CONFIG.with_(gates=Gates(min_months=1000)), "stopped")
     with pytest.raises(quality.QualityError, match="train_rows"):
         jobs.preprocess(spark, mart, CONFIG.with_(gates=DOCUMENTED_GATES), "stopped")
-    assert not readers._exists(spark, f"{mart.preprocessed}/run=stopped")
+    assert not readers.exists(spark, f"{mart.preprocessed}/run=stopped")
 
     other = tables.mart()
     one_class = jobs.stage(tables.model_rows.where("label = 0"))
