@@ -24,14 +24,16 @@ def crc_mod(column: Column, modulus: int) -> Column:
     return F.crc32(F.coalesce(column.cast("string"), F.lit("")).cast("binary")) % modulus
 
 
-def rows_with_texts(batches: Iterator[pa.RecordBatch], text: str = "text") -> Iterator[tuple[pa.RecordBatch, pa.Array]]:
-    """Cut record batches into row ranges of about ``SLICE_BYTES`` of text; each with its texts, null as empty."""
+def rows_with_texts(
+    batches: Iterator[pa.RecordBatch], text: str = "text", slice_bytes: int = SLICE_BYTES
+) -> Iterator[tuple[pa.RecordBatch, pa.Array]]:
+    """Cut record batches into row ranges of about ``slice_bytes`` of text; each with its texts, null as empty."""
     for batch in batches:
         column = pc.fill_null(batch.column(text).cast(pa.large_string()), "")
         sizes = pc.binary_length(column).to_numpy(zero_copy_only=False)
         start = used = 0
         for i, size in enumerate(sizes):
-            if used and used + size > SLICE_BYTES:
+            if used and used + size > slice_bytes:
                 yield batch.slice(start, i - start), column.slice(start, i - start)
                 start, used = i, 0
             used += int(size)
@@ -39,9 +41,11 @@ def rows_with_texts(batches: Iterator[pa.RecordBatch], text: str = "text") -> It
             yield batch.slice(start), column.slice(start)
 
 
-def text_slices(batches: Iterator[pa.RecordBatch], text: str = "text") -> Iterator[pa.RecordBatch]:
+def text_slices(
+    batches: Iterator[pa.RecordBatch], text: str = "text", slice_bytes: int = SLICE_BYTES
+) -> Iterator[pa.RecordBatch]:
     """The row ranges of ``rows_with_texts`` with nulls of the text column replaced by empty texts."""
-    for batch, texts in rows_with_texts(batches, text):
+    for batch, texts in rows_with_texts(batches, text, slice_bytes):
         yield batch.set_column(batch.schema.get_field_index(text), text, texts)
 
 

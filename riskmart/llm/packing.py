@@ -15,11 +15,11 @@ import zlib
 from array import array
 from collections.abc import Iterator
 from functools import lru_cache
-from itertools import chain
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -35,6 +35,8 @@ EPOCHS = 2
 POPULATION, GENERATIONS = 4, 4
 #: Chunks between white space that a worker remembers with their ids, and characters of each, at most.
 CACHE_CHUNKS, CACHED_CHARS = 800_000, 64
+#: Bytes of text cut at a time: a larger slice repeats fewer chunks of the one before.
+SLICE_BYTES = 4 << 20
 #: Byte-level vocabularies show a byte that is no visible character as one from 256 on, in order.
 BYTE_CHARACTERS = {
     byte: 256 + nth
@@ -69,43 +71,73 @@ class WordTokenizer:
         self.beyond_latin = re.compile(f"[^\\0-{chr(LATIN_END - 1)}]").search
         self.model = self.tokenizer.model
         self.cache: dict[str, bytes] = {}  # chunk -> little-endian 32-bit ids
+        self.word_ids: dict[str, bytes] = {}  # the same of the chunks' words
 
-    def chunks(self, text: str) -> list[str]:
-        """The normalised text between white space; no word reaches over white space."""
+    def normal(self, text: str) -> str:
         if text.isascii() or not self.beyond_latin(text):
-            text = text.lower()  # composed already, and lower-cased character by character
-        else:
-            text = self.tokenizer.normalizer.normalize_str(text)
-        # str.split also cuts at four separators that are no white space to the tokenizer
-        return self.not_space(text) if self.separators(text) else text.split()
+            return text.lower()  # composed already, and lower-cased character by character
+        return self.tokenizer.normalizer.normalize_str(text)
+
+    def chunks(self, texts: list[str]) -> pa.LargeListArray:
+        """The normalised texts between white space; no word reaches over white space."""
+        texts = [self.normal(text) for text in texts]
+        if any(map(self.separators, texts)):  # Arrow also cuts at four separators that are no white space to the tokenizer
+            return pa.array([self.not_space(text) for text in texts], pa.large_list(pa.large_string()))
+        return pc.utf8_split_whitespace(pa.array(texts, pa.large_string()))
 
     def words(self, chunk: str) -> list[str]:
         return self.latin(chunk) if chunk.isascii() or not self.beyond_latin(chunk) else self.any(chunk)
 
     def encode(self, texts: list[str]) -> list[bytes]:
-        """The ids of each text as little-endian 32-bit integers."""
-        cut = [self.chunks(text) for text in texts]
+        """The ids of each text as little-endian 32-bit integers.
+
+        Arrow cuts the texts and numbers their different chunks; only chunks that are new go through Python, and numpy
+        strings the chunks' ids together.
+        """
+        cut = self.chunks(texts)
+        coded = cut.flatten().dictionary_encode()
+        chunks = coded.dictionary.to_numpy(zero_copy_only=False).tolist()
         if len(self.cache) >= CACHE_CHUNKS:
             self.cache.clear()
-        new = list(set(chain.from_iterable(cut)).difference(self.cache))
-        self.cache.update(zip(new, self.encode_chunks(new)))
-        known = self.cache.__getitem__
-        out = [b"".join(map(known, chunks)) for chunks in cut]
-        for chunk in new:
-            if len(chunk) > CACHED_CHARS:
-                del self.cache[chunk]
-        return out
-
-
-    def encode_chunks(self, chunks: list[str]) -> list[bytes]:
-        """The ids of each chunk. Its words are normal already, so they go straight to the tokenizer's model."""
-        parts = [self.words(chunk) for chunk in chunks]
-        ids = {}
-        for word in set(chain.from_iterable(parts)):
-            plain = word.isascii() and word.isprintable()
-            shown = word if plain else word.encode("utf-8").decode("latin-1").translate(BYTE_CHARACTERS)
-            ids[word] = array("I", [token.id for token in self.model.tokenize(shown)]).tobytes()
-        return [b"".join([ids[word] for word in words]) for words in parts]
+            self.word_ids.clear()
+        ids_of = list(map(self.cache.get, chunks))
+        for i, found in enumerate(ids_of):
+            if found is None:
+                chunk = chunks[i]
+                ids_of[i] = found = self.encode_chunk(chunk)
+                if len(chunk) <= CACHED_CHARS:
+                    self.cache[chunk] = found
+        return strung(ids_of, coded.indices.to_numpy(), cut.offsets.to_numpy())
+
+    def encode_chunk(self, chunk: str) -> bytes:
+        """The ids of a chunk. Its words are normal already, so they go straight to the tokenizer's model."""
+        if chunk.isalpha():  # one word
+            return self.encode_word(chunk)
+        return b"".join(map(self.encode_word, self.words(chunk)))
+
+    def encode_word(self, word: str) -> bytes:
+        found = self.word_ids.get(word)
+        if found is None:
+            shown = word
+            if not word.isascii() or not word.isprintable():
+                shown = word.encode("utf-8").decode("latin-1").translate(BYTE_CHARACTERS)
+            found = array("I", [token.id for token in self.model.tokenize(shown)]).tobytes()
+            if len(word) <= CACHED_CHARS:
+                self.word_ids[word] = found
+        return found
+
+
+def strung(parts: list[bytes], order: np.ndarray, bounds: np.ndarray) -> list[bytes]:
+    """The ids of ``parts[order]``, one row for each pair of neighbouring bounds."""
+    sizes = np.fromiter(map(len, parts), np.int64, len(parts)) // ID_BYTES
+    starts = np.cumsum(sizes) - sizes
+    ids = np.frombuffer(b"".join(parts), "<u4")
+    taken = sizes[order]
+    ends = np.concatenate([[0], np.cumsum(taken)])
+    place = np.repeat(starts[order] - ends[:-1], taken) + np.arange(ends[-1])
+    whole = ids[place]
+    at = ends[bounds]
+    return [whole[a:b].tobytes() for a, b in zip(at[:-1], at[1:])]
 
 
 @lru_cache(maxsize=1)
@@ -122,7 +154,7 @@ def pieces(docs: DataFrame, path: str, capacity: int = CAPACITY) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tokenizer = _tokenizer(path)
-        for batch in text_slices(batches):
+        for batch in text_slices(batches, slice_bytes=SLICE_BYTES):
             rows: list[list] = [[], [], [], [], []]
             for doc_id, ids in zip(batch.column("doc_id").to_pylist(), tokenizer.encode(batch.column("text").to_pylist())):
                 ids += END_ID.to_bytes(ID_BYTES, "little")
