@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .. import fixed_values as fv
 
@@ -75,6 +78,42 @@ def kolmogorov_p_value(d: Column, n1: Column, n2: Column, terms: int = 100) -> C
     return F.when(lam < 0.2, F.lit(1.0)).otherwise(F.greatest(F.lit(0.0), F.least(F.lit(1.0), series)))
 
 
+def two_sample_p_value(d: float, n1: int, n2: int) -> float:
+    """Probability that two samples of these sizes from one continuous distribution differ by ``d`` or more.
+
+    Merging the samples in order draws their rows without replacement: after k draws, i from the first, the next one is
+    from the first with probability (n1 - i) / (n1 + n2 - k). The walks that stay closer than ``d`` to the diagonal are
+    followed draw by draw, as one vector over the values of i inside the band.
+    """
+    n1, n2 = int(n1), int(n2)
+    both = n1 + n2
+    limit = round(d * n1 * n2)  # the distance is a whole number of 1 / (n1 n2)
+    if limit <= 0 or not n1 or not n2:
+        return 1.0
+    low, inside = 0, np.ones(1)
+    for k in range(both):
+        first = max(0, k + 1 - n2, ((k + 1) * n1 - limit) // both + 1)
+        last = min(n1, k + 1, -(-((k + 1) * n1 + limit) // both) - 1)
+        if first > last:
+            return 1.0
+        i = np.arange(low, low + len(inside))
+        moved = np.zeros(len(inside) + 1)  # values of i from low on
+        moved[:-1] = inside * (n2 - k + i)
+        moved[1:] += inside * (n1 - i)
+        kept = np.zeros(last - first + 1)
+        start, stop = max(first, low), min(last, low + len(inside)) + 1
+        kept[start - first : stop - first] = moved[start - low : stop - low] / (both - k)
+        low, inside = first, kept
+    return float(min(1.0, max(0.0, 1.0 - inside[n1 - low])))
+
+
+@F.pandas_udf(T.DoubleType())
+def exact_p_value(d: pd.Series, n1: pd.Series, n2: pd.Series) -> pd.Series:
+    """``two_sample_p_value`` of each row, null for a null distance: for reports of a row per feature."""
+    found = [None if pd.isna(x) else two_sample_p_value(x, a, b) for x, a, b in zip(d, n1, n2)]
+    return pd.Series(found, dtype="float64")
+
+
 def psi_band(psi: Column) -> Column:
     return (
         F.when(psi < fv.PSI_WARNING, "none")

@@ -11,18 +11,25 @@ from .ranking import percentiles, running_totals, usable
 
 DECILES = [i * 10.0 / 100.0 for i in range(11)]
 QUARTILES = [0.25, 0.5, 0.75]
+#: Samples of more rows take the asymptotic p-value of the Kolmogorov-Smirnov test.
+EXACT_ROWS = 10_000
+
+
+def _long(rows: DataFrame, ids: list[str], features: list[str], kind: str, name: str) -> DataFrame:
+    """(ids, feature, value) by ``inline``: plans that read the long form twice share its shuffle, which they would not
+    with ``unpivot``, whose copies the planner does not recognise as equal."""
+    cells = [F.struct(F.lit(f).alias("feature"), F.col(f"`{f}`").cast(kind).alias(name)) for f in features]
+    return rows.select(*ids, F.inline(F.array(*cells)))
 
 
 def unpivot_features(rows: DataFrame, ids: list[str], features: list[str]) -> DataFrame:
     """Long form (ids, feature, value) with NULL and NaN values left out."""
-    numeric = rows.select(*ids, *[F.col(f"`{f}`").cast("double").alias(f) for f in features])
-    long = numeric.unpivot(ids, features, "feature", "value")
-    return long.where(usable(F.col("value")))
+    return _long(rows, ids, features, "double", "value").where(usable(F.col("value")))
 
 
 def unpivot_categories(rows: DataFrame, ids: list[str], features: list[str]) -> DataFrame:
-    text = rows.select(*ids, *[F.col(f"`{f}`").cast("string").alias(f) for f in features])
-    return text.unpivot(ids, features, "feature", "category").where(F.col("category").isNotNull())
+    """Long form (ids, feature, category) with NULL values left out."""
+    return _long(rows, ids, features, "string", "category").where(F.col("category").isNotNull())
 
 
 # --- score histograms -----------------------------------------------------------------
@@ -97,7 +104,7 @@ def aligned_shares(expected: DataFrame, actual: DataFrame, on: list[str]) -> Dat
 
 
 def characteristic_stability(expected: DataFrame, actual: DataFrame, features: list[str]) -> DataFrame:
-    """CSI per categorical feature between two samples."""
+    """CSI per categorical feature between two tables."""
     sides = [
         category_shares(unpivot_categories(side, [], features), ["feature"], "category")
         for side in (expected, actual)
@@ -108,6 +115,20 @@ def characteristic_stability(expected: DataFrame, actual: DataFrame, features: l
     )
 
 
+def sample_stability(
+    rows: DataFrame, features: list[str], sample: str = "split", expected: str = "train", actual: str = "oot"
+) -> DataFrame:
+    """CSI per categorical feature between two samples of ``rows``, which are read once: both samples are counted in
+    one aggregate, and the totals are sums of its result."""
+    long = unpivot_categories(rows.where(F.col(sample).isin(expected, actual)), [sample], features)
+    counts = long.groupBy("feature", "category").agg(
+        F.count_if(F.col(sample) == expected).alias("e"), F.count_if(F.col(sample) == actual).alias("a")
+    )
+    totals = counts.groupBy("feature").agg(F.sum("e").alias("e_all"), F.sum("a").alias("a_all"))
+    shares = [st.share(F.col(c), F.col(f"{c}_all"), fv.SHARE_FLOOR) for c in ("e", "a")]
+    return counts.join(totals, "feature").groupBy("feature").agg(F.sum(st.index_term(*shares)).alias("csi"))
+
+
 def characteristic_stability_by_period(rows: DataFrame, period: str, features: list[str]) -> DataFrame:
     """CSI of every period against the first, per feature.
 
@@ -115,7 +136,8 @@ def characteristic_stability_by_period(rows: DataFrame, period: str, features: l
     reference once, and taking it back where the period does have the category, needs one
     equi-join and no pairing of periods with categories.
     """
-    counts = unpivot_categories(rows, [period], features).groupBy("feature", period, "category").agg(
+    dated = rows.where(F.col(period).isNotNull())  # here, so that all uses of the counts have one plan
+    counts = unpivot_categories(dated, [period], features).groupBy("feature", period, "category").agg(
         F.count(F.lit(1)).alias("n")
     )
     # One row per (feature, period): the window below sees no categories.
@@ -139,6 +161,12 @@ def characteristic_stability_by_period(rows: DataFrame, period: str, features: l
 
 
 # --- numeric features -------------------------------------------------------------------------
+def null_shares(rows: DataFrame, ids: list[str], features: list[str]) -> DataFrame:
+    """(ids, feature, null_pct) from one aggregate over the rows."""
+    missing = [(F.avg((~usable(F.col(f"`{f}`").cast("double"))).cast("double")) * 100.0).alias(f) for f in features]
+    return rows.groupBy(*ids).agg(*missing).unpivot(ids, features, "feature", "null_pct")
+
+
 def value_totals(rows: DataFrame, sample: str, expected: str, actual: str, features: list[str]) -> DataFrame:
     """Running counts of two samples over the pooled distinct values of each feature."""
     long = unpivot_features(rows.where(F.col(sample).isin(expected, actual)), [sample], features)
@@ -160,19 +188,29 @@ def _sample_sizes() -> list[Column]:
     return [F.max("expected_all").alias("n_expected"), F.max("actual_all").alias("n_actual")]
 
 
-def _p_value() -> Column:
-    return st.kolmogorov_p_value(F.col("ks_stat"), F.col("n_expected"), F.col("n_actual"))
+def _p_value(exact_rows: int) -> dict[str, Column]:
+    """Columns ``p_value`` and ``method`` of rows with ks_stat and sample sizes; one row for each feature."""
+    sizes = [F.col("n_expected"), F.col("n_actual")]
+    few = F.greatest(*sizes) <= exact_rows
+    distance = F.when(few, F.col("ks_stat"))  # null, and so no recurrence, for larger samples
+    exact = st.exact_p_value(distance, *sizes)
+    return {
+        "p_value": F.when(few, exact).otherwise(st.kolmogorov_p_value(F.col("ks_stat"), *sizes)),
+        "method": F.when(few, "exact").otherwise("asymptotic"),
+    }
 
 
-def ks_statistic(totals: DataFrame) -> DataFrame:
-    """Largest distance of the two empirical distributions, and its asymptotic p-value."""
+def ks_statistic(totals: DataFrame, exact_rows: int = EXACT_ROWS) -> DataFrame:
+    """Largest distance of the two empirical distributions, its p-value and the ``method`` of that: ``exact`` where both
+    samples have at most ``exact_rows`` rows, else ``asymptotic``."""
     widest = totals.groupBy("feature").agg(_widest_gap(), *_sample_sizes())
-    return widest.withColumn("p_value", _p_value())
+    return widest.withColumns(_p_value(exact_rows))
 
 
 def quantile_edges(totals: DataFrame, measure: str = "expected", bins: int = 10) -> DataFrame:
     """Sorted array of ``bins + 1`` percentile edges per feature."""
-    cuts = percentiles(totals, ["feature"], "value", measure, [i * (100.0 / bins) / 100.0 for i in range(bins + 1)])
+    probabilities = [i * (100.0 / bins) / 100.0 for i in range(bins + 1)]
+    cuts = percentiles(totals, ["feature"], "value", measure, probabilities, beside=["expected", "actual"])
     return cuts.groupBy("feature").agg(F.sort_array(F.collect_list("percentile")).alias("edges"))
 
 
@@ -222,13 +260,14 @@ def drift_table(
     max_p: float = 0.05,
     max_psi: float = 0.1,
     bins: int = 10,
+    exact_rows: int = EXACT_ROWS,
 ) -> DataFrame:
     """KS, p-value, quantile PSI and drift flag for every feature, in one aggregate."""
     totals = value_totals(rows, sample, expected, actual, features)
     counted = _with_quantile_bins(totals, bins).groupBy("feature").agg(
         _widest_gap(), *_quantile_counts(bins), *_sample_sizes()
     )
-    both = counted.select("feature", "ks_stat", _p_value().alias("p_value"), _quantile_index().alias("psi"))
+    both = counted.withColumns(_p_value(exact_rows)).select("feature", "ks_stat", "p_value", _quantile_index().alias("psi"))
     flagged = F.coalesce(F.col("p_value") < max_p, F.lit(False)) | F.coalesce(
         F.col("psi") > max_psi, F.lit(False)
     )

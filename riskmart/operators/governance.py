@@ -132,3 +132,64 @@ def alerts(observed: DataFrame, keys: list[str], rules: dict | None = None) -> D
             )
         )
     return observed.select(*keys, F.inline(F.array(*rows)))
+
+
+def observations(wide: DataFrame, keys: list[str], metrics: list[str]) -> DataFrame:
+    """Long form (keys, metric, value, baseline) of a table with a column per metric; the baseline is ``base_<metric>``,
+    or null where there is no such column."""
+    cells = []
+    for metric in metrics:
+        base = F.col(f"base_{metric}") if f"base_{metric}" in wide.columns else F.lit(None)
+        cells.append(
+            F.struct(
+                F.lit(metric).alias("metric"),
+                F.col(metric).cast("double").alias("value"),
+                base.cast("double").alias("baseline"),
+            )
+        )
+    return wide.select(*keys, F.inline(F.array(*cells)))
+
+
+def scan_rules(observed: DataFrame, keys: list[str], rules: dict | None = None) -> DataFrame:
+    """(keys, rule, value, limit, alert): every rule held against every observation of its metric, in one pass.
+
+    ``observed``: (keys, metric, value, baseline), whatever is observed: models, features, months. A relative rule
+    says nothing where there is no baseline; an unknown value raises no alert.
+    """
+    table = F.array(
+        *[
+            F.struct(
+                F.lit(name).alias("rule"),
+                F.lit(metric).alias("on"),
+                F.lit(float(limit)).alias("bound"),
+                F.lit(above).alias("above"),
+                F.lit(relative).alias("relative"),
+            )
+            for name, (metric, limit, above, relative) in (rules or ALERT_RULES).items()
+        ]
+    )
+    usable = F.filter(table, lambda r: (r["on"] == F.col("metric")) & (~r["relative"] | F.col("baseline").isNotNull()))
+    held = observed.select(*keys, "value", "baseline", F.inline(usable))
+    limit = F.when(F.col("relative"), F.col("baseline") * F.col("bound")).otherwise(F.col("bound"))
+    broken = F.when(F.col("above"), F.col("value") > limit).otherwise(F.col("value") < limit)
+    return held.select(*keys, "rule", "value", limit.alias("limit"), F.coalesce(broken, F.lit(False)).alias("alert"))
+
+
+def monitoring_thresholds(baseline: DataFrame, limits: dict | None = None) -> DataFrame:
+    """The thresholds document: absolute rules as they are, relative ones worked out from ``baseline`` (one row with a
+    column per metric)."""
+    rules = limits or ALERT_RULES
+    bounds = {
+        name: F.col(metric).cast("double") * limit if relative else F.lit(float(limit))
+        for name, (metric, limit, _above, relative) in rules.items()
+        if not relative or metric in baseline.columns
+    }
+    groups = {
+        "performance": ["min_gini", "min_auc"],
+        "drift": ["max_psi", "critical_psi", "max_ks_stat"],
+        "predictions": ["max_pred_shift", "min_pred_rate", "max_pred_rate"],
+        "data_quality": ["max_null_pct", "min_records_per_month"],
+    }
+    return baseline.select(
+        *[F.struct(*[bounds[r].alias(r) for r in names if r in bounds]).alias(group) for group, names in groups.items()]
+    )

@@ -13,8 +13,6 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..sources.scratch import materialize
-
 PIECE = "_piece"
 
 
@@ -34,10 +32,15 @@ def tied_counts(rows: DataFrame, keys: list[str], score: str, label: str) -> Dat
     )
 
 
-def in_pieces(counts: DataFrame, keys: list[str], order: str, descending: bool = False) -> DataFrame:
-    """Range-partition by (keys, order); ``_piece`` numbers the ranges in that order."""
+def in_pieces(
+    counts: DataFrame, keys: list[str], order: str, descending: bool = False, pieces: int | None = None
+) -> DataFrame:
+    """Range-partition by (keys, order); ``_piece`` numbers the ranges in that order. A given number of ``pieces`` is
+    kept by the adaptive planner, so that all readers of the shuffle see the same ones."""
     direction = F.col(order).desc() if descending else F.col(order).asc()
-    return counts.repartitionByRange(*keys, direction).withColumn(PIECE, F.spark_partition_id())
+    columns = [*map(F.col, keys), direction]
+    ranged = counts.repartitionByRange(*columns) if pieces is None else counts.repartitionByRange(pieces, *columns)
+    return ranged.withColumn(PIECE, F.spark_partition_id())
 
 
 def rank_sum(
@@ -81,27 +84,26 @@ def auc_from_rank_sum() -> Column:
     return F.when(pairs > 0, F.col("rank_sum") / pairs)
 
 
-def same_keys(left: DataFrame, right: DataFrame, keys: list[str]) -> Column:
-    """NULL-safe equality on all keys, so that a NULL group is kept."""
-    return reduce(lambda a, b: a & b, [left[k].eqNullSafe(right[k]) for k in keys])
-
-
 def running_totals(
     counts: DataFrame, keys: list[str], order: str, measures: list[str], descending: bool = False
 ) -> DataFrame:
     """Add, for each measure, ``<m>_to`` (inclusive running total in the group) and
     ``<m>_all`` (group total).
 
-    The offsets of the pieces are joined back onto the rows, so both sides must see the same
-    ranges; range bounds are sampled, hence the collapsed table is written once.
+    A prefix sum: rows are summed inside each range piece, the pieces' sums are added up, and each piece is shifted by
+    the sums before it. Rows and sums come from one shuffle, which the planner reuses, so the input is read once and
+    nothing is written. Range bounds are sampled, so a plan without the reuse could see other pieces: a row beyond
+    the sums of its piece is an error, never a wrong total.
     """
-    stored = materialize(in_pieces(counts, keys, order, descending), "pieces")
-    per_piece = stored.groupBy(*keys, PIECE).agg(*[F.sum(m).alias(m) for m in measures])
+    spark = counts.sparkSession
+    pieces = in_pieces(counts, keys, order, descending, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    per_piece = pieces.groupBy(*keys, PIECE).agg(*[F.sum(m).alias(m) for m in measures])
     earlier = Window.partitionBy(*keys).orderBy(PIECE).rowsBetween(Window.unboundedPreceding, -1)
     whole = Window.partitionBy(*keys)
     offsets = per_piece.select(
-        *keys,
-        PIECE,
+        *[F.col(k).alias(f"_k_{k}") for k in keys],
+        F.col(PIECE).alias("_k_piece"),
+        *[F.col(m).alias(f"{m}_piece") for m in measures],
         *[F.coalesce(F.sum(m).over(earlier), F.lit(0)).alias(f"{m}_before") for m in measures],
         *[F.sum(m).over(whole).alias(f"{m}_all") for m in measures],
     )
@@ -109,21 +111,32 @@ def running_totals(
     inside = (
         Window.partitionBy(*keys, PIECE).orderBy(direction).rowsBetween(Window.unboundedPreceding, 0)
     )
-    local = stored.select("*", *[F.sum(m).over(inside).alias(f"{m}_in") for m in measures])
-    joined = local.join(offsets, same_keys(local, offsets, [*keys, PIECE]), "inner")
+    local = pieces.select("*", *[F.sum(m).over(inside).alias(f"{m}_in") for m in measures])
+    match = local[PIECE] == offsets["_k_piece"]
+    for k in keys:
+        match &= local[k].eqNullSafe(offsets[f"_k_{k}"])
+    joined = local.join(offsets, match, "left")
+
+    def running(m: str) -> Column:
+        same = F.col(f"{m}_in") <= F.col(f"{m}_piece")  # null where the piece has no sums
+        return F.when(same, F.col(f"{m}_before") + F.col(f"{m}_in")).otherwise(
+            F.raise_error(F.lit("the range pieces of a ranking differ; is spark.sql.exchange.reuse off?")).cast("long")
+        )
+
     return joined.select(
         *[local[c] for c in counts.columns],
-        *[(F.col(f"{m}_before") + F.col(f"{m}_in")).alias(f"{m}_to") for m in measures],
+        *[running(m).alias(f"{m}_to") for m in measures],
         *[F.col(f"{m}_all") for m in measures],
     )
 
 
 def percentiles(
-    totals: DataFrame, keys: list[str], value: str, measure: str, probabilities: list[float]
+    totals: DataFrame, keys: list[str], value: str, measure: str, probabilities: list[float], beside: list[str] | None = None
 ) -> DataFrame:
     """Exact percentiles with linear interpolation, from running totals of ``measure``.
 
-    Result: keys, ``position`` (index into ``probabilities``) and ``percentile``.
+    Result: keys, ``position`` (index into ``probabilities``) and ``percentile``. A plan that also reads the totals of
+    other measures names them in ``beside``: they are kept to the end here, so that both parts have one shuffle.
     """
     last = F.col(f"{measure}_all").cast("double") - 1.0
     wanted = []
@@ -145,7 +158,8 @@ def percentiles(
     # Few values carry a wanted rank: a plain condition drops the others before any array is built.
     carries_rank = reduce(lambda a, b: a | b, [(r >= start) & (r < end) for _, r, _, _ in wanted])
     hits = F.filter(targets, lambda t: (t["rank"] >= start) & (t["rank"] < end))
-    found = totals.where((F.col(measure) > 0) & carries_rank).select(
+    kept = reduce(lambda a, b: a & b, [F.col(f"{m}_to") >= 0 for m in beside or []], F.col(measure) > 0)
+    found = totals.where(kept & carries_rank).select(
         *keys, F.col(value).alias("_v"), F.inline(hits)
     )
     ends = found.groupBy(*keys, "position").agg(

@@ -190,7 +190,7 @@ def with_blocks(body: str, *blocks: str, extra: dict[str, str] | None = None) ->
         add(block)
     parts = [f"{name} AS ({_BLOCKS[name][1]})" for name in ordered]
     parts += [f"{name} AS ({text})" for name, text in (extra or {}).items()]
-    return f"WITH {', '.join(parts)} {body}" if parts else body
+    return f"WITH RECURSIVE {', '.join(parts)} {body}" if parts else body
 
 
 def bin_case(score: str, bins: int = 10) -> str:
@@ -359,9 +359,18 @@ def drift_blocks(features: list[str], source: str = "model_rows") -> dict[str, s
         "ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)",
         "kss": "SELECT feature, max(abs(CAST(ec AS DOUBLE) / ne - CAST(ac AS DOUBLE) / na)) AS ks_stat, "
         "CAST(max(ne) AS DOUBLE) AS ne, CAST(max(na) AS DOUBLE) AS na FROM cums GROUP BY feature",
-        "lams": "SELECT *, ks_stat * sqrt(ne * na / (ne + na)) AS lam FROM kss",
-        "ksp": f"SELECT feature, ks_stat, CASE WHEN lam < 0.2 THEN 1.0 ELSE greatest(0.0, least(1.0, {series})) END "
-        "AS p_value FROM lams",
+        "lams": "SELECT *, ks_stat * sqrt(ne * na / (ne + na)) AS lam, greatest(ne, na) <= 10000 AS few, "
+        "CAST(round(ks_stat * ne * na) AS BIGINT) AS lim, CAST(ne AS BIGINT) AS n1, CAST(ne + na AS BIGINT) AS nn FROM kss",
+        # Draws without replacement that stay inside the band, one after another.
+        "walk": "SELECT feature, CAST(0 AS BIGINT) AS k, CAST(0 AS BIGINT) AS i, CAST(1 AS DOUBLE) AS p FROM lams WHERE few AND lim > 0 "
+        "UNION ALL SELECT feature, k + 1, i + s, sum(p * CASE WHEN s = 1 THEN n1 - i ELSE nn - n1 - k + i END / (nn - k)) "
+        "FROM walk JOIN lams USING (feature), (VALUES (0), (1)) steps(s) "
+        "WHERE k < nn AND abs((i + s) * nn - (k + 1) * n1) < lim AND i + s <= n1 AND k + 1 - i - s <= nn - n1 "
+        "GROUP BY feature, k, i + s",
+        "walked": "SELECT feature, max(p) AS inside FROM walk JOIN lams USING (feature) WHERE k = nn GROUP BY feature",
+        "ksp": "SELECT feature, ks_stat, few, CASE WHEN few AND lim <= 0 THEN 1.0 WHEN few THEN 1 - coalesce(inside, 0) "
+        f"WHEN lam < 0.2 THEN 1.0 ELSE greatest(0.0, least(1.0, {series})) END "
+        "AS p_value FROM lams LEFT JOIN walked USING (feature)",
         "lists": "SELECT feature, list(value ORDER BY value) AS vals, count(*) AS n FROM long WHERE split = 'train' "
         "GROUP BY feature",
         "edges": f"SELECT feature, [{edges}] AS edges FROM lists",

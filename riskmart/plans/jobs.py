@@ -17,7 +17,7 @@ from .. import fixed_values as fv
 from .. import schemas
 from ..config import RiskConfig, Thresholds
 from ..functions.dates import snapshot_month, with_split
-from ..operators import governance, layers, metrics, monitoring, quality, registry, scaling, training
+from ..operators import drift, governance, layers, metrics, monitoring, quality, registry, scaling, training
 from ..sources import readers, version_index, writers
 from ..sources.scratch import materialize
 
@@ -169,6 +169,28 @@ SPLIT_ROWS = T.StructType(
 )
 
 
+def store_baseline(
+    spark: SparkSession, staged: DataFrame, scored: DataFrame, path: str, features: list[str] = fv.MODEL_FEATURES
+) -> DataFrame:
+    """The files that later months are held against, below ``path``: ``features`` (JSON), ``baseline`` statistics of the
+    train rows (JSON), ``drift`` from train to out-of-time (CSV) and ``thresholds`` (JSON). Returns the drift table.
+
+    ``staged`` has the features by split, ``scored`` the scores and labels by split of the model that is watched.
+    """
+    order = [(i, name) for i, name in enumerate(features)]
+    writers.write_json(spark.createDataFrame(order, "position int, feature string").coalesce(1), f"{path}/features")
+    train = staged.where(F.col("split") == "train")
+    writers.write_json(drift.baseline_statistics(train, features), f"{path}/baseline")
+    found = materialize(drift.drift_table(staged, features), "drift")
+    writers.write_csv(found, f"{path}/drift", decimals={c: 6 for c in ("ks_stat", "p_value", "psi")})
+    out_of_time = scored.where(F.col("split") == "oot")
+    auc = metrics.roc_auc(out_of_time, ["split"], "model_predictions", "label")
+    rate = out_of_time.groupBy("split").agg(F.avg("model_predictions").alias("pred_rate"))
+    observed = auc.join(rate, "split").withColumn("gini", metrics.gini(F.col("auc")))
+    writers.write_json(governance.monitoring_thresholds(observed), f"{path}/thresholds")
+    return found
+
+
 def load_run(spark: SparkSession, run_path: str) -> tuple[DataFrame, scaling.Scaler]:
     """The splits and the scaler of a preprocessing run."""
     table = spark.read.schema(scaling.SCALER_SCHEMA).parquet(f"{run_path}/scaler")

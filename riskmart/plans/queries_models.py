@@ -597,8 +597,7 @@ CSI_FEATURES = ["race", "age", "diag_1"]
 )
 def _(t: Tables):
     rows = dates.with_split(t.silver.select(*CSI_FEATURES, "snapshot_date"), SPLITS)
-    train, oot = (rows.where(F.col("split") == s) for s in ("train", "oot"))
-    return drift.characteristic_stability(train, oot, CSI_FEATURES).select("feature", r6("csi"))
+    return drift.sample_stability(rows, CSI_FEATURES).select("feature", r6("csi"))
 
 
 @query(
@@ -613,14 +612,15 @@ def _(t: Tables):
 @query(
     "d4_ks_test",
     c.with_blocks(
-        "SELECT feature, round(ks_stat, 6) AS ks_stat, round(p_value, 6) AS p_value FROM ksp",
+        "SELECT feature, round(ks_stat, 6) AS ks_stat, round(p_value, 6) AS p_value, "
+        "CASE WHEN few THEN 'exact' ELSE 'asymptotic' END AS method FROM ksp",
         "model_rows",
-        extra={k: DRIFTS[k] for k in ("long", "vals", "cums", "kss", "lams", "ksp")},
+        extra={k: DRIFTS[k] for k in ("long", "vals", "cums", "kss", "lams", "walk", "walked", "ksp")},
     ),
 )
 def _(t: Tables):
     totals = drift.value_totals(t.model_rows, "split", "train", "oot", DRIFT_FEATURES)
-    return drift.ks_statistic(totals).select("feature", r6("ks_stat"), r6("p_value"))
+    return drift.ks_statistic(totals).select("feature", r6("ks_stat"), r6("p_value"), "method")
 
 
 @query(
@@ -719,19 +719,64 @@ def decisions(t: Tables):
 query("d10_governance_decision", DECIDED_SQL)(decisions)
 
 
+FEATURE_RULES = {"max_psi": ("psi", 0.2), "critical_psi": ("psi", 0.5), "max_ks_stat": ("ks_stat", 0.15), "max_null_pct": ("null_pct", 5.0)}
+EXTRA_FEATURE_RULES = {"data_drift_psi": ("psi", 0.2), "missing_rate": ("null_pct", 10.0)}
+
+
+def _feature_alerts_sql(rules: dict) -> str:
+    return " UNION ALL ".join(
+        f"SELECT CAST(NULL AS VARCHAR) AS model_algorithm, feature, '{rule}' AS rule, round({metric}, 6) AS value, "
+        f'CAST({limit} AS DOUBLE) AS "limit", {metric} > {limit} AS alert FROM seen'
+        for rule, (metric, limit) in rules.items()
+    )
+
+
+#: PSI and KS of train against out-of-time, and the share of missing values out of time, by feature.
+SEEN = {
+    **{k: v for k, v in DRIFTS.items() if k not in ("lams", "walk", "walked", "ksp", "drifts")},
+    "missing": " UNION ALL ".join(
+        f"SELECT '{f}' AS feature, avg(CASE WHEN {f} IS NULL THEN CAST(100 AS DOUBLE) ELSE 0 END) AS null_pct FROM model_rows WHERE split = 'oot'"
+        for f in DRIFT_FEATURES
+    ),
+    "seen": "SELECT feature, ks_stat, psi, null_pct FROM kss JOIN qpsi USING (feature) JOIN missing USING (feature)",
+}
+
+
+def _feature_observations(t: Tables):
+    """(feature, metric, value) of the model features: drift from train to out-of-time, missing values out of time."""
+    drifted = drift.drift_table(t.model_rows, fv.MODEL_FEATURES, exact_rows=0)
+    missing = drift.null_shares(t.model_rows.where(F.col("split") == "oot"), ["split"], fv.MODEL_FEATURES)
+    return layers.stack_rows(
+        [
+            governance.observations(drifted, ["feature"], ["psi", "ks_stat"]),
+            governance.observations(missing, ["feature"], ["null_pct"]),
+        ]
+    )
+
+
+def _all_alerts(models, features, rules: dict):
+    """Alerts over the long table of all observations: those of models and those of features."""
+    by_model = models.withColumn("feature", F.lit(None).cast("string"))
+    by_feature = features.withColumn("model_algorithm", F.lit(None).cast("string"))
+    found = governance.scan_rules(by_model.unionByName(by_feature), ["model_algorithm", "feature"], rules)
+    return found.select("model_algorithm", "feature", "rule", r6("value"), r6("limit"), "alert")
+
+
 @query(
     "d11_baseline_alerts",
     c.with_blocks(
-        "SELECT model_algorithm, rule, round(value, 6) AS value, round(bound, 6) AS \"limit\", alert FROM ("
+        "SELECT model_algorithm, CAST(NULL AS VARCHAR) AS feature, rule, round(value, 6) AS value, round(bound, 6) AS \"limit\", alert FROM ("
         "SELECT o.model_algorithm, 'min_gini' AS rule, 2 * o.auc - 1 AS value, 0.9::DOUBLE * (2 * b.auc - 1) AS bound, 2 * o.auc - 1 < 0.9::DOUBLE * (2 * b.auc - 1) AS alert "
         "FROM o JOIN b USING (model_algorithm) UNION ALL "
         "SELECT o.model_algorithm, 'min_auc', o.auc, 0.9::DOUBLE * b.auc, o.auc < 0.9::DOUBLE * b.auc FROM o JOIN b USING (model_algorithm) UNION ALL "
         "SELECT model_algorithm, 'max_pred_shift', shift, 0.05::DOUBLE, shift > 0.05::DOUBLE FROM s UNION ALL "
         "SELECT model_algorithm, 'min_pred_rate', rate, 0.8::DOUBLE * base, rate < 0.8::DOUBLE * base FROM s UNION ALL "
         "SELECT model_algorithm, 'max_pred_rate', rate, 1.2::DOUBLE * base, rate > 1.2::DOUBLE * base FROM s UNION ALL "
-        "SELECT model_algorithm, 'min_records_per_month', n, 1000::DOUBLE, n < 1000 FROM s)",
+        "SELECT model_algorithm, 'min_records_per_month', n, 1000::DOUBLE, n < 1000 FROM s) UNION ALL " + _feature_alerts_sql(FEATURE_RULES),
         "split_scores",
+        "model_rows",
         extra={
+            **SEEN,
             "aucs": c.auc_sql("split_scores", "model_algorithm, split"),
             "b": "SELECT model_algorithm, auc FROM aucs WHERE split = 'test'",
             "o": "SELECT model_algorithm, auc FROM aucs WHERE split = 'oot'",
@@ -744,10 +789,13 @@ query("d10_governance_decision", DECIDED_SQL)(decisions)
     ),
 )
 def _(t: Tables):
-    return _alerts(t).select("model_algorithm", "rule", r6("value"), r6("limit"), "alert")
+    metrics = ["auc", "gini", "pred_shift", "pred_rate", "row_count"]
+    models = governance.observations(_observed(t), ["model_algorithm"], metrics)
+    return _all_alerts(models, _feature_observations(t), governance.ALERT_RULES)
 
 
-def _alerts(t: Tables):
+def _observed(t: Tables):
+    """One row per model: the metrics that rules watch, and ``base_`` ones of the test split."""
     auc = m.roc_auc(t.split_scores, MODEL_SPLIT, SCORE, LABEL)
     quality_now = auc.groupBy("model_algorithm").agg(
         F.max(F.when(F.col("split") == "oot", F.col("auc"))).alias("auc"),
@@ -763,10 +811,9 @@ def _alerts(t: Tables):
         mean["test"].alias("base_pred_rate"),
         F.min(F.when(F.col("split") == "oot", F.col("n"))).alias("row_count"),
     )
-    observed = quality_now.join(scores, "model_algorithm").withColumns(
+    return quality_now.join(scores, "model_algorithm").withColumns(
         {"gini": m.gini(F.col("auc")), "base_gini": m.gini(F.col("base_auc"))}
     )
-    return governance.alerts(observed, ["model_algorithm"])
 
 
 # --- R: registry -------------------------------------------------------------------------------------------------------
@@ -947,11 +994,13 @@ def _(t: Tables):
 @query(
     "x3_documented_alerts",
     c.with_blocks(
-        "SELECT model_algorithm, 'accuracy_drop' AS rule, round(o, 6) AS value, round(0.95::DOUBLE * b, 6) AS \"limit\", o < 0.95::DOUBLE * b AS alert FROM "
+        "SELECT model_algorithm, CAST(NULL AS VARCHAR) AS feature, 'accuracy_drop' AS rule, round(o, 6) AS value, round(0.95::DOUBLE * b, 6) AS \"limit\", o < 0.95::DOUBLE * b AS alert FROM "
         f"(SELECT model_algorithm, max(acc) FILTER (WHERE split = 'oot') AS o, max(acc) FILTER (WHERE split = 'test') AS b FROM "
-        f"(SELECT model_algorithm, split, {c.RATES['accuracy']} AS acc FROM conf) GROUP BY 1)",
+        f"(SELECT model_algorithm, split, {c.RATES['accuracy']} AS acc FROM conf) GROUP BY 1) UNION ALL "
+        + _feature_alerts_sql(EXTRA_FEATURE_RULES),
         "split_scores",
-        extra={"conf": CONFUSION_SQL},
+        "model_rows",
+        extra={"conf": CONFUSION_SQL, **SEEN},
     ),
 )
 def _(t: Tables):
@@ -960,8 +1009,8 @@ def _(t: Tables):
         F.max(F.when(F.col("split") == "oot", F.col("accuracy"))).alias("accuracy"),
         F.max(F.when(F.col("split") == "test", F.col("accuracy"))).alias("base_accuracy"),
     )
-    found = governance.alerts(observed, ["model_algorithm"], governance.EXTRA_ALERT_RULES)
-    return found.select("model_algorithm", "rule", r6("value"), r6("limit"), "alert")
+    models = governance.observations(observed, ["model_algorithm"], ["accuracy"])
+    return _all_alerts(models, _feature_observations(t), governance.EXTRA_ALERT_RULES)
 
 
 @query(

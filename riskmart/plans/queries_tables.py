@@ -544,6 +544,34 @@ def _(t: Tables):
     return t.spark.read.schema(schema).option("header", True).csv(path)
 
 
+@query(
+    "k10_thresholds_file",
+    c.with_blocks(
+        "SELECT round(0.9::DOUBLE * (2 * auc - 1), 6) AS min_gini, round(0.9::DOUBLE * auc, 6) AS min_auc, "
+        "CAST(0.2 AS DOUBLE) AS max_psi, CAST(0.15 AS DOUBLE) AS max_ks_stat, "
+        "round(0.8::DOUBLE * rate, 6) AS min_pred_rate, round(1.2::DOUBLE * rate, 6) AS max_pred_rate, "
+        "CAST(5 AS DOUBLE) AS max_null_pct, CAST(1000 AS DOUBLE) AS min_records_per_month, 14 AS features FROM "
+        "(SELECT auc FROM aucs WHERE model_algorithm = 'xgboost' AND split = 'oot') CROSS JOIN "
+        "(SELECT avg(model_predictions) AS rate FROM split_scores WHERE model_algorithm = 'xgboost' AND split = 'oot')",
+        "split_scores",
+        extra={"aucs": c.auc_sql("split_scores", "model_algorithm, split")},
+    ),
+)
+def _(t: Tables):
+    path = t.path("baseline")
+    jobs.store_baseline(t.spark, jobs.stage(t.model_rows), t.split_scores.where("model_algorithm = 'xgboost'"), path)
+    names = {
+        "performance": ["min_gini", "min_auc"], "drift": ["max_psi", "max_ks_stat"],
+        "predictions": ["min_pred_rate", "max_pred_rate"], "data_quality": ["max_null_pct", "min_records_per_month"],
+    }
+    schema = ", ".join(f"{group} struct<{', '.join(f'{n}: double' for n in inner)}>" for group, inner in names.items())
+    stored = t.spark.read.schema(schema).json(f"{path}/thresholds")
+    features = t.spark.read.schema("position int, feature string").json(f"{path}/features")
+    counted = features.agg(F.count(F.lit(1)).cast("int").alias("features"))
+    values = [r6(F.col(f"{group}.{n}")).alias(n) for group, inner in names.items() for n in inner]
+    return stored.select(*values).join(F.broadcast(counted))  # one row each
+
+
 # --- P: projections, filters, predicates -----------------------------------------------------------------------
 @query(
     "p1_month_list",
