@@ -1,7 +1,8 @@
 """Main text of web pages from flat text blocks and a decision tree.
 
 A page is cut into text blocks at block-level tags, in one linear pass. A block is described by its words and
-link density, by those of the blocks before and after it, and by the kind of container it stands in. A small
+link density, by those of the blocks before and after it, by the kind of container it stands in and, where only the name
+of a container or a form speaks against it, by the share of the page's link-free text that the container holds. A small
 decision tree, trained here on the labelled table below, tells article text from the rest.
 """
 
@@ -29,6 +30,8 @@ _BLOCK = frozenset(
 _VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 #: Text in these is never shown as text of the page.
 _HIDDEN = frozenset("script style title noscript template svg iframe object canvas audio video math head".split())
+#: What a head may hold; any other tag, and text, ends it.
+_HEAD = frozenset("base basefont bgsound head html link meta noframes noscript script style template title".split())
 _RAW = frozenset("script style title textarea iframe noscript".split())
 #: Elements that end where another begins: those that the start of a tag ends, and the elements beyond which it does not.
 _CELLS, _ROWS, _GROUPS = frozenset(["td", "th"]), frozenset(["tr"]), frozenset(["thead", "tbody", "tfoot"])
@@ -47,13 +50,19 @@ _ENDS = {
 _PARAGRAPH = frozenset(["p"])
 _ENDS_P = _BLOCK - frozenset("html body button legend option optgroup select textarea".split()) - _CELLS - _ROWS - _GROUPS
 _P_SCOPE = _CELLS | _TABLE | frozenset(["button"])
-_CHROME = frozenset("nav header footer aside form button select textarea dialog menu fieldset".split())
+_CHROME = frozenset("nav header footer aside button select textarea dialog menu".split())
+#: Containers that may hold controls only, or the whole page.
+_FORMS = frozenset("form fieldset".split())
+#: Names of containers that never hold the article.
 _HINT = re.compile(
-    r"\b(ads?|adverts?|advertisements?|advertising|sponsor(ed)?|promos?|promotions?|banners?|cookies?|consent|gdpr|notices?"
-    r"|alerts?|popups?|modals?|overlays?|comments?|replies|reply|respond|discussion|disqus|sidebars?|menus?|nav|navbar"
-    r"|navigation|breadcrumbs?|footer|masthead|topbar|share|sharing|social|related|recommend(ed|ations)?|newsletter"
-    r"|subscribe|subscription|signup|login|widgets?|pagination|pager|toolbar|legal|disclaimer|copyright|contentinfo"
-    r"|complementary|search|dialog|skip|teasers?|trending|outbrain|taboola)\b"
+    r"\b(ads?|adverts?|advertisements?|advertising|sponsor(ed)?|cookies?|consent|gdpr|popups?|modals?|overlays?|comments?"
+    r"|replies|reply|respond|discussion|disqus|sidebars?|menus?|nav|navbar|navigation|breadcrumbs?|footer|related"
+    r"|recommend(ed|ations)?|newsletter|subscribe|subscription|pagination|pager|contentinfo|complementary|outbrain|taboola)\b"
+)
+#: Names that speak against a container, unless it holds most of the page's text or has a name of content too.
+_WEAK_HINT = re.compile(
+    r"\b(promos?|promotions?|banners?|notices?|alerts?|masthead|topbar|share|sharing|social|signup|login|widgets?|toolbar|legal"
+    r"|disclaimer|copyright|search|dialog|skip|teasers?|trending)\b"
 )
 _CONTENT_HINT = re.compile(r"\b(article|content|post|entry|story|main|body)\b")
 _NAMED = re.compile(r"""\b(?:class|id|role|aria-label)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]+))""", re.I)
@@ -63,10 +72,13 @@ _SPACE = re.compile(r"\s+")
 
 FEATURES = (
     "words", "link_density", "words_before", "links_before", "words_after", "links_after", "chrome", "article", "heading",
+    "doubted", "share",
 )
+#: Blocks with a smaller share of words in links count as text of their container.
+DENSE = 0.33
 
-#: Labelled blocks: the features in order, then 1 for article text. Fixed values.
-LABELLED = (
+#: Labelled blocks outside doubted containers: the features in order, then 1 for article text. Fixed values.
+LABELLED_PLAIN = (
     # words, links; before; after; in chrome, in an article, heading
     (45, 0.0, 30, 0.0, 60, 0.0, 0, 1, 0, 1), (1, 0.0, 40, 0.0, 50, 0.0, 0, 1, 0, 1), (8, 0.0, 12, 0.0, 50, 0.0, 0, 1, 1, 1),
     (2, 0.0, 3, 1.0, 40, 0.0, 0, 1, 1, 1), (120, 0.05, 2, 0.0, 3, 0.0, 0, 1, 0, 1), (3, 0.0, 8, 0.0, 1, 0.0, 0, 1, 0, 1),
@@ -85,12 +97,27 @@ LABELLED = (
     (2, 0.0, 40, 0.0, 30, 0.0, 0, 0, 0, 1), (7, 0.0, 2, 1.0, 45, 0.0, 0, 0, 1, 1), (4, 0.0, 30, 0.0, 30, 0.0, 0, 0, 1, 1),
     (10, 0.0, 1, 1.0, 60, 0.0, 0, 0, 1, 1), (30, 0.2, 60, 0.0, 1, 1.0, 0, 0, 0, 1), (16, 0.0, 20, 0.0, 3, 0.0, 0, 0, 0, 1),
     (15, 0.0, 16, 0.0, 2, 1.0, 0, 0, 0, 1), (13, 0.0, 40, 0.0, 3, 1.0, 0, 0, 0, 1), (14, 0.0, 3, 1.0, 9, 1.0, 0, 0, 0, 1),
+    (5, 0.0, 1, 1.0, 18, 0.0, 0, 0, 1, 1), (3, 0.0, 2, 1.0, 25, 0.0, 0, 0, 1, 1), (4, 0.0, 0, 0.0, 20, 0.0, 0, 0, 1, 1),
     (1, 1.0, 1, 1.0, 1, 1.0, 0, 0, 0, 0), (3, 1.0, 2, 1.0, 40, 0.0, 0, 0, 0, 0), (5, 0.8, 60, 0.0, 4, 1.0, 0, 0, 0, 0),
     (2, 0.0, 1, 1.0, 2, 1.0, 0, 0, 0, 0), (4, 0.0, 3, 0.9, 5, 0.5, 0, 0, 0, 0), (20, 0.9, 3, 1.0, 6, 1.0, 0, 0, 0, 0),
     (3, 0.0, 2, 0.0, 2, 0.0, 0, 0, 0, 0), (6, 0.0, 4, 0.0, 0, 0.0, 0, 0, 0, 0), (5, 0.0, 0, 0.0, 3, 1.0, 0, 0, 1, 0),
     (30, 0.7, 4, 1.0, 4, 1.0, 0, 0, 0, 0), (12, 0.6, 50, 0.0, 50, 0.0, 0, 0, 0, 0), (40, 0.6, 50, 0.0, 9, 0.5, 0, 0, 0, 0),
 )
 
+#: Labelled blocks of forms and of containers with a weak hint: the features, with the container's share of the page's text
+#: before the label. Fixed values.
+LABELLED_DOUBTED = (
+    (45, 0.0, 30, 0.0, 60, 0.0, 0, 0, 0, 0.95, 1), (8, 0.0, 12, 0.0, 50, 0.0, 0, 1, 1, 0.9, 1), (20, 0.1, 40, 0.0, 20, 0.0, 0, 0, 0, 0.8, 1),
+    (30, 0.0, 50, 0.0, 3, 1.0, 0, 1, 0, 0.7, 1), (120, 0.0, 4, 0.0, 90, 0.0, 0, 0, 0, 0.65, 1), (14, 0.0, 30, 0.0, 30, 0.0, 0, 1, 0, 1.0, 1),
+    (5, 0.0, 1, 1.0, 18, 0.0, 0, 0, 1, 0.95, 1), (4, 0.0, 1, 1.0, 30, 0.0, 0, 1, 1, 0.8, 1), (3, 0.0, 20, 0.0, 25, 0.0, 0, 1, 0, 0.9, 1), (15, 0.0, 1, 1.0, 30, 0.0, 0, 0, 0, 1.0, 1),
+    (6, 0.0, 1, 0.0, 20, 0.0, 0, 1, 0, 0.1, 0), (30, 0.0, 40, 0.0, 40, 0.0, 0, 1, 0, 0.2, 0), (90, 0.0, 60, 0.0, 60, 0.0, 0, 0, 0, 0.3, 0),
+    (12, 0.0, 30, 0.0, 8, 0.0, 0, 0, 0, 0.05, 0), (4, 0.0, 10, 0.0, 20, 0.0, 0, 0, 1, 0.02, 0), (150, 0.0, 90, 0.0, 4, 0.0, 0, 0, 0, 0.4, 0),
+    (20, 0.2, 50, 0.0, 50, 0.0, 0, 1, 0, 0.15, 0), (3, 1.0, 40, 0.0, 4, 1.0, 0, 0, 0, 0.9, 0), (45, 0.0, 30, 0.0, 9, 0.0, 0, 1, 0, 0.35, 0),
+)
+
+
+LABELLED = tuple((*row[:-1], 0, 1.0, row[-1]) for row in LABELLED_PLAIN) + tuple((*row[:9], 1, *row[9:]) for row in LABELLED_DOUBTED)
+
 Node = tuple  # (feature, threshold, below, above) or (label,)
 
 
@@ -128,11 +155,14 @@ def is_article(tree: Node, features: tuple) -> bool:
 
 
 class _Page:
-    """Text blocks of one page, in order: [text, words, words in links, in chrome, in an article, heading]."""
+    """Text blocks of one page, in order: [text, words, words in links, in chrome, in an article, heading, number of the
+    innermost doubted container or 0]."""
 
     def __init__(self, source: str):
         self.blocks: list[list] = []
-        self.open: list[tuple[str, bool, bool, bool]] = []  # tag, chrome, article, hidden
+        self.open: list[tuple[str, bool, bool, bool, bool]] = []  # tag, chrome, article, hidden, doubted
+        self.doubted: list[int] = []  # numbers of the open containers that are
+        self.containers = 0
         self.depths: defaultdict[str, list[int]] = defaultdict(list)  # of the open elements, by tag
         self.parts: list[str] = []
         self.linked: list[str] = []
@@ -148,8 +178,11 @@ class _Page:
             start = source.find("<", at)
             if start < 0:
                 start = size
-            if start > at and not self.hidden:
-                self._text(source[at:start])
+            if start > at:
+                if self._in_head() and not source[at:start].isspace():
+                    self._pop()
+                if not self.hidden:
+                    self._text(source[at:start])
             if start == size:
                 return
             if source.startswith("<!--", start):
@@ -191,10 +224,16 @@ class _Page:
             if text:
                 words = text.count(" ") + 1
                 linked = min(words, len("".join(self.linked).split()))
-                self.blocks.append([text, words, linked, self.chrome > 0, self.article > 0, self.heading])
+                doubt = self.doubted[-1] if self.doubted else 0
+                self.blocks.append([text, words, linked, self.chrome > 0, self.article > 0, self.heading, doubt])
         self.parts, self.linked = [], []
 
+    def _in_head(self) -> bool:
+        return bool(self.open) and self.open[-1][0] == "head"
+
     def _start(self, name: str, attributes: str) -> None:
+        if name not in _HEAD and self._in_head():
+            self._pop()
         if name == "br":
             self._text(" ")
             return
@@ -210,18 +249,23 @@ class _Page:
             self._end_omitted(_PARAGRAPH, _P_SCOPE)
         if name in _ENDS:
             self._end_omitted(*_ENDS[name])
-        hint = content = False
+        hint = weak = content = False
         if attributes and name not in ("html", "body", "main", "article", "a", "p", "span", "b", "i", "em", "strong"):
             said = " ".join("".join(m) for m in _NAMED.findall(attributes)).lower()
             said = re.sub(r"[^a-z]+", " ", said)
             hint, content = bool(_HINT.search(said)), bool(_CONTENT_HINT.search(said))
+            weak = not content and bool(_WEAK_HINT.search(said))
         in_article = self.article > 0
         chrome = name in _CHROME and not (name == "header" and in_article) or hint
         article = name in ("article", "main") or content and not hint
-        if name not in _BLOCK and not chrome and name not in _HIDDEN:
+        doubted = name in _FORMS or weak
+        if name not in _BLOCK and not chrome and not doubted and name not in _HIDDEN:
             return
         self.depths[name].append(len(self.open))
-        self.open.append((name, chrome, article, name in _HIDDEN))
+        self.open.append((name, chrome, article, name in _HIDDEN, doubted))
+        if doubted:
+            self.containers += 1
+            self.doubted.append(self.containers)
         self.chrome += chrome
         self.article += article
         self.hidden += name in _HIDDEN
@@ -242,8 +286,10 @@ class _Page:
             self._pop()
 
     def _pop(self) -> None:
-        name, chrome, article, hidden = self.open.pop()
+        name, chrome, article, hidden, doubted = self.open.pop()
         self.depths[name].pop()
+        if doubted:
+            self.doubted.pop()
         self.chrome -= chrome
         self.article -= article
         self.hidden -= hidden
@@ -263,11 +309,18 @@ def blocks(source: str) -> list[tuple[str, tuple]]:
     """Text blocks of a page with their features."""
     found = _Page(source).blocks
     density = [linked / words for _, words, linked, *_ in found]
+    text_of: defaultdict[int, int] = defaultdict(int)  # words of link-free blocks, by doubted container
+    for (_, words, _, chrome, *_, doubt), links in zip(found, density):
+        if not chrome and links < DENSE:
+            text_of[doubt] += words
+    whole = max(1, sum(text_of.values()))
     out = []
-    for i, (text, words, _, chrome, article, heading) in enumerate(found):
+    for i, (text, words, _, chrome, article, heading, doubt) in enumerate(found):
         before = (found[i - 1][1], density[i - 1]) if i else (0, 0.0)
         after = (found[i + 1][1], density[i + 1]) if i + 1 < len(found) else (0, 0.0)
-        out.append((text, (words, density[i], *before, *after, int(chrome), int(article), int(heading))))
+        share = text_of[doubt] / whole if doubt else 1.0
+        kinds = (int(chrome), int(article), int(heading), int(doubt > 0))
+        out.append((text, (words, density[i], *before, *after, *kinds, share)))
     return out
 
 

@@ -69,3 +69,37 @@ def test_tree_fits_its_table():
     table = np.array(html_text.LABELLED, float)
     right = [html_text.is_article(html_text.default_tree(), row[:-1]) == row[-1] for row in table]
     assert np.mean(right) > 0.95
+
+
+LONG = "A fairly long paragraph with at least a dozen words of real content in it, and no link."
+BODY = "<nav><a href=/>Home</a></nav><div><h1>A title of the article</h1>" + f"<p>{LONG}</p>" * 3 + "</div><footer>end</footer>"
+WANT = "A title of the article\n" + "\n".join([LONG] * 3)
+
+
+def test_head_without_end_tag(spark, sf_dir):
+    for head in ("<head><title>t</title><meta charset=utf-8>", "<head><script>var a;</script>", "<head>"):
+        assert html_text.main_text(f"<html>{head}<body>{BODY}") == WANT
+        assert html_text.main_text(f"<html>{head}{BODY}") == WANT
+    assert html_text.main_text(f"<head><title>t</title>{LONG} {LONG}<p>{LONG}</p>") == f"{LONG} {LONG}\n{LONG}"
+    assert html_text.main_text("<head><template><p>never</p></template></head>" + BODY) == WANT
+    pages = spark.read.parquet(f"{sf_dir}/pages.parquet").collect()
+    assert any("</head>" in p.html for p in pages)
+    for page in pages:
+        assert html_text.main_text(page.html.replace("</head>", "")) == html_text.main_text(page.html)
+
+
+def test_page_in_one_form():
+    search = '<form class=search><p>Search this site</p><button>Go</button></form>'
+    assert html_text.main_text(f"<body><form id=aspnet>{BODY}</form>") == WANT
+    assert html_text.main_text(f"<body><form><article>{BODY}</article></form>") == WANT
+    assert html_text.main_text(f"<body>{search}{BODY}<form><fieldset><p>Your mail address please</p></fieldset></form>") == WANT
+
+
+def test_names_of_containers_are_doubts_not_verdicts():
+    for named in ('class="social-history article"', "id=legal-history", "class=search-results-story", "class='banner-years notice'"):
+        assert html_text.main_text(f"<body><nav><a href=/>Home</a></nav><div {named}>{BODY}</div>") == WANT
+    for named in ("class=social", "id=legal", "class='search box'", "class=alert"):
+        for text in ("Follow us on all the networks now", LONG):
+            assert html_text.main_text(f"<body>{BODY}<div {named}><p>{text}</p></div>") == WANT
+    comments = f"<div class=comments>{f'<p>{LONG} And more.</p>' * 9}</div>"
+    assert html_text.main_text(f"<body>{BODY}{comments}") == WANT
