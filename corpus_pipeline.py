@@ -16,20 +16,28 @@ from riskmart.llm.common import materialize, table
 from riskmart.llm.queries import WORD_TOKENIZER
 
 
-#: Names of the key columns that stages add and take away again.
-KEYS = ["_text_key", "_id_key"]
+def _keys(docs: DataFrame) -> list[str]:
+    """Names of two key columns that ``docs`` does not have."""
+    taken = {c.lower() for c in docs.columns}
+    free = ""
+    while any(f"_{k}{free}" in taken for k in ("text_key", "id_key")):
+        free += "_"
+    return [f"_text_key{free}", f"_id_key{free}"]
 
 
 def _keyed(docs: DataFrame) -> DataFrame:
     """``docs`` with a key of doc_id and text: rows with equal keys are copies of one row. Null ids have a key too."""
+    text_key, id_key = _keys(docs)
     return docs.withColumns(
-        {KEYS[0]: F.xxhash64("doc_id", F.coalesce("text", F.lit(""))), KEYS[1]: F.coalesce("doc_id", F.lit(-1))}
+        {text_key: F.xxhash64("doc_id", F.coalesce("text", F.lit(""))), id_key: F.coalesce("doc_id", F.lit(-1))}
     )
 
 
 def _keep(docs: DataFrame, keys: DataFrame) -> DataFrame:
-    """One row of ``docs`` for each of the keys. Joined and made distinct in one shuffle by key."""
-    return _keyed(docs).join(keys, KEYS, "left_semi").dropDuplicates(KEYS).drop(*KEYS)
+    """One row of ``docs`` for each of the keys. Joined and made distinct in one shuffle by key; of copies that differ
+    in other columns one stays."""
+    names = _keys(docs)
+    return _keyed(docs).join(keys, names, "left_semi").dropDuplicates(names).drop(*names)
 
 
 def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -39,17 +47,19 @@ def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 def drop_exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of equal texts: the one with the largest doc_id, null being the smallest."""
-    rows = _keyed(docs).select(F.struct("doc_id", *KEYS).alias("doc_id"), "text")
+    keys = _keys(docs)
+    rows = _keyed(docs).select(F.struct("doc_id", *keys).alias("doc_id"), "text")
     kept = exact_dedup.exact_duplicates(rows).where("kept")
-    return _keep(docs, kept.select(*(f"doc_id.{k}" for k in KEYS)))
+    return _keep(docs, kept.select(*(f"doc_id.{k}" for k in keys)))
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each SimHash component: the one with the smallest doc_id, null being the largest."""
-    by_id = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", *KEYS)
+    keys = _keys(docs)
+    by_id = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", *keys)
     found = simhash.near_duplicates(_keyed(docs).select(by_id.alias("doc_id"), "text"))
     kept = found.where(F.col("doc_id").eqNullSafe(F.col("component_id")))
-    return _keep(docs, kept.select(*(f"doc_id.{k}" for k in KEYS)))
+    return _keep(docs, kept.select(*(f"doc_id.{k}" for k in keys)))
 
 
 def mask_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
