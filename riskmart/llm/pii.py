@@ -31,6 +31,8 @@ OUTSIDE = len(KINDS)
 N_LABELS = len(KINDS) + 1
 #: Documents with nodes that the field is trained on, at most: those with the smallest hashes of their ids.
 FIT_DOCS = 3_000
+#: Nodes of one of them, at most: the first in the text.
+FIT_NODES = 2_000
 #: Messages pass until none changes by more than this; the rounds end those that keep swinging.
 MESSAGE_TOLERANCE, MOST_ROUNDS = 1e-3, 1_000
 FIT_ROUNDS, FIT_RATE, RIDGE = 150, 0.5, 1e-4
@@ -47,7 +49,7 @@ _DOMAIN = re.compile(r"[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+").match
 _IP = re.compile(r"(?<![0-9])[0-9]++\.[0-9]++\.[0-9]++\.[0-9]+").finditer
 _CARD = re.compile(r"[0-9](?:[ -]?[0-9])+").finditer
 _PHONE = re.compile(r"\+[0-9][ ().0-9-]+[0-9]").finditer
-_NUMBER = re.compile(r"[+(]*[0-9](?:[ ().\-/]{0,2}[0-9])*").finditer
+_NUMBER = re.compile(r"(?<![+(])[+(]*+[0-9](?:[ ().\-/]{0,2}[0-9])*").finditer
 _TRIM = frozenset(".,;:!?'\"()<>[]")
 _NOT_DIGIT = re.compile(r"[^0-9]+")
 
@@ -198,6 +200,13 @@ def graph_of(texts: list[str], bases: list[list[Span]]) -> Graph:
     return graph
 
 
+def first_nodes(graph: Graph, count: int) -> Graph:
+    """The first nodes of the graph of one document, and the edges between them."""
+    edges = [e for e in graph.edges if e[1] < count]
+    cores = [c for c in graph.cores if c[0] < count]
+    return Graph(graph.doc[:count], graph.spans[:count], graph.label[:count], graph.features[:count], edges, cores)
+
+
 class Field(NamedTuple):
     """Potentials: labels x features, and one labels x labels table for each type of edge."""
 
@@ -212,8 +221,9 @@ def _unary(field: Field, features: np.ndarray) -> np.ndarray:
 def fit(graph: Graph, seed: int = 3) -> Field:
     """Pseudo-likelihood by gradient ascent: each node's label given its features and its neighbours' labels.
 
-    Nodes that are no base span count as unlabelled. So that the field does not just repeat the patterns, a second
-    copy of each base node has the patterns' own checks set to unknown.
+    Nodes that are no base span count as unlabelled, but for those with the core of a base span, which the field is to
+    find: they are left out. So that the field does not just repeat the patterns, a second copy of each base node
+    has the patterns' own checks set to unknown.
     """
     prior = np.array(CONSISTENCY)[:, None, None] * np.eye(N_LABELS)
     unary, pair = np.zeros((N_LABELS, N_FEATURES)), prior.copy()
@@ -230,17 +240,19 @@ def fit(graph: Graph, seed: int = 3) -> Field:
         around[kind, i, label[j]] += 1
         around[kind, j, label[i]] += 1
     is_base = label != OUTSIDE
+    near_miss = ~is_base & (around[1:, :, :OUTSIDE].sum(axis=(0, 2)) > 0)
     x = np.zeros((n + is_base.sum(), N_FEATURES))
     np.put_along_axis(x[:n], features, 1, axis=1)
     np.put_along_axis(x[n:], blurred[is_base], 1, axis=1)
     y = np.concatenate([label, label[is_base]])
     near = np.concatenate([around, around[:, is_base]], axis=1)
     target = np.eye(N_LABELS)[y]
+    counted = np.concatenate([~near_miss, np.ones(int(is_base.sum()), bool)])
     for _ in range(FIT_ROUNDS):
         logits = x @ unary.T + np.einsum("knl,kyl->ny", near, pair)
         p = np.exp(logits - logits.max(axis=1, keepdims=True))
         p /= p.sum(axis=1, keepdims=True)
-        miss = target - p
+        miss = (target - p) * counted[:, None]
         unary += FIT_RATE * (miss.T @ x / len(y) * N_LABELS - RIDGE * unary)
         step = np.einsum("ny,knl->kyl", miss, near) / len(y) * N_LABELS
         pair += FIT_RATE * ((step + step.transpose(0, 2, 1)) / 2 - RIDGE * (pair - prior))  # an edge has no direction
@@ -268,7 +280,8 @@ def _told(field: Field, graph: Graph, label: np.ndarray) -> tuple[np.ndarray, li
 
 
 def settle(field: Field, graph: Graph) -> np.ndarray:
-    """The likeliest label of each node after loopy sum-product message passing, damped by half."""
+    """The likeliest label of each node after loopy sum-product message passing, damped by half. A document stops when
+    its own messages settle, so its labels do not depend on the documents beside it."""
     label = np.array(graph.label)
     told, shared, n_all = _told(field, graph, label)
     unary = np.zeros((n_all, N_LABELS))
@@ -283,14 +296,20 @@ def settle(field: Field, graph: Graph) -> np.ndarray:
         source, target, tables = np.concatenate([i, j]), np.concatenate([j, i]), field.pair[np.concatenate([kind, kind])]
         back = np.concatenate([np.arange(len(i)) + len(i), np.arange(len(i))])
         messages = np.zeros((len(source), N_LABELS))
+        of_doc = np.tile(np.array(graph.doc)[i], 2)  # both ends of an edge are of one document
+        moving = np.ones(of_doc.max() + 1, bool)
         for _ in range(MOST_ROUNDS):
             out = (belief[source] - messages[back])[:, :, None] + tables
             top = out.max(axis=1, keepdims=True)
             new = np.log(np.exp(out - top).sum(axis=1)) + top[:, 0]
-            before, messages = messages, (messages + new - new.max(axis=1, keepdims=True)) / 2
+            step = np.where(moving[of_doc][:, None], (new - new.max(axis=1, keepdims=True) - messages) / 2, 0.0)
+            messages = messages + step
             belief = unary.copy()
             np.add.at(belief, target, messages)
-            if np.abs(messages - before).max() < MESSAGE_TOLERANCE:
+            change = np.zeros(len(moving))
+            np.maximum.at(change, of_doc, np.abs(step).max(axis=1))
+            moving &= change >= MESSAGE_TOLERANCE
+            if not moving.any():
                 break
     return belief[: len(label)].argmax(axis=1)
 
@@ -307,18 +326,19 @@ def all_spans(field: Field, texts: list[str]) -> tuple[list[list[Span]], list[li
     return bases, [sorted(s, key=lambda s: (s[0], s[2], s[1])) for s in spans]
 
 
-def learn(docs: DataFrame, fit_docs: int = FIT_DOCS) -> Field:
-    """Train on the ``fit_docs`` documents with the smallest hashes among those with a digit or @."""
+def learn(docs: DataFrame, fit_docs: int = FIT_DOCS, fit_nodes: int = FIT_NODES) -> Field:
+    """Train on the ``fit_docs`` documents with the smallest hashes among those with a digit or @, one row for each id (that
+    with the greatest text) and at most ``fit_nodes`` nodes of each."""
     rows = docs.where(F.col("text").rlike("[0-9@]")).select("doc_id", "text")
     order = F.xxhash64("doc_id")
-    chosen = rows.select("doc_id").orderBy(order, "doc_id").limit(fit_docs).distinct()
-    sample = rows.join(F.broadcast(chosen), "doc_id").select("doc_id", "text")  # bounded by fit_docs
+    chosen = rows.select("doc_id").distinct().orderBy(order, "doc_id").limit(fit_docs)
+    sample = rows.join(F.broadcast(chosen), "doc_id").groupBy("doc_id").agg(F.max("text").alias("text"))  # fit_docs rows
 
     def excerpts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """Only nodes, features and edges travel to the driver, not texts."""
         for batch in text_slices(batches):
             texts = batch.column("text").to_pylist()
-            graphs = [graph_of([t], [base_spans(t)]) for t in texts]
+            graphs = [first_nodes(graph_of([t], [base_spans(t)]), fit_nodes) for t in texts]
             columns = [
                 batch.column("doc_id"),
                 pa.array([g.label for g in graphs], pa.list_(pa.int32())),

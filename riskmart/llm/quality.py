@@ -119,8 +119,8 @@ def held_out(doc_id: Column) -> Column:
 
 
 def learn(docs: DataFrame, labels: DataFrame, fit_rows: int = FIT_ROWS) -> Ranking:
-    """Fit on at most ``fit_rows`` labelled documents outside the held-out fold. Rows of ``labels`` without
-    doc_id or quality are ignored; quality above 0 is good."""
+    """Fit on at most ``fit_rows`` labelled documents outside the held-out fold, one row for each id: that with the
+    greatest text. Rows of ``labels`` without doc_id or quality are ignored; quality above 0 is good."""
     usable = labels.where("doc_id is not null and quality is not null").where(~held_out(F.col("doc_id")))
     sample = (
         usable.groupBy("doc_id")
@@ -128,7 +128,8 @@ def learn(docs: DataFrame, labels: DataFrame, fit_rows: int = FIT_ROWS) -> Ranki
         .orderBy(F.xxhash64("doc_id"), "doc_id")
         .limit(fit_rows)
     )
-    rows = docs.select("doc_id", "text").join(F.broadcast(sample), "doc_id").select("good", "text")  # bounded by fit_rows
+    found = docs.select("doc_id", "text").join(F.broadcast(sample), "doc_id")
+    rows = found.groupBy("doc_id").agg(F.max("text").alias("text"), F.first("good").alias("good"))  # bounded by fit_rows
     found = rows.mapInArrow(_statistics_rows, "good boolean, stats array<double>").toArrow()
     order = np.lexsort(np.array(found.column("stats").to_pylist()).reshape(-1, N_STATS).T)
     stats = np.array(found.column("stats").to_pylist()).reshape(-1, N_STATS)[order]

@@ -1,5 +1,7 @@
+import hashlib
 import random
 import re
+import time
 
 import pytest
 
@@ -83,3 +85,44 @@ def test_odd_rows(odd_docs):
 def test_hostile_texts_take_linear_time(field):
     for text in ("a" * 200_000 + "@", "1" * 200_000, "1 " * 100_000, "+1((" * 50_000, "a@" * 100_000, "1." * 100_000):
         pii.all_spans(field, [text])
+
+
+def test_base_digests_and_counts_by_kind(documents, field):
+    texts = {r.doc_id: r.text for r in documents.collect()}
+    for r in pii.digests(pii.find(documents, field)).collect():
+        base = brute(texts[r.doc_id])
+        written = ",".join(f"{pii.KINDS[k]}:{s}:{e}" for s, e, k in base)
+        assert r.base_sha256 == hashlib.sha256(written.encode()).hexdigest()
+        assert [r.n_email, r.n_ip, r.n_card, r.n_phone] == [sum(s[2] == k for s in base) for k in range(4)]
+
+
+def test_runs_of_brackets_take_linear_time():
+    started = time.process_time()
+    for text in ("1" + "(" * 1_000_000, "+" * 1_000_000, "1(" * 300_000):
+        pii.other_candidates(text, [])
+    assert time.process_time() - started < 6
+    old = re.compile(r"[+(]*[0-9](?:[ ().\-/]{0,2}[0-9])*")
+    rng = random.Random(2)
+    for _ in range(3000):
+        text = "".join(rng.choices("12+( ().-/a", k=rng.randrange(40)))
+        assert [m.span() for m in pii._NUMBER(text)] == [m.span() for m in old.finditer(text)]
+
+
+def test_labels_do_not_depend_on_the_documents_beside(field):
+    phones = "Call +1 (017) 555-7713 today, or (017) 555-7713, 017 555 7713 later."
+    swinging = " ".join(f"{a}{b}{a}-1234567" for a in range(10) for b in range(10))
+    alone = pii.all_spans(field, [phones])[1][0]
+    assert pii.all_spans(field, [swinging, phones, swinging])[1][1] == alone
+
+
+def test_what_the_field_learns_from_is_bounded(spark):
+    rows = [(1, "id 1234 " * (i % 3 + 1)) for i in range(500)] + [(2, "number 12345 and " * 5_000)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    seen = []
+    real = pii.fit
+    try:
+        pii.fit = lambda graph: seen.append(len(graph.doc)) or real(graph)
+        pii.learn(docs, fit_docs=10, fit_nodes=300)
+    finally:
+        pii.fit = real
+    assert seen == [3 + 300]

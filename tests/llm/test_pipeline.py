@@ -61,3 +61,11 @@ def test_odd_rows(spark, odd_docs, sf_dir):
     assert len(single) == len({r.text or "" for r in docs.collect()})
     texts = {brute_print(r.text) for r in docs.collect()}
     assert pipeline.drop_near_copies(spark, docs, sf_dir).count() == len(set(brute_components(texts).values()))
+
+
+def test_columns_named_like_the_keys_stay(spark, odd_docs, sf_dir):
+    docs = odd_docs.selectExpr("*", "7 AS _text_key", "8 AS _id_key", "9 AS _TEXT_KEY_")
+    for stage in (pipeline.drop_exact_copies, pipeline.drop_near_copies):
+        out = stage(spark, docs, sf_dir)
+        assert out.columns == docs.columns
+        assert {(r._text_key, r._id_key) for r in out.collect()} == {(7, 8)}
