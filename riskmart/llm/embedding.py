@@ -110,11 +110,13 @@ def _near(cosine: float):
 
 
 def links(units: DataFrame, cosine: float = COSINE) -> DataFrame:
-    """Pairs (a, b), a < b, of rows of ``units(rep, label, unit)`` with equal labels and lengths and cosine >= ``cosine``."""
+    """Pairs (a, b), a < b, of rows of ``units(rep, label, unit)`` with equal labels and lengths and cosine >= ``cosine``.
+
+    Labels may be of any type: their hashes deal the points out, and candidates are compared by the labels themselves."""
     largest = units.groupBy("label", F.size("unit")).count().agg(F.max("count")).first()[0] or 0
     slots = max(1, math.ceil(largest / SLOT_POINTS))
     schema = "label long, dims int, block int, x long, y long, slot int, guest boolean, rep long, part binary"
-    points = units.select("rep", F.col("label").cast("long").alias("label"), "unit").mapInArrow(
+    points = units.select("rep", F.xxhash64("label").alias("label"), "unit").mapInArrow(
         _points(slots, cosine), schema
     )
     # a task is a cell and a pair of slots: home points of the left slot against all points of the right one
@@ -128,10 +130,11 @@ def links(units: DataFrame, cosine: float = COSINE) -> DataFrame:
         tasks = as_left.unionByName(as_right)
     keys = ["label", "dims", "block", "x", "y", "slot", "right"]
     near = tasks.groupBy(*keys).applyInPandas(_near(cosine), "a long, b long").where("a != b").distinct()
-    left = units.select(F.col("rep").alias("a"), F.col("unit").alias("u"))
-    right = units.select(F.col("rep").alias("b"), F.col("unit").alias("v"))
+    left = units.select(F.col("rep").alias("a"), F.col("unit").alias("u"), F.col("label").alias("of_a"))
+    right = units.select(F.col("rep").alias("b"), F.col("unit").alias("v"), F.col("label").alias("of_b"))
     product = F.aggregate(F.zip_with("u", "v", lambda p, q: p * q), F.lit(0.0), lambda s, p: s + p)
-    return near.join(left, "a").join(right, "b").where(product >= cosine).select("a", "b")
+    same_label = F.col("of_a") == F.col("of_b")
+    return near.join(left, "a").join(right, "b").where(same_label & (product >= cosine)).select("a", "b")
 
 
 def near_duplicates(vectors: DataFrame, cosine: float = COSINE) -> DataFrame:

@@ -1,4 +1,5 @@
 import numpy as np
+from pyspark.sql import functions as F
 import pytest
 
 from riskmart.llm import embedding
@@ -63,3 +64,13 @@ def test_every_length_is_searched(spark, monkeypatch, slots):
 
 def test_empty_table(spark):
     assert embedding.near_duplicates(spark.createDataFrame([], SCHEMA)).count() == 0
+
+
+def test_labels_of_any_type(spark):
+    near = [1.0, 0.0, 0.0, 0.001]
+    for kind, labels in (("double", [1.2, 1.7, 1.2, None, 1.7]), ("string", ["a", "b", "a", None, "b"]), ("boolean", [True, False, True, None, False])):
+        rows = [(i, near, label) for i, label in enumerate(labels)]
+        vectors = spark.createDataFrame(rows, f"vec_id long, embedding array<double>, label {kind}")
+        moved = vectors.withColumn("embedding", F.transform("embedding", lambda x: x + F.col("vec_id") * 1e-6))
+        found = {r.vec_id: (r.n_links, r.component_id) for r in embedding.near_duplicates(moved).collect()}
+        assert found == {0: (1, 0), 2: (1, 0), 1: (1, 1), 4: (1, 1), 3: (0, 3)}

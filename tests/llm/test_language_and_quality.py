@@ -62,3 +62,66 @@ def test_odd_quality(odd_docs, kept):
     found = quality.score(odd_docs, quality.learn(odd_docs, labels)).collect()
     assert len(found) == odd_docs.count() and all(0 <= r.score <= 1 for r in found)
     assert quality.score(odd_docs.limit(0), quality.learn(odd_docs.limit(0), labels)).count() == 0
+
+
+def plain_buckets(text):
+    """Buckets of the 1- to 3-grams of a text, one character after another."""
+    points = [ord(c) for c in text.lower()]
+    for order in (1, 2, 3):
+        for i in range(len(points) - order + 1):
+            rolled = 0
+            for p in points[i : i + order]:
+                rolled = (rolled * 1_000_003 + p + 1) % 2**64
+            yield ((rolled + order) * 0x9E3779B97F4A7C15 % 2**64) >> 48
+
+
+def test_predictions_equal_a_plain_naive_bayes(spark, documents):
+    rows = [r for r in documents.select("doc_id", "text", "lang").orderBy(F.xxhash64("doc_id")).limit(60).collect()]
+    rows = [(r.doc_id, r.text[:400], r.lang) for r in rows]
+    found = language.languages(spark.createDataFrame(rows, "doc_id long, text string, lang string")).collect()
+    counts, docs = {}, {}
+    for i, text, lang in rows:
+        if zlib.crc32(str(i).encode()) % 3 != 1 and lang is not None:
+            docs[lang] = docs.get(lang, 0) + 1
+            own = counts.setdefault(lang, {})
+            for b in plain_buckets(text):
+                own[b] = own.get(b, 0) + 1
+    total = {lang: sum(own.values()) for lang, own in counts.items()}
+    texts = {i: text for i, text, _ in rows}
+    for r in found:
+        logs = {}
+        for lang, own in counts.items():
+            log = np.log(docs[lang] / sum(docs.values()))
+            for b in plain_buckets(texts[r.doc_id]):
+                log += np.log((own.get(b, 0) + 0.5) / (total[lang] + 0.5 * 2**16))
+            logs[lang] = log
+        best = max(sorted(logs), key=logs.get)
+        assert r.lang_pred == best
+        assert r.score == pytest.approx(1 / sum(np.exp(v - logs[best]) for v in logs.values()), abs=1e-6)
+
+
+def test_quality_equals_pairwise_ranking_by_gradient(spark, documents, sf_dir):
+    """The same pairs fitted by plain gradient descent, the cut tried at every score."""
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
+    known = {r.doc_id: r.quality > 0 for r in labels.where("quality is not null").collect()}
+    texts = {r.doc_id: r.text or "" for r in documents.collect()}
+    ids = [i for i in texts if i in known and zlib.crc32(str(i).encode()) % 5]
+    stats = np.array([quality.statistics(texts[i]) for i in ids])
+    good = np.array([known[i] for i in ids])
+    order = np.lexsort(stats.T)
+    stats, good = stats[order], good[order]
+    z = np.clip((stats - stats.mean(axis=0)) / (stats.std(axis=0) + 1e-6), -5, 5)
+    x = np.hstack([z, z * z])
+    rng = np.random.default_rng(7)
+    pairs = x[rng.choice(np.flatnonzero(good), quality.PAIRS)] - x[rng.choice(np.flatnonzero(~good), quality.PAIRS)]
+    w = quality.bradley_terry(pairs)
+    p = 1 / (1 + np.exp(pairs @ w))
+    assert np.abs(pairs.T @ p / len(p) - quality.RIDGE * w).max() < 1e-3  # where the loss is least
+    raw = x @ w
+    met = [((raw >= cut) == good).sum() for cut in np.sort(raw)]
+    cut = np.sort(raw)[int(np.argmax(met))]
+    every = np.array([quality.statistics(t) for t in texts.values()])
+    zz = np.clip((every - stats.mean(axis=0)) / (stats.std(axis=0) + 1e-6), -5, 5)
+    want = dict(zip(texts, np.hstack([zz, zz * zz]) @ w >= cut))
+    found = quality.score(documents, quality.learn(documents, labels)).collect()
+    assert np.mean([r.predicted == want[r.doc_id] for r in found]) > 0.995

@@ -102,3 +102,22 @@ def test_no_ngram_is_left_out_whatever_the_size(documents, monkeypatch):
 
 def spark_rows(docs, rows):
     return docs.sparkSession.createDataFrame([(r.doc_id, r.text) for r in rows], "doc_id long, text string")
+
+
+def test_scores_of_each_document(documents):
+    docs = documents.limit(60)
+    rows = docs.select("doc_id", "text").collect()
+    want = {r.doc_id: x for r, x in zip(rows, exact_scores(rows))}
+    found = language_model.scores(spark_rows(docs, rows)).collect()
+    near = [abs(r.score - want[r.doc_id]) <= 0.03 * abs(want[r.doc_id]) + 1e-9 for r in found]
+    assert len(found) == len(want) and all(near)  # the filter errs on a few n-grams of each
+
+
+def test_small_counts_are_read_back_as_they_are():
+    counts = np.arange(1, 4)
+    assert np.array_equal(language_model.count_of_level(language_model.level(counts)), counts)
+    many = np.arange(1, 100_000)
+    levels = language_model.level(many)
+    for q in np.unique(levels)[:-1]:
+        assert language_model.count_of_level(np.array([q]))[0] == many[levels == q].mean()
+    assert language_model.count_of_level(np.array([0]))[0] == 0
