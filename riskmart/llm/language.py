@@ -22,6 +22,8 @@ ORDERS = (1, 2, 3)
 SMOOTHING = 0.5
 HELD_OUT_MODULUS, HELD_OUT_REST = 3, 1
 UNKNOWN = "und"
+#: Characters of a longer text whose n-grams are held at a time, some 50 bytes each.
+PIECE_CHARS = 1 << 20
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -48,15 +50,34 @@ def ngram_buckets(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return np.concatenate(buckets), np.concatenate(owners)
 
 
+def cut_long(texts: pa.Array) -> Iterator[tuple[pa.Array, np.ndarray, int]]:
+    """Texts in parts of bounded size: (parts, the text of each, sign).
+
+    A long text is cut into pieces that look ahead by the characters an n-gram may still need. N-grams that start in
+    the look-ahead are those of the next piece: the look-ahead follows on its own with sign -1.
+    """
+    if not len(texts) or pc.max(pc.utf8_length(texts)).as_py() <= PIECE_CHARS:
+        yield texts, np.arange(len(texts)), 1
+        return
+    ahead = max(ORDERS) - 1
+    for i, text in enumerate(texts.to_pylist()):
+        for start in range(0, max(1, len(text)), PIECE_CHARS):
+            stop = start + PIECE_CHARS
+            yield pa.array([text[start : stop + ahead]], pa.large_string()), np.array([i]), 1
+            if stop < len(text):
+                yield pa.array([text[stop : stop + ahead]], pa.large_string()), np.array([i]), -1
+
+
 def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     totals: dict[str, np.ndarray] = {}
     for batch in text_slices(batches):
         langs = pc.dictionary_encode(batch.column("lang"))
-        buckets, owners = ngram_buckets(batch.column("text"))
-        which = langs.indices.to_numpy(zero_copy_only=False)[owners]
-        for code, lang in enumerate(langs.dictionary.to_pylist()):
-            found = np.bincount(buckets[which == code], minlength=BUCKETS)
-            totals[lang] = totals[lang] + found if lang in totals else found
+        for parts, whose, sign in cut_long(batch.column("text")):
+            buckets, owners = ngram_buckets(parts)
+            which = langs.indices.to_numpy(zero_copy_only=False)[whose][owners]
+            for code, lang in enumerate(langs.dictionary.to_pylist()):
+                found = sign * np.bincount(buckets[which == code], minlength=BUCKETS)
+                totals[lang] = totals[lang] + found if lang in totals else found
     for lang, counts in totals.items():
         used = np.flatnonzero(counts)
         yield pa.RecordBatch.from_arrays(
@@ -79,10 +100,10 @@ class Model:
         if not self.langs:
             return [UNKNOWN] * n, np.zeros(n)
         logs = np.tile(self.log_prior, (n, 1))
-        if n:
-            buckets, owners = ngram_buckets(texts)
+        for parts, whose, sign in cut_long(texts) if n else ():
+            buckets, owners = ngram_buckets(parts)
             for code in range(len(self.langs)):  # sparse product: sum the rows of the n-grams present
-                logs[:, code] += np.bincount(owners, self.log_prob[:, code][buckets], minlength=n)
+                logs[:, code] += sign * np.bincount(whose[owners], self.log_prob[:, code][buckets], minlength=n)
         logs -= logs.max(axis=1, keepdims=True)
         share = np.exp(logs)
         share /= share.sum(axis=1, keepdims=True)

@@ -125,3 +125,19 @@ def test_quality_equals_pairwise_ranking_by_gradient(spark, documents, sf_dir):
     want = dict(zip(texts, np.hstack([zz, zz * zz]) @ w >= cut))
     found = quality.score(documents, quality.learn(documents, labels)).collect()
     assert np.mean([r.predicted == want[r.doc_id] for r in found]) > 0.995
+
+
+def test_long_texts_are_counted_in_pieces(documents, monkeypatch):
+    import pyarrow as pa
+
+    rows = documents.where("lang is not null").limit(20).collect()
+    texts = pa.array([r.text for r in rows] + ["", "a", "İab" * 9], pa.large_string())
+    model = language.learn(documents.where("lang is not null").limit(100))
+    whole = model.predict(texts)
+    plain = np.bincount(language.ngram_buckets(texts)[0], minlength=language.BUCKETS)
+    for size in (1, 2, 7, 100):
+        monkeypatch.setattr(language, "PIECE_CHARS", size)
+        names, scores = model.predict(texts)
+        assert names == whole[0] and np.allclose(scores, whole[1])
+        counts = sum(s * np.bincount(language.ngram_buckets(p)[0], minlength=language.BUCKETS) for p, _, s in language.cut_long(texts))
+        assert np.array_equal(counts, plain)
