@@ -308,18 +308,37 @@ def soft_vote(predictions: DataFrame, algorithms: list[str] = fv.ALGORITHMS) ->
     )
 
 
+def fit_together(
+    work: dict[tuple, tuple[str, DataFrame, list[str], dict]], seed: int = 42, parallelism: int | None = None
+) -> dict[tuple, PipelineModel]:
+    """Independent fits (algorithm, rows, features, settings), as many at once as the session has slots."""
+    if not work:
+        return {}
+    session = next(iter(work.values()))[1].sparkSession
+
+    def one(key: tuple) -> tuple[tuple, PipelineModel]:
+        algorithm, rows, features, settings = work[key]
+        return key, fit(algorithm, rows, features, seed, **settings)
+
+    with ThreadPool(min(parallelism or session.sparkContext.defaultParallelism, len(work))) as pool:
+        return dict(pool.imap_unordered(inheritable_thread_target(session)(one), work))
+
+
 def out_of_fold(
     algorithms: list[str], train: DataFrame, features: list[str], folds: int = 3, seed: int = 42,
     settings: dict[str, dict] | None = None,
 ) -> DataFrame:
-    """Probabilities of each base model on rows it was not fitted on."""
+    """Probabilities of each base model on rows it was not fitted on; all fits run together."""
     folded = materialize(stratified_folds(train, LABEL, KEY, folds, seed), "folds")
-    parts = None
+    given = settings or {}
+    work = {
+        (i, a): (a, folded.where(F.col(FOLD) != i), features, given.get(a, {})) for i in range(folds) for a in algorithms
+    }
+    models, parts = fit_together(work, seed), None
     for i in range(folds):
         held = folded.where(F.col(FOLD) == i)
         for algorithm in algorithms:
-            model = fit(algorithm, folded.where(F.col(FOLD) != i), features, seed, **(settings or {}).get(algorithm, {}))
-            held = probability(model, held, features, f"p_{algorithm}")
+            held = probability(models[i, algorithm], held, features, f"p_{algorithm}")
         parts = held if parts is None else parts.unionByName(held)
     return materialize(parts, "out-of-fold")
 
@@ -347,8 +366,8 @@ def stack(
     settings = settings or {}
     held_out = out_of_fold(algorithms, train, features, folds, seed, settings)
     meta = fit("logistic_regression", held_out, [f"p_{a}" for a in algorithms], seed)
-    base = {a: fit(a, train, features, seed, **settings.get(a, {})) for a in algorithms}
-    return StackedModel(base, meta, features)
+    whole = fit_together({(a,): (a, train, features, settings.get(a, {})) for a in algorithms}, seed)
+    return StackedModel({a: whole[a,] for a in algorithms}, meta, features)
 
 
 # --- inspection and persistence ------------------------------------------------------------------

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import hashlib
-
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
@@ -12,7 +10,7 @@ from ..config import TrainingConfig
 from ..functions import dates, stability
 from ..operators import drift, governance, layers, monitoring, quality, registry, scaling, splitting, training
 from ..operators import metrics as m
-from ..sources import readers, scratch, version_index
+from ..sources import version_index
 from ..sources.scratch import materialize
 from . import check_sql as c
 from . import jobs
@@ -1221,15 +1219,6 @@ def _(t: Tables):
     return ranked.select("algorithm", "method", "feature", share.alias("importance_sum"), ranks.alias("ranks"))
 
 
-def _stored_forest(t: Tables, splits) -> str:
-    """Path of a forest fitted on the train split; one is fitted and saved for an application and its tables."""
-    folder = f"{scratch.application_folder(t.spark)}/models-{hashlib.sha256(t.sf_dir.encode()).hexdigest()[:16]}"
-    path = f"{folder}/random_forest/v1/model"
-    if not readers.exists(t.spark, f"{path}/metadata/_SUCCESS"):
-        training.save_model(training.fit("random_forest", _train_of(splits), fv.MODEL_FEATURES), folder, "random_forest", "1")
-    return path
-
-
 @query(
     "m11_score_snapshot",
     c.with_blocks(
@@ -1239,8 +1228,10 @@ def _stored_forest(t: Tables, splits) -> str:
     ),
 )
 def _(t: Tables):
+    """A stored model scores all snapshots."""
     splits = _scaled(t)
-    model = training.load_model(_stored_forest(t, splits))
+    fitted = training.fit("random_forest", _train_of(splits), fv.MODEL_FEATURES)
+    model = training.load_model(training.save_model(fitted, t.mart().registry, "random_forest", "1"))
     predictions = training.score(model, splits.drop("split", "label"), fv.MODEL_FEATURES, "random_forest")
     return predictions.groupBy("snapshot_date", "model_algorithm").agg(F.count(F.lit(1)).alias("rows"), _in_range("model_predictions"))
 

@@ -30,14 +30,25 @@ def fresh_path(spark: SparkSession, name: str) -> str:
     return f"{application_folder(spark)}/{name}-{uuid.uuid4().hex}"
 
 
+def discard(spark: SparkSession, path: str) -> None:
+    """Delete one intermediate table, once no plan needs it any more."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+
 def clear_scratch(spark: SparkSession) -> None:
     """Delete the intermediate tables of this application, once no plan needs them any more."""
-    folder = spark._jvm.org.apache.hadoop.fs.Path(application_folder(spark))
-    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+    discard(spark, application_folder(spark))
 
 
-def materialize(df: DataFrame, name: str, codec: str | None = None) -> DataFrame:
-    """Write ``df`` once and read it back: one consistent result, lineage cut. ``codec``: another than the session's."""
+def stored(df: DataFrame, name: str, codec: str | None = None) -> tuple[DataFrame, str]:
+    """Write ``df`` once and read it back: one consistent result, lineage cut; and where it lies. ``codec``: another
+    than the session's."""
     path = fresh_path(df.sparkSession, name)
     df.write.parquet(path, compression=codec)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path), path
+
+
+def materialize(df: DataFrame, name: str, codec: str | None = None) -> DataFrame:
+    """The table of ``stored``."""
+    return stored(df, name, codec)[0]
