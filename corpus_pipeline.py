@@ -12,8 +12,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from riskmart.llm import exact_dedup, packing, pii, quality, simhash
-from riskmart.llm.common import materialize, table
+from riskmart.llm.common import table
 from riskmart.llm.queries import WORD_TOKENIZER
+from riskmart.sources.scratch import discard, stored
 
 
 def _keys(docs: DataFrame) -> list[str]:
@@ -87,7 +88,11 @@ ORACLE_SQL: str | None = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents")
+    """The packed pieces of the documents. Each stage's table is deleted once the next one's is written."""
+    docs, before = table(spark, sf_dir, "documents"), None
     for name, stage in STAGES[:-1]:
-        docs = materialize(stage(spark, docs, sf_dir), name)
+        docs, path = stored(stage(spark, docs, sf_dir), name)
+        if before is not None:
+            discard(spark, before)
+        before = path
     return STAGES[-1][1](spark, docs, sf_dir)
