@@ -302,7 +302,7 @@ def _pack_ngrams(parts: int, frequent: Broadcast, batches: Iterator[pa.RecordBat
 
 
 def _short(keys: np.ndarray) -> bytes:
-    """The lower ``KEY_BYTES`` of each key: a part holds so few that these tell them apart."""
+    """The lower ``KEY_BYTES`` of each key: of the four million or so of a part, some seven pairs agree in 40 bits and count as one."""
     return keys.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :KEY_BYTES].tobytes()
 
 
