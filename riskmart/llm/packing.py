@@ -34,9 +34,9 @@ ISLANDS = 2
 EPOCHS = 2
 POPULATION, GENERATIONS = 4, 4
 #: Chunks between white space that a worker remembers with their ids, and characters of each, at most.
-CACHE_CHUNKS, CACHED_CHARS = 800_000, 64
+CACHE_CHUNKS, CACHED_CHARS = 400_000, 64
 #: Bytes of text cut at a time: a larger slice repeats fewer chunks of the one before.
-SLICE_BYTES = 4 << 20
+SLICE_BYTES = 2 << 20
 #: Byte-level vocabularies show a byte that is no visible character as one from 256 on, in order.
 BYTE_CHARACTERS = {
     byte: 256 + nth
