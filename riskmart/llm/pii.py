@@ -328,11 +328,11 @@ def all_spans(field: Field, texts: list[str]) -> tuple[list[list[Span]], list[li
 
 def learn(docs: DataFrame, fit_docs: int = FIT_DOCS, fit_nodes: int = FIT_NODES) -> Field:
     """Train on the ``fit_docs`` documents with the smallest hashes among those with a digit or @, one row for each id (that
-    with the greatest text) and at most ``fit_nodes`` nodes of each."""
+    with the greatest nodes) and at most ``fit_nodes`` nodes of each."""
     rows = docs.where(F.col("text").rlike("[0-9@]")).select("doc_id", "text")
     order = F.xxhash64("doc_id")
     chosen = rows.select("doc_id").distinct().orderBy(order, "doc_id").limit(fit_docs)
-    sample = rows.join(F.broadcast(chosen), "doc_id").groupBy("doc_id").agg(F.max("text").alias("text"))  # fit_docs rows
+    sample = rows.join(F.broadcast(chosen), "doc_id").select("doc_id", "text")  # the rows of fit_docs ids
 
     def excerpts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """Only nodes, features and edges travel to the driver, not texts."""
@@ -347,7 +347,9 @@ def learn(docs: DataFrame, fit_docs: int = FIT_DOCS, fit_nodes: int = FIT_NODES)
             ]
             yield pa.RecordBatch.from_arrays(columns, ["doc_id", "label", "features", "edges"])
 
-    found = sample.mapInArrow(excerpts, "doc_id long, label array<int>, features array<int>, edges array<int>").toArrow()
+    listed = sample.mapInArrow(excerpts, "doc_id long, label array<int>, features array<int>, edges array<int>")
+    one_each = listed.groupBy("doc_id").agg(F.max(F.struct("label", "features", "edges")).alias("row"))
+    found = one_each.select("doc_id", "row.*").toArrow()  # fit_docs rows of fit_nodes nodes
     rows_found = sorted(zip(*(found.column(c).to_pylist() for c in ("doc_id", "label", "features", "edges"))), key=str)
     graph, width = Graph([], [], [], [], [], []), len(node_features("0", 0, 1))
     for _, label, features, edges in rows_found:

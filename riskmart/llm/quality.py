@@ -111,7 +111,7 @@ def best_quantile(raw: np.ndarray, good: np.ndarray) -> int:
 def _statistics_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in text_slices(batches):
         stats = pa.array([statistics(t) for t in batch.column("text").to_pylist()], pa.list_(pa.float64()))
-        yield pa.RecordBatch.from_arrays([batch.column("good"), stats], ["good", "stats"])
+        yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("good"), stats], ["doc_id", "good", "stats"])
 
 
 def held_out(doc_id: Column) -> Column:
@@ -120,7 +120,7 @@ def held_out(doc_id: Column) -> Column:
 
 def learn(docs: DataFrame, labels: DataFrame, fit_rows: int = FIT_ROWS) -> Ranking:
     """Fit on at most ``fit_rows`` labelled documents outside the held-out fold, one row for each id: that with the
-    greatest text. Rows of ``labels`` without doc_id or quality are ignored; quality above 0 is good."""
+    greatest statistics. Rows of ``labels`` without doc_id or quality are ignored; quality above 0 is good."""
     usable = labels.where("doc_id is not null and quality is not null").where(~held_out(F.col("doc_id")))
     sample = (
         usable.groupBy("doc_id")
@@ -128,9 +128,11 @@ def learn(docs: DataFrame, labels: DataFrame, fit_rows: int = FIT_ROWS) -> Ranki
         .orderBy(F.xxhash64("doc_id"), "doc_id")
         .limit(fit_rows)
     )
-    found = docs.select("doc_id", "text").join(F.broadcast(sample), "doc_id")
-    rows = found.groupBy("doc_id").agg(F.max("text").alias("text"), F.first("good").alias("good"))  # bounded by fit_rows
-    found = rows.mapInArrow(_statistics_rows, "good boolean, stats array<double>").toArrow()
+    rows = docs.select("doc_id", "text").join(F.broadcast(sample), "doc_id").select("doc_id", "good", "text")
+    id_type = rows.schema["doc_id"].dataType.simpleString()
+    counted = rows.mapInArrow(_statistics_rows, f"doc_id {id_type}, good boolean, stats array<double>")
+    one_each = counted.groupBy("doc_id").agg(F.max(F.struct("stats", "good")).alias("row"))  # bounded by fit_rows
+    found = one_each.select("row.good", "row.stats").toArrow()
     order = np.lexsort(np.array(found.column("stats").to_pylist()).reshape(-1, N_STATS).T)
     stats = np.array(found.column("stats").to_pylist()).reshape(-1, N_STATS)[order]
     return Ranking(stats, np.array(found.column("good").to_pylist(), bool)[order])
