@@ -87,15 +87,17 @@ def auc_from_rank_sum() -> Column:
 def running_totals(
     counts: DataFrame, keys: list[str], order: str, measures: list[str], descending: bool = False
 ) -> DataFrame:
-    """Add, for each measure, ``<m>_to`` (inclusive running total in the group) and
+    """Keys, order and measures and, for each measure, ``<m>_to`` (inclusive running total in the group) and
     ``<m>_all`` (group total).
 
     A prefix sum: rows are summed inside each range piece, the pieces' sums are added up, and each piece is shifted by
     the sums before it. Rows and sums come from one shuffle, which the planner reuses, so the input is read once and
     nothing is written. Range bounds are sampled, so a plan without the reuse could see other pieces: a row beyond
-    the sums of its piece is an error, never a wrong total.
+    the sums of its piece is an error, never a wrong total. Every total is checked by all measures: a reader of few
+    totals still reads all measures on both sides, else the two shuffles would have other columns and not be one.
     """
     spark = counts.sparkSession
+    counts = counts.select(*keys, order, *measures)
     pieces = in_pieces(counts, keys, order, descending, int(spark.conf.get("spark.sql.shuffle.partitions")))
     per_piece = pieces.groupBy(*keys, PIECE).agg(*[F.sum(m).alias(m) for m in measures])
     earlier = Window.partitionBy(*keys).orderBy(PIECE).rowsBetween(Window.unboundedPreceding, -1)
@@ -117,16 +119,18 @@ def running_totals(
         match &= local[k].eqNullSafe(offsets[f"_k_{k}"])
     joined = local.join(offsets, match, "left")
 
-    def running(m: str) -> Column:
-        same = F.col(f"{m}_in") <= F.col(f"{m}_piece")  # null where the piece has no sums
-        return F.when(same, F.col(f"{m}_before") + F.col(f"{m}_in")).otherwise(
+    # Null where the piece has no sums.
+    same = reduce(lambda a, b: a & b, [F.col(f"{m}_in") <= F.col(f"{m}_piece") for m in measures])
+
+    def checked(total: Column) -> Column:
+        return F.when(same, total).otherwise(
             F.raise_error(F.lit("the range pieces of a ranking differ; is spark.sql.exchange.reuse off?")).cast("long")
         )
 
     return joined.select(
         *[local[c] for c in counts.columns],
-        *[running(m).alias(f"{m}_to") for m in measures],
-        *[F.col(f"{m}_all") for m in measures],
+        *[checked(F.col(f"{m}_before") + F.col(f"{m}_in")).alias(f"{m}_to") for m in measures],
+        *[checked(F.col(f"{m}_all")).alias(f"{m}_all") for m in measures],
     )
 
 

@@ -205,6 +205,22 @@ def test_running_totals_match_a_plain_window(spark):
                 assert got[(g, v)] == (total, sum(n for _, n in mine))
 
 
+@pytest.mark.parametrize("used", [["pos", "neg_to"], ["neg_to"], ["pos", "neg_all"], ["neg", "pos_all"], ["neg", "pos_to", "neg_all"]])
+def test_running_totals_of_few_measures_read_one_shuffle(spark, used):
+    value = (F.xxhash64("id") % 100_000).alias("v")
+    frame = spark.range(0, 20_000, 1, 8).select((F.col("id") % 3).alias("g"), value).distinct()
+    counts = frame.select("g", "v", F.lit(7).alias("rows"), (F.col("v") % 2 == 0).cast("long").alias("pos"), F.lit(1).cast("long").alias("neg"))
+    plan = running_totals(counts, ["g"], "v", ["pos", "neg"]).select("g", "v", *used)
+    got = plan.toPandas().set_index(["g", "v"]).sort_index()
+    final = plan._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    assert "ReusedExchange" in final, final
+    want = counts.toPandas().set_index(["g", "v"]).sort_index()
+    by_group = want.groupby(level="g")
+    for m in ("pos", "neg"):
+        want[f"{m}_to"], want[f"{m}_all"] = by_group[m].cumsum(), by_group[m].transform("sum")
+    assert (got[used].to_numpy() == want[used].to_numpy()).all()
+
+
 def test_folds_are_stratified_and_do_not_depend_on_partitioning(spark):
     rows = spark.range(0, 1000).select(F.col("id"), (F.col("id") % 10 == 0).cast("int").alias("label"))
     one = splitting.stratified_folds(rows.coalesce(1), "label", ["id"], folds=5, seed=7)
