@@ -158,3 +158,14 @@ def test_jobs_return_the_flagship_columns(tables):
     decided = jobs.monitor_and_decide(tables.predictions, tables.labels)
     assert {"status", "decision", "retrain_needed", "reason", "psi_band"} <= set(decided.columns)
     assert decided.where(F.col("decision").isNull()).isEmpty()
+
+
+def test_deduplication_sorts_no_rows_before_their_shuffle(spark):
+    rows = spark.range(40).select(
+        (F.col("id") % 20).alias("encounter_id"), (F.col("id") % 2).alias("snapshot_date"), F.col("id").cast("string").alias("text")
+    )
+    found = layers.deduplicate(rows)
+    assert {(r.encounter_id, r.text) for r in found.collect()} == {(i, max(str(i), str(i + 20))) for i in range(20)}
+    executed = found._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    assert executed.count("Exchange") == 1, executed
+    assert not re.search("Sort", executed[executed.index("Exchange") :]), executed
