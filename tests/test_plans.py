@@ -169,3 +169,14 @@ def test_deduplication_sorts_no_rows_before_their_shuffle(spark):
     executed = found._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
     assert executed.count("Exchange") == 1, executed
     assert not re.search("Sort", executed[executed.index("Exchange") :]), executed
+
+
+@pytest.mark.parametrize("given, kept", [(None, "8000"), ("65535", "8000"), ("4000", "4000")])
+def test_queries_bring_the_method_limit_into_a_foreign_session(spark, sf_dir, given, kept):
+    """A driver's session has Spark's own limit, with which wide projections run uncompiled."""
+    session, limit = spark.newSession(), "spark.sql.codegen.hugeMethodLimit"
+    session.conf.unset(limit)
+    if given is not None:
+        session.conf.set(limit, given)
+    catalog.Tables(session, sf_dir)
+    assert session.conf.get(limit) == kept
