@@ -8,7 +8,7 @@ import random
 from dataclasses import dataclass
 from multiprocessing.pool import ThreadPool
 
-from pyspark.ml import Estimator, Model, Pipeline, PipelineModel
+from pyspark.ml import Estimator, Model, PipelineModel
 from pyspark.ml.classification import GBTClassifier, LogisticRegression, RandomForestClassifier
 from pyspark.ml.evaluation import BinaryClassificationEvaluator, Evaluator
 from pyspark.ml.feature import VectorAssembler
@@ -267,7 +267,19 @@ def fit_packed(
     chosen = estimator(algorithm, balance.rows, seed, **params)
     if algorithm == "random_forest":
         return forest.fit(chosen, table, balance.rows, balance.weights(class_weight))
-    return chosen.fit(with_class_weight(spread(table, balance.rows), balance, class_weight))
+    return fit_dealt(chosen, with_class_weight(spread(table, balance.rows), balance, class_weight))
+
+
+def fit_dealt(chosen: Estimator, rows: DataFrame) -> Model:
+    """One model over rows that ``spread`` has dealt out. Spark's linear estimator would have them dealt out four times, to
+    log their partitions, to fit and for two training summaries; they are kept while it runs."""
+    if not isinstance(chosen, LogisticRegression):
+        return chosen.fit(rows)
+    kept = rows.select(FEATURES, LABEL, WEIGHT).persist()
+    try:
+        return chosen.fit(kept)
+    finally:
+        kept.unpersist()
 
 
 def fit(
@@ -278,14 +290,14 @@ def fit(
     class_weight: str | float | None = None,
     **params,
 ) -> PipelineModel:
-    """One model with the settings given; assembles, weights and fits in one pipeline."""
-    balance = ClassBalance.of(train)
+    """One model with the settings given, and the assembler of its features before it."""
+    balance, packer = ClassBalance.of(train), assembler(features)
     if algorithm == "random_forest":
-        packed = assembler(features).transform(fill_missing(train, features))
-        return PipelineModel([assembler(features), fit_packed(algorithm, packed, balance, seed, class_weight, **params)])
-    rows = with_class_weight(fill_missing(spread(train, balance.rows), features), balance, class_weight)
-    stages = [assembler(features), estimator(algorithm, balance.rows, seed, **params)]
-    return Pipeline(stages=stages).fit(rows)
+        packed = packer.transform(fill_missing(train, features))
+        return PipelineModel([packer, fit_packed(algorithm, packed, balance, seed, class_weight, **params)])
+    dealt = fill_missing(spread(train.select(*features, LABEL), balance.rows), features)
+    packed = packer.transform(with_class_weight(dealt, balance, class_weight))
+    return PipelineModel([packer, fit_dealt(estimator(algorithm, balance.rows, seed, **params), packed)])
 
 
 # --- scoring --------------------------------------------------------------------------------------

@@ -190,6 +190,20 @@ def test_models_find_the_signal(spark, planted, algorithm, params):
     assert scored.agg(F.round(F.sum("p"), 6)).first() == again.agg(F.round(F.sum("p"), 6)).first()
 
 
+@pytest.mark.parametrize("packed", [False, True])
+def test_a_linear_fit_takes_its_rows_once_and_leaves_nothing_kept(spark, planted, packed):
+    passed = spark.sparkContext.accumulator(0)
+    rows = planted.withColumn("x", F.udf(lambda x: passed.add(1) or x, "double")("x"))
+    balance, kept = training.ClassBalance.of(planted), spark.sparkContext._jsc.getPersistentRDDs
+    before = set(kept())
+    if packed:
+        table = training.assembler(FEATURES).transform(training.fill_missing(rows, FEATURES))
+        training.fit_packed("logistic_regression", table, balance)
+    else:
+        training.fit("logistic_regression", rows, FEATURES)
+    assert passed.value == 800 and set(kept()) <= before
+
+
 @pytest.mark.parametrize("metric", ["auc", "balanced"])
 def test_random_search(planted, metric):
     space = {"penalty": ["l2"], "C": [0.001, 10], "class_weight": [None, "balanced"], "max_iter": [10]}
