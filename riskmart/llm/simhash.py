@@ -75,7 +75,8 @@ def _chain_keys(fp: Column, near: bool) -> Column:
 
 
 def links(prints: DataFrame) -> DataFrame:
-    """Pairs (a, b), a < b, of distinct fingerprints (column fp) that differ in at most ``LIMIT`` bits."""
+    """Pairs (a, b), a < b, of distinct fingerprints (column fp) that differ in at most ``LIMIT`` bits. The planner takes the
+    keys for as small as the fingerprints they are exploded from and would broadcast them, hence the hint."""
     left = prints.select(F.col("fp").alias("a"), _chain_keys(F.col("fp"), near=False).alias("k")).select("a", "k.*")
     right = prints.select(F.col("fp").alias("b"), _chain_keys(F.col("fp"), near=True).alias("k")).select("b", "k.*")
     differ = F.col("a").bitwiseXOR(F.col("b"))
@@ -84,7 +85,7 @@ def links(prints: DataFrame) -> DataFrame:
         outside_three = F.when(F.col("start") == i, _segment(differ, i + 3)).otherwise(outside_three)
     close = (F.col("a") < F.col("b")) & (F.bit_count(differ) <= LIMIT)
     ring = F.bit_count(differ) - F.bit_count(outside_three) <= 2
-    return left.join(right, ["start", "key"]).where(ring & close).select("a", "b").distinct()
+    return left.join(right.hint("merge"), ["start", "key"]).where(ring & close).select("a", "b").distinct()
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:

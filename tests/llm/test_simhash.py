@@ -66,3 +66,9 @@ def test_links_equal_all_pairs(spark):
         for i, a in enumerate(some) for b in some[i + 1 :] if (a ^ b).bit_count() <= 3
     }
     assert found == want and want
+
+
+def test_keys_of_links_are_not_broadcast(spark):
+    """68 keys a fingerprint are sized as one, so that a small table of fingerprints makes a broadcast that fills the driver."""
+    plan = simhash.links(spark.range(1000).withColumnRenamed("id", "fp"))._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" in plan and "Broadcast" not in plan
