@@ -1,7 +1,7 @@
 from collections import defaultdict
 
 import corpus_pipeline as pipeline
-from riskmart.llm import pii, quality
+from riskmart.llm import pii, quality, simhash
 
 from .test_simhash import brute_components, brute_print
 
@@ -69,3 +69,15 @@ def test_columns_named_like_the_keys_stay(spark, odd_docs, sf_dir):
         out = stage(spark, docs, sf_dir)
         assert out.columns == docs.columns
         assert {(r._text_key, r._id_key) for r in out.collect()} == {(7, 8)}
+
+
+def test_the_near_copy_stage_broadcasts_no_keys_of_links(spark, odd_docs, sf_dir, monkeypatch):
+    plans, components = [], simhash.components
+
+    def watched(links):
+        plans.append(links._jdf.queryExecution().executedPlan().toString())
+        return components(links)
+
+    monkeypatch.setattr(simhash, "components", watched)
+    assert pipeline.drop_near_copies(spark, odd_docs, sf_dir).count() > 0
+    assert len(plans) == 1 and "SortMergeJoin" in plans[0] and "Broadcast" not in plans[0]
